@@ -77,8 +77,8 @@ def idempotent_reload(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFr
     root = new_table_path(spark, "reload")
     reports = []
     for run in range(1, runs + 1):
-        sinks.write_lake(dedup.with_month(lines(spark, sf_dir)), root)
-        state = dedup.table_checksum(files.read_lake(spark, root)).first()
+        loaded = sinks.reload(dedup.with_month(lines(spark, sf_dir)), root)
+        state = dedup.table_checksum(loaded).first()
         reports.append((run, state.row_count, state.checksum))
     return spark.createDataFrame(reports, "run int, row_count bigint, checksum string")
 
@@ -103,7 +103,7 @@ def rev_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def federated_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.top_store_categories(
-        files.read_lake(spark, lake_root(spark, sf_dir)),
+        files.read_lake(spark, lake_root(spark, sf_dir), LAKE_MONTH),
         standins.stores(spark, sf_dir),
         standins.products(spark, sf_dir).filter("product_sk <> 0"),
         standins.categories(spark, sf_dir),
@@ -255,7 +255,11 @@ def run(
         "rev_by_dow": marts.revenue_by_weekday(built, calendar),
         "rev_by_month": marts.revenue_by_month(built, calendar),
         "federated_topn": marts.top_store_categories(
-            lake, stores, products.filter("product_sk <> 0"), categories, LAKE_MONTH
+            files.read_lake(spark, f"{root}/lake", LAKE_MONTH),
+            stores,
+            products.filter("product_sk <> 0"),
+            categories,
+            LAKE_MONTH,
         ),
         "finance_reconcile": reconciled,
         "variance_class": reconcile.classify_variance(

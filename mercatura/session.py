@@ -49,6 +49,13 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table once as Parquet in the shared folder, and read it back."""
+    path = new_table_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor never restarts the plan before it."""
     shared_root(df.sparkSession)
