@@ -60,29 +60,21 @@ def signature_parts(rows: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     parts of a document never need to be joined up.
     """
     pairs = coefficients(layout.parts * layout.width, layout.seed)
-    parts = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("part"),
-                *[
-                    F.array(*[F.lit(pair[side]).cast("bigint") for pair in chunk]).alias(name)
-                    for side, name in enumerate("ab")
-                ],
-            )
-            for p in range(layout.parts)
-            for chunk in [pairs[p * layout.width : (p + 1) * layout.width]]
-        ]
+
+    def literals(part: int, side: int) -> str:
+        chunk = pairs[part * layout.width : (part + 1) * layout.width]
+        return "array(" + ", ".join(f"{pair[side]}L" for pair in chunk) + ")"
+
+    parts = ", ".join(
+        f"struct({p} AS part, {literals(p, 0)} AS a, {literals(p, 1)} AS b)"
+        for p in range(layout.parts)
     )
+    minima = [f"min((h * get(a, {i}) + get(b, {i})) % {PRIME}) AS m{i}" for i in range(layout.width)]
     hashed = rows.select("doc", shingle_hash(F.col("shingle")).alias("h"))
     return (
-        hashed.select("doc", "h", F.inline(parts))
+        hashed.selectExpr("doc", "h", f"inline(array({parts}))")
         .groupBy("doc", "part")
-        .agg(
-            *[
-                F.min((F.col("h") * F.get("a", F.lit(i)) + F.get("b", F.lit(i))) % PRIME).alias(f"m{i}")
-                for i in range(layout.width)
-            ]
-        )
+        .agg(*[F.expr(minimum) for minimum in minima])
     )
 
 
@@ -170,7 +162,9 @@ def candidate_pairs(
     Buckets up to ``hot`` members are paired directly, so a row meets a bounded number of others.
     Members of larger buckets are paired only where they also share one of their rarest shingles and
     have compatible sizes; every pair able to reach ``threshold`` does, so verification loses nothing.
-    With ``labels(doc, label)`` only pairs across labels are formed.
+    With ``labels(doc, label)`` only pairs across labels are formed. ``bands`` is read several times and
+    should be a stored table; whether any bucket is hot is asked first, as the second way needs the
+    frequency of every shingle.
     """
     if labels is None:
         rows = bands.withColumn("label", F.col("doc"))
@@ -179,6 +173,8 @@ def candidate_pairs(
             "label", F.coalesce("label", F.col("doc"))
         )
     crowded = bucket_sizes(bands).filter(F.col("n_members") > hot).select(*BUCKET)
+    if crowded.isEmpty():
+        return _paired(rows, BUCKET).distinct()
     bounded = _paired(rows.join(crowded, BUCKET, "left_anti"), BUCKET)
 
     crowd = rows.join(crowded, BUCKET, "left_semi")

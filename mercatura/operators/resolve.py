@@ -127,9 +127,10 @@ def match_components(
     labels = cut_lineage(
         connected_components(first.select("doc_a", "doc_b")).toDF("doc", "label")
     )
-    apart = lsh.candidate_pairs(
-        mixed_buckets(bands, labels), documents, frequency, labels, hot, threshold
-    )
+    mixed = stage(mixed_buckets(bands, labels), "mixed")
+    if mixed.isEmpty():
+        return labels.withColumnRenamed("label", "component")
+    apart = lsh.candidate_pairs(mixed, documents, frequency, labels, hot, threshold)
     links = (
         verify(apart, documents, threshold)
         .join(labels.toDF("doc_a", "label_a"), "doc_a", "left")

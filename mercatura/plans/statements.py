@@ -15,4 +15,4 @@ def compose(parts: dict[str, str], select: str) -> str:
         needed.update(found)
         waiting.extend(parts[name] for name in found)
     used = [f"{name} AS ({body})" for name, body in parts.items() if name in needed]
-    return (f"WITH {', '.join(used)} " if used else "") + select
+    return (f"WITH RECURSIVE {', '.join(used)} " if used else "") + select
