@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Noise patterns, in the order in which they are removed.
 REFERENCE_NUMBER = r"(?i)\b(?:npas|spc|pwd|mc|ref|tn)[-/A-Za-z0-9]+\b"
@@ -133,3 +133,13 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(
         shared / (F.size(a) + F.size(b) - shared)
     )
+
+
+def with_jaccard(pairs: DataFrame, a: Column, b: Column, name: str) -> DataFrame:
+    """``pairs`` with the Jaccard of two set expressions as a column.
+
+    The sets are columns of a projection of their own. Written inline, they would be evaluated again
+    for every mention inside the score.
+    """
+    sets = pairs.withColumns({"set_a": a, "set_b": b})
+    return sets.withColumn(name, jaccard(F.col("set_a"), F.col("set_b"))).drop("set_a", "set_b")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mercatura.functions.text import jaccard, word_bigrams
+from mercatura.functions.text import with_jaccard, word_bigrams
 from mercatura.operators import lsh
 from mercatura.operators.shingles import (
     distinct_documents,
@@ -34,10 +34,10 @@ def attach_text(
 def score_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """Exact Jaccard of ``doc_a, doc_b`` on unpruned word bigrams."""
     texts = documents.select("doc", "clean")
-    score = jaccard(word_bigrams(F.col("text_a")), word_bigrams(F.col("text_b")))
-    return attach_text(pairs, texts, "doc_a", "doc_b").select(
-        "doc_a", "doc_b", score.alias("jaccard")
-    )
+    both = attach_text(pairs, texts, "doc_a", "doc_b")
+    return with_jaccard(
+        both, word_bigrams(F.col("text_a")), word_bigrams(F.col("text_b")), "jaccard"
+    ).select("doc_a", "doc_b", "jaccard")
 
 
 def verify(

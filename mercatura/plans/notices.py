@@ -59,11 +59,13 @@ def _as_docs(pairs: DataFrame) -> DataFrame:
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pairs with their Jaccard on cleaned word bigrams."""
     texts = cleaned(spark, sf_dir).select("notice_id", "clean")
-    score = tx.jaccard(tx.word_bigrams(F.col("text_a")), tx.word_bigrams(F.col("text_b")))
     pairs = _as_docs(labelled(spark, sf_dir))
-    return rs.attach_text(pairs, texts, "doc_a", "doc_b").select(
-        "doc_a", "doc_b", "label", "raw_jaccard", score.alias("jaccard")
-    )
+    return tx.with_jaccard(
+        rs.attach_text(pairs, texts, "doc_a", "doc_b"),
+        tx.word_bigrams(F.col("text_a")),
+        tx.word_bigrams(F.col("text_b")),
+        "jaccard",
+    ).select("doc_a", "doc_b", "label", "raw_jaccard", "jaccard")
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,10 +119,10 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     def grams(side: str) -> Column:
         return tx.char_kgrams(F.coalesce(side, F.lit("")), 3, keep_short=False)
 
-    score = tx.jaccard(grams("text_a"), grams("text_b"))
-    return rs.attach_text(
-        labelled(spark, sf_dir), texts, "notice_id_a", "notice_id_b", "left"
-    ).select("notice_id_a", "notice_id_b", "label", F.round(score, 9).alias("jaccard"))
+    both = rs.attach_text(labelled(spark, sf_dir), texts, "notice_id_a", "notice_id_b", "left")
+    return tx.with_jaccard(both, grams("text_a"), grams("text_b"), "jaccard").select(
+        "notice_id_a", "notice_id_b", "label", F.round("jaccard", 9).alias("jaccard")
+    )
 
 
 def doc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

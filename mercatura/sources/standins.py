@@ -325,12 +325,15 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     from mercatura.operators.resolve import attach_text
 
-    raw = tx.jaccard(tx.raw_char_kgrams(F.col("text_a")), tx.raw_char_kgrams(F.col("text_b")))
-    return attach_text(
-        pairs, base.select("notice_id", F.col("body").alias("text")), "notice_id_a", "notice_id_b"
-    ).select(
-        "notice_id_a",
-        "notice_id_b",
-        raw.alias("raw_jaccard"),
-        F.when(raw >= SAME_LABEL, "same").otherwise("different").alias("label"),
+    texts = base.select("notice_id", F.col("body").alias("text"))
+    scored = tx.with_jaccard(
+        attach_text(pairs, texts, "notice_id_a", "notice_id_b"),
+        tx.raw_char_kgrams(F.col("text_a")),
+        tx.raw_char_kgrams(F.col("text_b")),
+        "raw_jaccard",
     )
+    same = F.col("raw_jaccard") >= SAME_LABEL
+    return scored.select(
+        "notice_id_a", "notice_id_b", "raw_jaccard",
+        F.when(same, "same").otherwise("different").alias("label"),
+    )
