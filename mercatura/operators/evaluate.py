@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercatura.operators import lsh
+from mercatura.operators.joins import join_by_key
 from mercatura.operators.resolve import cluster_sizes
 
 # Thresholds compared, prices of a false merge and of a missed one, signature sizes
@@ -18,16 +19,6 @@ CURVES = ((16, 8), (32, 4), (64, 2))
 SAME = "label = 'same'"
 
 
-def score_summary(scored: DataFrame, score: str, group: list[str]) -> DataFrame:
-    """Mean, least and greatest score of each group."""
-    return scored.groupBy(*group).agg(
-        F.count("*").alias("n_pairs"),
-        F.round(F.avg(score), 6).alias("mean_score"),
-        F.round(F.min(score), 6).alias("min_score"),
-        F.round(F.max(score), 6).alias("max_score"),
-    )
-
-
 def separation(scored: DataFrame, features: dict[str, str]) -> DataFrame:
     """Scores by feature and label; ``inverted`` marks a feature that ranks different above same."""
     cells = F.array(
@@ -36,16 +27,29 @@ def separation(scored: DataFrame, features: dict[str, str]) -> DataFrame:
             for name, column in features.items()
         ]
     )
-    summary = score_summary(
-        scored.select("label", F.inline(cells)), "score", ["feature", "label"]
-    )
-    means = scored.select("label", F.inline(cells)).groupBy("feature").agg(
-        F.avg(F.when(F.expr(SAME), F.col("score"))).alias("same_mean"),
-        F.avg(F.when(~F.expr(SAME), F.col("score"))).alias("different_mean"),
+    summary = (
+        scored.select("label", F.inline(cells))
+        .groupBy("feature", "label")
+        .agg(
+            F.count("*").alias("n_pairs"),
+            F.avg("score").alias("mean"),
+            F.min("score").alias("least"),
+            F.max("score").alias("most"),
+        )
     )
-    return summary.join(
-        means.select("feature", (F.col("different_mean") > F.col("same_mean")).alias("inverted")),
+    feature = Window.partitionBy("feature")
+
+    def mean_of(label: str) -> Column:
+        return F.max(F.when(F.col("label") == label, F.col("mean"))).over(feature)
+
+    return summary.select(
         "feature",
+        "label",
+        "n_pairs",
+        F.round("mean", 6).alias("mean_score"),
+        F.round("least", 6).alias("min_score"),
+        F.round("most", 6).alias("max_score"),
+        (mean_of("different") > mean_of("same")).alias("inverted"),
     )
 
 
@@ -74,7 +78,8 @@ def threshold_sweep(
         cost.alias("cost"),
         F.coalesce(precision >= required, F.lit(False)).alias("worth_merging"),
     )
-    best = priced.agg(F.min(F.struct("cost", "tau")).alias("best")).scalar()
+    one_group = Window.partitionBy(F.lit(0))  # one row per threshold
+    best = F.min(F.struct("cost", "tau")).over(one_group)
     return priced.withColumn("cheapest", F.col("tau") == best.getField("tau"))
 
 
@@ -145,8 +150,12 @@ def share_buckets(pairs: DataFrame, bands: DataFrame, name: str) -> DataFrame:
     """``pairs(doc_a, doc_b, ...)`` with the number of buckets both documents are in."""
     lists = lsh.bucket_lists(bands)
     return (
-        pairs.join(lists.toDF("doc_a", "buckets_a"), "doc_a", "left")
-        .join(lists.toDF("doc_b", "buckets_b"), "doc_b", "left")
+        join_by_key(
+            join_by_key(pairs, lists.toDF("doc_a", "buckets_a"), ["doc_a"], "left"),
+            lists.toDF("doc_b", "buckets_b"),
+            ["doc_b"],
+            "left",
+        )
         .withColumn(
             name,
             F.coalesce(F.size(F.array_intersect("buckets_a", "buckets_b")), F.lit(0)),
@@ -191,18 +200,23 @@ def base_rate(members: DataFrame, labelled: DataFrame) -> DataFrame:
         F.sum(lsh.pairs_within(F.col("size"))).cast("double").alias("duplicate_pairs"),
     )
     labels = labelled.agg(
-        F.count("*").alias("n_labelled"), F.count_if(F.expr(SAME)).alias("n_same")
+        F.struct(
+            F.count("*").alias("n_labelled"), F.count_if(F.expr(SAME)).alias("n_same")
+        ).alias("labels")
     )
     possible = lsh.pairs_within(F.col("n_notices")).cast("double")
     return sizes.select(
         "*",
         possible.alias("possible_pairs"),
-        labels.select("n_labelled").scalar().alias("n_labelled"),
-        labels.select("n_same").scalar().alias("n_same"),
+        labels.scalar().alias("labels"),
     ).select(
-        "*",
+        "n_notices",
+        "duplicate_pairs",
+        "possible_pairs",
+        "labels.n_labelled",
+        "labels.n_same",
         F.round(F.try_divide("duplicate_pairs", "possible_pairs"), 9).alias("corpus_rate"),
-        F.round(F.try_divide("n_same", "n_labelled"), 9).alias("label_rate"),
+        F.round(F.try_divide("labels.n_same", "labels.n_labelled"), 9).alias("label_rate"),
     )
 
 

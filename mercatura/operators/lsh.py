@@ -16,6 +16,7 @@ from mercatura.functions.minhash import (
     coefficients,
     shingle_hash,
 )
+from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import shingle_rows
 
 BUCKET = ["band_id", "bucket_hash"]
@@ -133,7 +134,7 @@ def rarest_shingles(
     In rarest-first order, sets with Jaccard of at least t share one of their first
     ``n - ceil(t * n) + 1`` shingles (prefix filtering).
     """
-    ranked = shingle_rows(documents).join(frequency, "shingle")
+    ranked = join_by_key(shingle_rows(documents), frequency, ["shingle"])
     order = Window.partitionBy("doc").orderBy("df", "shingle")
     whole = Window.partitionBy("doc")
     needed = F.ceil(F.col("n_shingles") * threshold - 1e-6)
@@ -175,9 +176,9 @@ def candidate_pairs(
     crowded = bucket_sizes(bands).filter(F.col("n_members") > hot).select(*BUCKET)
     if crowded.isEmpty():
         return _paired(rows, BUCKET).distinct()
-    bounded = _paired(rows.join(crowded, BUCKET, "left_anti"), BUCKET)
+    bounded = _paired(join_by_key(rows, crowded, BUCKET, "left_anti"), BUCKET)
 
-    crowd = rows.join(crowded, BUCKET, "left_semi")
+    crowd = join_by_key(rows, crowded, BUCKET, "left_semi")
     members = crowd.select("doc", "label").distinct()
     rare = rarest_shingles(documents.join(members, "doc", "left_semi"), frequency, threshold).join(
         members, "doc"
@@ -187,8 +188,11 @@ def candidate_pairs(
     sharing = _paired(rare, ["shingle"], compatible).distinct()
     lists = bucket_lists(crowd)
     together = (
-        sharing.join(lists.toDF("doc_a", "buckets_a"), "doc_a")
-        .join(lists.toDF("doc_b", "buckets_b"), "doc_b")
+        join_by_key(
+            join_by_key(sharing, lists.toDF("doc_a", "buckets_a"), ["doc_a"]),
+            lists.toDF("doc_b", "buckets_b"),
+            ["doc_b"],
+        )
         .filter(F.arrays_overlap("buckets_a", "buckets_b"))
         .select("doc_a", "doc_b")
     )
@@ -239,4 +243,4 @@ def largest_buckets(bands: DataFrame, top: int = 5) -> DataFrame:
 def without_hot_buckets(bands: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
     """The cap as a retrieval mitigation whose cost is to be measured; the resolver does not use it."""
     crowded = bucket_sizes(bands).filter(F.col("n_members") > hot)
-    return bands.join(crowded, BUCKET, "left_anti")
+    return join_by_key(bands, crowded.select(*BUCKET), BUCKET, "left_anti")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mercatura.functions.text import with_jaccard, word_bigrams
 from mercatura.operators import lsh
+from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import (
     distinct_documents,
     document_frequency,
@@ -61,14 +62,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.join(lowest, "u")
+            join_by_key(both, lowest, ["u"])
             .filter("v > u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
             .distinct()
         )
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(lowest, "u")
+            join_by_key(large, lowest, ["u"])
             .filter("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(lowest.select("u", F.col("m").alias("v")))
@@ -91,7 +92,7 @@ def bucket_stars(bands: DataFrame) -> DataFrame:
     """Each bucket member with the smallest member of its bucket: linear in the bucket rows."""
     pivots = bands.groupBy(*lsh.BUCKET).agg(F.min("doc").alias("doc_a"))
     return (
-        bands.join(pivots, lsh.BUCKET)
+        join_by_key(bands, pivots, lsh.BUCKET)
         .filter("doc <> doc_a")
         .select("doc_a", F.col("doc").alias("doc_b"))
         .distinct()
@@ -107,7 +108,7 @@ def mixed_buckets(bands: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.min(label).alias("low"), F.max(label).alias("high"))
         .filter("low <> high")
     )
-    return bands.join(spans.select(*lsh.BUCKET), lsh.BUCKET, "left_semi")
+    return join_by_key(bands, spans.select(*lsh.BUCKET), lsh.BUCKET, "left_semi")
 
 
 def match_components(

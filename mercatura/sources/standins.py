@@ -8,6 +8,7 @@ from mercatura.functions import text as tx
 from mercatura.functions.money import money
 from mercatura.operators import dims
 from mercatura.operators.dedup import with_month
+from mercatura.operators.joins import join_by_key
 from mercatura.schemas import FINANCE_MONTH
 from mercatura.sources.exports import Dialect, RENAMED_COLUMNS, STAGED_COLUMNS
 
@@ -318,7 +319,7 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     firsts = blocked.groupBy("block").agg(F.min("notice_id").alias("notice_id_a"))
     pairs = (
-        blocked.join(firsts, "block")
+        join_by_key(blocked, firsts, ["block"])
         .filter("notice_id_a <> notice_id")
         .select("notice_id_a", F.col("notice_id").alias("notice_id_b"))
         .distinct()
