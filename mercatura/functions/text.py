@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 # Noise patterns, in the order in which they are removed.
 REFERENCE_NUMBER = r"(?i)\b(?:npas|spc|pwd|mc|ref|tn)[-/A-Za-z0-9]+\b"
@@ -135,11 +135,11 @@ def jaccard(a: Column, b: Column) -> Column:
     )
 
 
-def with_jaccard(pairs: DataFrame, a: Column, b: Column, name: str) -> DataFrame:
-    """``pairs`` with the Jaccard of two set expressions as a column.
+def set_jaccard(a: Column, b: Column) -> Column:
+    """Jaccard of two set *expressions*, each evaluated once.
 
-    The sets are columns of a projection of their own. Written inline, they would be evaluated again
-    for every mention inside the score.
+    The sets are bound to a lambda variable. Written straight into the score they would be evaluated
+    for every mention, and again where a filter on the score is pushed below the projection.
     """
-    sets = pairs.withColumns({"set_a": a, "set_b": b})
-    return sets.withColumn(name, jaccard(F.col("set_a"), F.col("set_b"))).drop("set_a", "set_b")
+    bound = F.array(F.struct(a.alias("a"), b.alias("b")))
+    return F.transform(bound, lambda s: jaccard(s["a"], s["b"]))[0]

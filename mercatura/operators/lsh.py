@@ -126,6 +126,11 @@ def _paired(rows: DataFrame, on: list[str], extra: Column | None = None) -> Data
     return a.join(b, match).select(F.col("a.doc").alias("doc_a"), F.col("b.doc").alias("doc_b"))
 
 
+def bucket_pairs(bands: DataFrame) -> DataFrame:
+    """Every pair sharing a bucket, each once; for bucket tables known to have no hot bucket."""
+    return _paired(bands.withColumn("label", F.col("doc")), BUCKET).distinct()
+
+
 def rarest_shingles(
     documents: DataFrame, frequency: DataFrame, threshold: float = MERGE_THRESHOLD
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mercatura.functions.text import with_jaccard, word_bigrams
+from mercatura.functions.text import set_jaccard, word_bigrams
 from mercatura.operators import lsh
 from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import (
@@ -35,10 +35,10 @@ def attach_text(
 def score_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """Exact Jaccard of ``doc_a, doc_b`` on unpruned word bigrams."""
     texts = documents.select("doc", "clean")
-    both = attach_text(pairs, texts, "doc_a", "doc_b")
-    return with_jaccard(
-        both, word_bigrams(F.col("text_a")), word_bigrams(F.col("text_b")), "jaccard"
-    ).select("doc_a", "doc_b", "jaccard")
+    score = set_jaccard(word_bigrams(F.col("text_a")), word_bigrams(F.col("text_b")))
+    return attach_text(pairs, texts, "doc_a", "doc_b").select(
+        "doc_a", "doc_b", score.alias("jaccard")
+    )
 
 
 def verify(
@@ -50,14 +50,15 @@ def verify(
 def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable node of every node on an edge: ``node, component``.
 
-    Alternating large-star and small-star steps (Kiveris et al., 2014) until the edges no longer
-    change. Each round is checkpointed; the driver sees one count and one checksum per round.
+    Alternating large-star and small-star steps (Kiveris et al., 2014) until every edge points at a
+    root. Each round is checkpointed; only the answer to that question reaches the driver.
     """
     a, b = edges.columns
-    current = edges.select(
-        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
-    ).filter("u <> v").distinct()
-    seen = None
+    current = (
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+        .filter("u <> v")
+        .distinct()
+    )
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -76,13 +77,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         current = cut_lineage(small)
-        state = current.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
-        ).first()
-        if state == seen:
+        roots = current.select(F.col("v").alias("node")).distinct()
+        if roots.join(current.select(F.col("u").alias("node")), "node", "left_semi").isEmpty():
             break
-        seen = state
-    roots = current.select(F.col("v").alias("node")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
@@ -118,12 +115,17 @@ def match_components(
     threshold: float = lsh.MERGE_THRESHOLD,
     hot: int = lsh.HOT_BUCKET,
 ) -> DataFrame:
-    """Components of all candidate pairs reaching ``threshold``, without listing all of them.
+    """Components of all candidate pairs reaching ``threshold``.
 
-    Members are first compared with the smallest member of each of their buckets. Only pairs whose
-    sides are still apart can change a component, so only buckets that still mix components are paired
-    up, and only across components. A crowd of near copies is settled by the first, linear step.
+    While no bucket is hot the pairs are few and are simply listed. Otherwise members are first compared
+    with the smallest member of each of their buckets. Only pairs whose sides are still apart can change
+    a component, so only buckets that still mix components are then paired up, and only across
+    components. A crowd of near copies is settled by the first, linear step.
     """
+    if lsh.bucket_sizes(bands).filter(F.col("n_members") > hot).isEmpty():
+        pairs = lsh.bucket_pairs(bands)
+        edges = verify(pairs, documents, threshold).select("doc_a", "doc_b")
+        return connected_components(edges).toDF("doc", "component")
     first = verify(bucket_stars(bands), documents, threshold)
     labels = cut_lineage(
         connected_components(first.select("doc_a", "doc_b")).toDF("doc", "label")

@@ -60,12 +60,10 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pairs with their Jaccard on cleaned word bigrams."""
     texts = cleaned(spark, sf_dir).select("notice_id", "clean")
     pairs = _as_docs(labelled(spark, sf_dir))
-    return tx.with_jaccard(
-        rs.attach_text(pairs, texts, "doc_a", "doc_b"),
-        tx.word_bigrams(F.col("text_a")),
-        tx.word_bigrams(F.col("text_b")),
-        "jaccard",
-    ).select("doc_a", "doc_b", "label", "raw_jaccard", "jaccard")
+    score = tx.set_jaccard(tx.word_bigrams(F.col("text_a")), tx.word_bigrams(F.col("text_b")))
+    return rs.attach_text(pairs, texts, "doc_a", "doc_b").select(
+        "doc_a", "doc_b", "label", "raw_jaccard", score.alias("jaccard")
+    )
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,8 +118,9 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         return tx.char_kgrams(F.coalesce(side, F.lit("")), 3, keep_short=False)
 
     both = rs.attach_text(labelled(spark, sf_dir), texts, "notice_id_a", "notice_id_b", "left")
-    return tx.with_jaccard(both, grams("text_a"), grams("text_b"), "jaccard").select(
-        "notice_id_a", "notice_id_b", "label", F.round("jaccard", 9).alias("jaccard")
+    score = tx.set_jaccard(grams("text_a"), grams("text_b"))
+    return both.select(
+        "notice_id_a", "notice_id_b", "label", F.round(score, 9).alias("jaccard")
     )
 
 

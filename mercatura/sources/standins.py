@@ -59,6 +59,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     percent = F.expr("(cents * rate + 50) div 100")
     sold = (
         table(spark, sf_dir, "lineitem")
+        .join(bills, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns({"flags": flags, "qty": qty, "cents": cents})
         .withColumn("rate", _cents(F.col("l_discount")))
         .withColumns({"unit_cents": unit_cents, "off_cents": percent})
@@ -90,17 +91,16 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("TAX").alias("line_type"),
     )
     lines = sold.select(
-        "l_orderkey",
+        F.col("l_orderkey").cast("string").alias("bill_no"),
         F.col("l_shipdate").cast("date").cast("string").alias("raw_ts"),
+        "store_id",
+        "business_date",
         F.inline(F.array(goods, tax)),
     )
     shape = [
         "bill_no", "line_no", "product_code", "qty", "unit_price", "line_type", "raw_ts",
         "store_id", "business_date",
     ]
-    with_bill = lines.join(bills, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-        "bill_no", F.col("l_orderkey").cast("string")
-    )
     tenders = bills.select(
         F.col("o_orderkey").cast("string").alias("bill_no"),
         F.lit(9000).alias("line_no"),
@@ -112,7 +112,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "store_id",
         "business_date",
     )
-    return with_bill.select(*shape).unionByName(tenders.select(*shape))
+    return lines.select(*shape).unionByName(tenders.select(*shape))
 
 
 def without_outage(lines: DataFrame) -> DataFrame:
@@ -327,14 +327,12 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mercatura.operators.resolve import attach_text
 
     texts = base.select("notice_id", F.col("body").alias("text"))
-    scored = tx.with_jaccard(
-        attach_text(pairs, texts, "notice_id_a", "notice_id_b"),
-        tx.raw_char_kgrams(F.col("text_a")),
-        tx.raw_char_kgrams(F.col("text_b")),
-        "raw_jaccard",
+    raw = tx.set_jaccard(
+        tx.raw_char_kgrams(F.col("text_a")), tx.raw_char_kgrams(F.col("text_b"))
     )
     same = F.col("raw_jaccard") >= SAME_LABEL
-    return scored.select(
-        "notice_id_a", "notice_id_b", "raw_jaccard",
-        F.when(same, "same").otherwise("different").alias("label"),
-    )
+    return (
+        attach_text(pairs, texts, "notice_id_a", "notice_id_b")
+        .select("notice_id_a", "notice_id_b", raw.alias("raw_jaccard"))
+        .withColumn("label", F.when(same, "same").otherwise("different"))
+    )

@@ -76,7 +76,7 @@ def test_jaccard_of_empty_sets_is_zero(spark):
     data = spark.createDataFrame(
         [(["a", "b"], ["b", "c"]), ([], []), (["a"], [])], "a array<string>, b array<string>"
     )
-    scores = [r.j for r in tx.with_jaccard(data, F.col("a"), F.col("b"), "j").collect()]
+    scores = [r.j for r in data.select(tx.set_jaccard(F.col("a"), F.col("b")).alias("j")).collect()]
     assert scores == [1 / 3, 0.0, 0.0]
 
 
