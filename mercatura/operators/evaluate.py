@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercatura.operators import lsh
-from mercatura.operators.joins import join_by_key
 from mercatura.operators.resolve import cluster_sizes
 
 # Thresholds compared, prices of a false merge and of a missed one, signature sizes
@@ -146,24 +145,6 @@ def curve_threshold(bands: int, rows: int) -> float:
     return (1 / bands) ** (1 / rows)
 
 
-def share_buckets(pairs: DataFrame, bands: DataFrame, name: str) -> DataFrame:
-    """``pairs(doc_a, doc_b, ...)`` with the number of buckets both documents are in."""
-    lists = lsh.bucket_lists(bands)
-    return (
-        join_by_key(
-            join_by_key(pairs, lists.toDF("doc_a", "buckets_a"), ["doc_a"], "left"),
-            lists.toDF("doc_b", "buckets_b"),
-            ["doc_b"],
-            "left",
-        )
-        .withColumn(
-            name,
-            F.coalesce(F.size(F.array_intersect("buckets_a", "buckets_b")), F.lit(0)),
-        )
-        .drop("buckets_a", "buckets_b")
-    )
-
-
 def curve_report(scored: DataFrame, shared: str) -> DataFrame:
     """By tenth of similarity: the pairs retrieved, next to what each layout promises."""
     tenth = F.floor(F.col("jaccard") * 10 + 1e-9) / F.lit(10.0)

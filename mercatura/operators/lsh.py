@@ -204,14 +204,53 @@ def candidate_pairs(
     return bounded.unionByName(together).distinct()
 
 
-def lookup(incoming: DataFrame, stored: DataFrame) -> DataFrame:
-    """Bucket mates of incoming documents in a stored bucket table, with the bands they share."""
+def with_side(bands: DataFrame, incoming: DataFrame, apart: bool) -> DataFrame:
+    """Labels for pairing a batch: stored documents carry one label, so they never pair up.
+
+    With ``apart`` the batch carries one label too, and only mates in the stored table are found.
+    """
+    batch = F.lit(-2) if apart else F.col("doc")
+    mine = incoming.select("doc", batch.cast("bigint").alias("mine"))
     return (
-        incoming.withColumnRenamed("doc", "incoming_doc")
-        .join(stored.withColumnRenamed("doc", "stored_doc"), BUCKET)
-        .groupBy("incoming_doc", "stored_doc")
-        .agg(F.count("*").alias("shared_bands"))
+        bands.select("doc")
+        .distinct()
+        .join(mine, "doc", "left")
+        .select("doc", F.coalesce("mine", F.lit(-1)).alias("label"))
+    )
+
+
+def lookup(
+    bands: DataFrame,
+    incoming: DataFrame,
+    documents: DataFrame,
+    frequency: DataFrame,
+    hot: int = HOT_BUCKET,
+    threshold: float = MERGE_THRESHOLD,
+) -> DataFrame:
+    """Bucket mates of the documents in ``incoming`` among all others, with the bands they share.
+
+    As for all candidates, mates that only meet in hot buckets are those able to reach ``threshold``.
+    """
+    sides = with_side(bands, incoming, apart=True)
+    pairs = candidate_pairs(bands, documents, frequency, sides, hot, threshold)
+    batch = incoming.select("doc", F.lit(True).alias("is_incoming"))
+    sided = pairs.join(batch.toDF("doc_a", "a_incoming"), "doc_a", "left")
+    mates = sided.select(
+        F.when(F.col("a_incoming"), F.col("doc_a")).otherwise(F.col("doc_b")).alias("incoming_doc"),
+        F.when(F.col("a_incoming"), F.col("doc_b")).otherwise(F.col("doc_a")).alias("stored_doc"),
     )
+    return with_shared_bands(mates, bands, "incoming_doc", "stored_doc")
+
+
+def with_shared_bands(
+    pairs: DataFrame, bands: DataFrame, a: str, b: str, name: str = "shared_bands"
+) -> DataFrame:
+    """Pairs with the number of buckets that hold both documents."""
+    lists = bucket_lists(bands)
+    left = join_by_key(pairs, lists.toDF(a, "buckets_a"), [a], "left")
+    both = join_by_key(left, lists.toDF(b, "buckets_b"), [b], "left")
+    shared = F.size(F.array_intersect("buckets_a", "buckets_b"))
+    return both.select(*pairs.columns, F.coalesce(shared, F.lit(0)).alias(name))
 
 
 def pairs_within(n: Column) -> Column:

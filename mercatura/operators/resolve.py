@@ -134,21 +134,45 @@ def match_components(
     if mixed.isEmpty():
         return labels.withColumnRenamed("label", "component")
     apart = lsh.candidate_pairs(mixed, documents, frequency, labels, hot, threshold)
+    return _merge(labels.toDF("doc", "component"), verify(apart, documents, threshold))
+
+
+def _merge(components: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components after adding edges: only the components the edges touch are walked again."""
+    owner = components.select("doc", "component")
     links = (
-        verify(apart, documents, threshold)
-        .join(labels.toDF("doc_a", "label_a"), "doc_a", "left")
-        .join(labels.toDF("doc_b", "label_b"), "doc_b", "left")
+        edges.select("doc_a", "doc_b")
+        .join(owner.toDF("doc_a", "owner_a"), "doc_a", "left")
+        .join(owner.toDF("doc_b", "owner_b"), "doc_b", "left")
         .select(
-            F.coalesce("label_a", "doc_a").alias("a"), F.coalesce("label_b", "doc_b").alias("b")
+            F.coalesce("owner_a", "doc_a").alias("a"), F.coalesce("owner_b", "doc_b").alias("b")
         )
     )
-    merged = connected_components(links).toDF("label", "component")
-    nodes = labels.unionByName(merged.select(F.col("label").alias("doc"), "label")).distinct()
-    return nodes.join(merged, "label", "left").select(
-        "doc", F.coalesce("component", "label").alias("component")
+    merged = connected_components(links).toDF("component", "root")
+    nodes = owner.unionByName(merged.select(F.col("component").alias("doc"), "component")).distinct()
+    return join_by_key(nodes, merged, ["component"], "left").select(
+        "doc", F.coalesce("root", "component").alias("component")
     )
 
 
+def extend_components(
+    components: DataFrame,
+    bands: DataFrame,
+    incoming: DataFrame,
+    documents: DataFrame,
+    frequency: DataFrame,
+    threshold: float = lsh.MERGE_THRESHOLD,
+    hot: int = lsh.HOT_BUCKET,
+) -> DataFrame:
+    """Components after a batch arrives; ``bands`` and ``documents`` already hold the batch.
+
+    Pairs of stored documents were settled by earlier runs and are not formed again.
+    """
+    sides = lsh.with_side(bands, incoming, apart=False)
+    pairs = lsh.candidate_pairs(bands, documents, frequency, sides, hot, threshold)
+    return _merge(components, verify(pairs, documents, threshold))
+
+
 def cluster_members(cleaned: DataFrame, documents: DataFrame, components: DataFrame) -> DataFrame:
     """Every notice with its opportunity, named after the smallest notice id of the cluster."""
     keyed = documents.select(F.sha2("clean", 256).alias("digest"), "doc")

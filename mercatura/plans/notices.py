@@ -235,17 +235,19 @@ def hot_bucket_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shared_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label")
-    return evaluate.share_buckets(pairs, notice_bands(spark, sf_dir), "shared_bands")
+    return lsh.with_shared_bands(pairs, notice_bands(spark, sf_dir), "doc_a", "doc_b")
 
 
 def retrieval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall on pairs labelled same, with every bucket and with buckets up to a cap."""
     table = stage(notice_bands(spark, sf_dir), "bands")
     pairs = _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label")
-    before = stage(evaluate.share_buckets(pairs, table, "shared"), "shared")
+    before = stage(lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared"), "shared")
     reports = [
         evaluate.retrieval_recall(
-            evaluate.share_buckets(before, lsh.without_hot_buckets(table, cap), "kept"),
+            lsh.with_shared_bands(
+                before, lsh.without_hot_buckets(table, cap), "doc_a", "doc_b", "kept"
+            ),
             "shared",
             "kept",
         ).withColumn("cap", F.lit(cap))
@@ -262,11 +264,8 @@ def mitigation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = []
     for name, pruned in (("unpruned", False), ("pruned", True)):
         table = stage(notice_bands(spark, sf_dir, pruned), "bands")
-        recall = evaluate.retrieval_recall(
-            evaluate.share_buckets(pairs, table, "shared").withColumn("kept", F.col("shared")),
-            "shared",
-            "kept",
-        )
+        shared = lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared")
+        recall = evaluate.retrieval_recall(shared, "shared", "shared")
         reports.append(
             lsh.skew_summary(table)
             .select("n_buckets", "largest_bucket", "implied_pairs")
@@ -280,25 +279,47 @@ def mitigation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lsh_s_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = evaluate.share_buckets(
-        scored_labels(spark, sf_dir), notice_bands(spark, sf_dir), "shared"
+    scored = lsh.with_shared_bands(
+        scored_labels(spark, sf_dir), notice_bands(spark, sf_dir), "doc_a", "doc_b", "shared"
     )
     return evaluate.curve_report(scored, "shared")
 
 
-def lsh_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents under review looked up among all others through the bucket table."""
-    table = stage(bands(spark, sf_dir), "bands")
+def _reviewed(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Documents with a reviewed copy, in the part of an incoming batch."""
     reviewed = cleaned(spark, sf_dir).join(
         standins.table(spark, sf_dir, "labels"), F.col("notice_id") == F.col("doc_id"), "left_semi"
     )
-    batch = stage(
-        documents(spark, sf_dir)
-        .join(reviewed.select("clean").distinct(), "clean", "left_semi")
-        .select("doc"),
-        "batch",
+    texts = reviewed.select(F.sha2("clean", 256).alias("digest")).distinct()
+    return docs.select("doc", F.sha2("clean", 256).alias("digest")).join(
+        texts, "digest", "left_semi"
+    ).select("doc")
+
+
+def lsh_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents under review looked up among all others through the bucket table."""
+    docs = stage(documents(spark, sf_dir), "documents")
+    return lsh.lookup(
+        stage(bands(spark, sf_dir), "bands"),
+        stage(_reviewed(spark, sf_dir, docs), "batch"),
+        docs,
+        frequency(spark, sf_dir),
     )
-    return lsh.lookup(table.join(batch, "doc", "left_semi"), table.join(batch, "doc", "left_anti"))
+
+
+def clusters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters after two nightly runs: the reviewed documents arrive on the second.
+
+    The second run pairs its batch with itself and with what is stored, never the stored documents.
+    """
+    texts = stage(cleaned(spark, sf_dir), "cleaned")
+    docs = stage(sh.distinct_documents(texts), "documents")
+    table = stage(bands(spark, sf_dir), "bands")
+    batch = stage(_reviewed(spark, sf_dir, docs), "batch")
+    common = frequency(spark, sf_dir)
+    first = rs.match_components(table.join(batch, "doc", "left_anti"), docs, common)
+    second = rs.extend_components(first, table, batch, docs, common)
+    return rs.cluster_members(texts, docs, second)
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,6 +403,7 @@ QUERIES = {
     "retrieval_recall": retrieval_recall,
     "mitigation_report": mitigation_report,
     "clusters": clusters,
+    "clusters_incremental": clusters_incremental,
     "cluster_histogram": cluster_histogram,
     "alias_update": alias_update,
     "alias_resolve": alias_resolve,

@@ -347,6 +347,7 @@ SELECTS = {
         {_mitigation('unpruned', 'unpruned_bands')}
         UNION ALL {_mitigation('pruned', 'notice_bands')}""",
     "clusters": "SELECT * FROM members",
+    "clusters_incremental": "SELECT * FROM members",
     "cluster_histogram": """
         SELECT size, count(*) AS n_clusters, size * count(*) AS n_notices,
                size * (size - 1) / 2 * count(*) AS duplicate_pairs

@@ -293,10 +293,31 @@ def test_histogram_and_base_rate(spark, rows):
     assert (rate.possible_pairs, rate.duplicate_pairs, rate.corpus_rate, rate.label_rate) == (15.0, 3.0, 0.2, 0.5)
 
 
-def test_lookup_counts_shared_bands(spark, rows):
-    stored = spark.createDataFrame([(1, 0, "x"), (1, 1, "y"), (2, 0, "z")], "doc long, band_id int, bucket_hash string")
-    incoming = spark.createDataFrame([(9, 0, "x"), (9, 1, "y"), (9, 2, "q")], stored.schema)
-    assert rows(lsh.lookup(incoming, stored)) == [(9, 1, 2)]
+def test_lookup_finds_the_mates_of_a_batch(scene, rows):
+    docs = sorted(scene["texts"])
+    batch = set(docs[::5])
+    incoming = scene["documents"].select("doc").filter(F.col("doc").isin(*batch))
+    common = scene["documents"], scene["frequency"]
+    found = rows(lsh.lookup(scene["bands"], incoming, *common))
+    crossing = {p for p in scene["pairs"] if len(batch & set(p)) == 1}
+    assert {tuple(sorted(r[:2])) for r in found} == crossing
+    assert all(r[0] in batch and 1 <= r[2] <= 32 for r in found)
+    fewer = rows(lsh.lookup(scene["bands"], incoming, *common, hot=2))
+    alike = {p for p in crossing if p in scene["verified"]}
+    assert alike <= {tuple(sorted(r[:2])) for r in fewer} <= crossing
+
+
+@pytest.mark.parametrize("hot", [2, 100])
+def test_second_run_reaches_the_clusters_of_one_full_run(scene, hot):
+    docs = sorted(scene["texts"])
+    incoming = scene["documents"].select("doc").filter(F.col("doc").isin(*docs[::3]))
+    stored = scene["bands"].join(incoming, "doc", "left_anti")
+    common = scene["documents"], scene["frequency"]
+    first = rs.match_components(stored, *common, hot=hot)
+    second = rs.extend_components(first, scene["bands"], incoming, *common, hot=hot).collect()
+    merged = {r.doc: r.component for r in second}
+    assert len(merged) == len(second)
+    assert {d: merged.get(d, d) for d in docs} == components(docs, scene["verified"])
 
 
 def test_cap_boundary(spark):

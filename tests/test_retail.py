@@ -276,3 +276,25 @@ def test_small_readers(spark, tmp_path, rows):
     assert rows(files.read_notices(spark, str(notices)), "notice_id", "body", "estimated_value") == [
         ("N1", 'two\nlines, "quoted"', 1.5), ("N2", "one", None),
     ]
+
+
+def test_whole_job_reads_its_lines_once_and_adds_up(spark, staged, products, tmp_path, rows):
+    from mercatura.plans import retail
+
+    categories = dims.with_discount_category(
+        spark.createDataFrame([("C01", "Biscuits", "Food", 0.18)], CATEGORY)
+    )
+    dim = dims.with_discount_product(products(product(1, "P1", dt.date(1990, 1, 1), END)))
+    stores = spark.createDataFrame([("S01", "One", "X")], "store_id string, store_name string, city string")
+    signed = spark.createDataFrame([("1998-10", 20.0)], "month string, revenue_inr double")
+    day = dt.date(1998, 10, 5)
+    raw = staged(
+        line("A", 1, qty=3.0, day=day), line("A", 1, qty=3.0, day=day),
+        line("A", 2, "DISC", 1.0, -5.0, "DISCOUNT", day=day),
+    )
+    results = retail.run(spark, raw, stores, dim, categories, signed, str(tmp_path))
+    assert rows(results["rev_by_month"], "net_revenue") == [(25.0,)]
+    assert rows(results["federated_topn"], "revenue") == [(30.0,)]
+    assert rows(results["variance_class"], "variance_inr", "cause") == [(5.0, "REVENUE_SCOPE")]
+    for name, column in (("rev_by_store", "net_revenue"), ("rev_by_category", "net_revenue")):
+        assert sum(r[0] for r in rows(results[name], column)) == 25.0
