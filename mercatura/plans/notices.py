@@ -6,18 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercatura.functions import text as tx
 from mercatura.operators import evaluate, lsh, resolve as rs, shingles as sh
-from mercatura.session import stage
+from mercatura.session import stage, stage_once
 from mercatura.sources import standins
 
 WIDEST = lsh.Layout(bands=64, rows=4)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standins.cleaned_notices(spark, sf_dir)
+    """Cleaned notices; like the tables below, stored by the first query that needs them."""
+    return stage_once(
+        spark, sf_dir, "cleaned", lambda: standins.cleaned_notices(spark, sf_dir)
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sh.distinct_documents(cleaned(spark, sf_dir))
+    return stage_once(
+        spark, sf_dir, "documents", lambda: sh.distinct_documents(cleaned(spark, sf_dir))
+    )
 
 
 def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,18 +43,24 @@ def signature_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.band_rows(signature_parts(spark, sf_dir))
+    return stage_once(
+        spark, sf_dir, "bands", lambda: lsh.band_rows(signature_parts(spark, sf_dir))
+    )
 
 
 def notice_bands(spark: SparkSession, sf_dir: str, pruned: bool = True) -> DataFrame:
     """The bucket table over every notice, copies included."""
-    docs = sh.every_notice(cleaned(spark, sf_dir))
-    rows = kept_rows(spark, sf_dir, docs) if pruned else sh.shingle_rows(docs)
-    return lsh.band_rows(lsh.signature_parts(rows))
+
+    def build() -> DataFrame:
+        docs = sh.every_notice(cleaned(spark, sf_dir))
+        rows = kept_rows(spark, sf_dir, docs) if pruned else sh.shingle_rows(docs)
+        return lsh.band_rows(lsh.signature_parts(rows))
+
+    return stage_once(spark, sf_dir, "pruned_bands" if pruned else "all_bands", build)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standins.labelled_pairs(spark, sf_dir)
+    return stage_once(spark, sf_dir, "labelled", lambda: standins.labelled_pairs(spark, sf_dir))
 
 
 def _as_docs(pairs: DataFrame) -> DataFrame:
@@ -67,7 +78,9 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rs.resolve(cleaned(spark, sf_dir))
+    return stage_once(
+        spark, sf_dir, "members", lambda: rs.resolve(standins.cleaned_notices(spark, sf_dir))
+    )
 
 
 # --- registered queries ---------------------------------------------------------------------------
@@ -78,7 +91,7 @@ def _digest(items: Column) -> Column:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned(spark, sf_dir)
+    return standins.cleaned_notices(spark, sf_dir)
 
 
 def clean_text_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +158,7 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bands(spark, sf_dir)
+    return lsh.band_rows(signature_parts(spark, sf_dir))
 
 
 def lsh_bands_older(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,15 +172,13 @@ def lsh_bands_older(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.candidate_pairs(
-        stage(bands(spark, sf_dir), "bands"), documents(spark, sf_dir), frequency(spark, sf_dir)
+        bands(spark, sf_dir), documents(spark, sf_dir), frequency(spark, sf_dir)
     )
 
 
 def verified_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = stage(documents(spark, sf_dir), "documents")
-    pairs = lsh.candidate_pairs(
-        stage(bands(spark, sf_dir), "bands"), docs, frequency(spark, sf_dir)
-    )
+    docs = documents(spark, sf_dir)
+    pairs = lsh_candidates(spark, sf_dir)
     copies = docs.select("doc", "n_copies")
     return (
         rs.verify(pairs, docs)
@@ -183,7 +194,7 @@ def bucket_skew_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bucket_skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buckets, implied pairs, the ten largest sizes, and the sources inside the largest bucket."""
-    table = stage(notice_bands(spark, sf_dir), "bands")
+    table = notice_bands(spark, sf_dir)
     summary = lsh.skew_summary(table).select(
         F.inline(
             F.array(
@@ -228,7 +239,7 @@ CAPS = (2, lsh.HOT_BUCKET)
 
 def hot_bucket_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a cap on bucket size would keep and what it would cost, over the whole bucket table."""
-    table = stage(notice_bands(spark, sf_dir), "bands")
+    table = notice_bands(spark, sf_dir)
     reports = [lsh.skew_summary(table, cap).withColumn("cap", F.lit(cap)) for cap in CAPS]
     return reports[0].unionByName(reports[1])
 
@@ -240,7 +251,7 @@ def shared_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retrieval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall on pairs labelled same, with every bucket and with buckets up to a cap."""
-    table = stage(notice_bands(spark, sf_dir), "bands")
+    table = notice_bands(spark, sf_dir)
     pairs = _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label")
     before = stage(lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared"), "shared")
     reports = [
@@ -258,12 +269,10 @@ def retrieval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mitigation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bucket table and recall without and with pruning of stop shingles."""
-    pairs = stage(
-        _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label"), "labels"
-    )
+    pairs = _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label")
     reports = []
     for name, pruned in (("unpruned", False), ("pruned", True)):
-        table = stage(notice_bands(spark, sf_dir, pruned), "bands")
+        table = notice_bands(spark, sf_dir, pruned)
         shared = lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared")
         recall = evaluate.retrieval_recall(shared, "shared", "shared")
         reports.append(
@@ -298,9 +307,9 @@ def _reviewed(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
 
 def lsh_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents under review looked up among all others through the bucket table."""
-    docs = stage(documents(spark, sf_dir), "documents")
+    docs = documents(spark, sf_dir)
     return lsh.lookup(
-        stage(bands(spark, sf_dir), "bands"),
+        bands(spark, sf_dir),
         stage(_reviewed(spark, sf_dir, docs), "batch"),
         docs,
         frequency(spark, sf_dir),
@@ -312,9 +321,7 @@ def clusters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The second run pairs its batch with itself and with what is stored, never the stored documents.
     """
-    texts = stage(cleaned(spark, sf_dir), "cleaned")
-    docs = stage(sh.distinct_documents(texts), "documents")
-    table = stage(bands(spark, sf_dir), "bands")
+    texts, docs, table = (build(spark, sf_dir) for build in (cleaned, documents, bands))
     batch = stage(_reviewed(spark, sf_dir, docs), "batch")
     common = frequency(spark, sf_dir)
     first = rs.match_components(table.join(batch, "doc", "left_anti"), docs, common)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +57,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_staged: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stage_once(
+    spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A stage table written by its first user in this application and read by the others."""
+    key = (spark.sparkContext.applicationId, scope, name)
+    if key not in _staged:
+        _staged[key] = stage(build(), name)
+    return _staged[key]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor never restarts the plan before it."""
     shared_root(df.sparkSession)
