@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import pii, topk, urls
+from mercatura.llm import jaccard, pii, substrings, topk, urls
 from mercatura.llm.common import read
 
 #: Fixed values of the query on urls.
@@ -26,6 +26,15 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read(spark, sf_dir, "documents"), size=13, first=7)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"), n=4, share=(85, 100))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -33,5 +42,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_pii_spans": op5_pii_spans,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_exact_top_k": op10_exact_top_k,
 }
