@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import jaccard, pii, substrings, topk, urls
+from mercatura.llm import grammar, jaccard, packing, pii, substrings, tokens, topk, urls, wordpiece
 from mercatura.llm.common import read
+from mercatura.session import new_table_path
 
 #: Fixed values of the query on urls.
 RULES = [
@@ -18,6 +20,27 @@ RULES = [
 ]
 
 
+#: Tokenizer files of the queries.
+WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def definition(name: str) -> str:
+    return tokens.read_definition(public_tokenizers.path(name))
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy pieces of the byte vocabulary, in which a blank marks a word's start."""
+    pieces = wordpiece.byte_level_pieces(definition(BYTE_TOKENIZER))
+    return wordpiece.count_pieces(read(spark, sf_dir, "documents"), pieces, mark=b" ")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(
+        read(spark, sf_dir, "documents"), definition(WORD_TOKENIZER), end_id=2, keep_ids=False
+    )
+    return pieces.drop("ids")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read(spark, sf_dir, "pages"), RULES)
 
@@ -26,6 +49,15 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_table_path(spark, "tokens")
+    grammar.write_tokens(read(spark, sf_dir, "documents"), path, definition(WORD_TOKENIZER), end_id=1)
+    found = grammar.read_tokens(spark, path)
+    return found.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(read(spark, sf_dir, "documents"), size=13, first=7)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -40,8 +72,11 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,
     "op5_pii_spans": op5_pii_spans,
+    "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_exact_top_k": op10_exact_top_k,
