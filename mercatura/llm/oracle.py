@@ -44,4 +44,86 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-STATEMENTS = {"op4_url_filter": URL_FILTER, "op10_exact_top_k": EXACT_TOP_K}
+DECONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(text, {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, len(w[s:s + 9]) AS n, array_to_string(w[s:s + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM windows))
+), found AS (
+  SELECT doc_id, s, n, item_id FROM places JOIN windows USING (n, phrase)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM found))
+  GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS phrase
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d)
+), repeated AS (
+  SELECT doc_id, s FROM (SELECT *, min(doc_id) OVER (PARTITION BY phrase) AS first FROM windows)
+  WHERE doc_id > first
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM repeated
+), placed AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM placed ANTI JOIN covered USING (doc_id, p)
+  GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+NGRAM_JACCARD = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, {_AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 3], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), overlaps AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM grams a JOIN grams b USING (gram)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM overlaps JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * both >= 85 * (p.n + q.n - both)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT doc_id, y FROM reached JOIN links ON x = other
+)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+STATEMENTS = {
+    "op4_url_filter": URL_FILTER,
+    "op7_substring_dedup": SUBSTRING_DEDUP,
+    "op8_ngram_jaccard": NGRAM_JACCARD,
+    "op9_decontamination": DECONTAMINATION,
+    "op10_exact_top_k": EXACT_TOP_K,
+}

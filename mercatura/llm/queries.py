@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import grammar, jaccard, packing, pii, substrings, tokens, topk, urls, wordpiece
+from mercatura.llm import decontaminate, grammar, jaccard, packing, pii, substrings, tokens, topk, urls, wordpiece
 from mercatura.llm.common import read
 from mercatura.session import new_table_path
 
@@ -67,6 +67,18 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read(spark, sf_dir, "documents"), n=4, share=(85, 100))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -79,5 +91,6 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_decontamination": op9_decontamination,
     "op10_exact_top_k": op10_exact_top_k,
 }
