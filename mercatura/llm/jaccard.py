@@ -71,7 +71,8 @@ def _least(n: int, share: tuple[int, int]) -> int:
 
 
 def _first_asked(grams: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    return grams[: 2 * slack(len(grams), share) + 1]
+    """The smallest n-grams, mixed again: they crowd at one end of the range that buckets are cut from."""
+    return words.mix(grams[: 2 * slack(len(grams), share) + 1])
 
 
 def _locally_shared(arrays: list[np.ndarray]) -> np.ndarray:

@@ -105,12 +105,12 @@ WITH RECURSIVE d AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM d WHERE len(w) > 0)
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
-), overlaps AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM grams a JOIN grams b USING (gram)
+), met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM grams a JOIN grams b USING (gram)
   WHERE a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
-  SELECT x, y FROM overlaps JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-  WHERE 100 * both >= 85 * (p.n + q.n - both)
+  SELECT x, y FROM met JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 85 * (p.n + q.n - shared)
 ), reached AS (
   SELECT doc_id, doc_id AS other FROM documents
   UNION

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercatura.llm import decontaminate, grammar, jaccard, packing, pii, substrings, tokens, topk, urls, wordpiece
+from mercatura.llm import (
+    decontaminate, grammar, jaccard, packing, pii, quality, substrings, tokens, topk, urls, wordpiece,
+)
 from mercatura.llm.common import read
 from mercatura.session import new_table_path
 
@@ -28,6 +30,26 @@ def definition(name: str) -> str:
     return tokens.read_definition(public_tokenizers.path(name))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a label is kept back from fitting: the CRC-32 of the id as text leaves 1 when divided by 3."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+def fitted_quality(spark: SparkSession, sf_dir: str) -> quality.Field | None:
+    labels = read(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    return quality.fit(read(spark, sf_dir, "documents"), labels)
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score(read(spark, sf_dir, "documents"), fitted_quality(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy pieces of the byte vocabulary, in which a blank marks a word's start."""
     pieces = wordpiece.byte_level_pieces(definition(BYTE_TOKENIZER))
@@ -84,6 +106,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_url_filter": op4_url_filter,

@@ -67,10 +67,13 @@ class Block:
         return words.windows(self.hashes, size)
 
     def tops(self, short: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the windows of ``size`` words, and the hash of the short window that stands for each."""
+        """Starts of the windows of ``size`` words, and the hash of the short window that stands for each.
+
+        The smallest hashes crowd at one end of the range that buckets are cut from, so they are mixed again.
+        """
         _, best = smallest_inside(self.windows(short), short, size)
         starts = np.flatnonzero(self.inside(size))
-        return starts, best[starts]
+        return starts, words.mix(best[starts])
 
     def smallest_ids(self, starts: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, ...]:
         """Distinct values, the smallest and the largest id that each occurs with, and each value's number."""
