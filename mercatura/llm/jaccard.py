@@ -14,7 +14,8 @@ least ``share`` of their union; the result is one row a document with the smalle
    pair's overlaps are counted fragment by fragment and summed, so a long document is spread over many rows.
 4. Under a common n-gram, documents are first compared with one pivot, which is linear, and linked ones
    form components. Pivots change for some rounds; only then are the documents that still meet in different
-   components compared pairwise. A large group of copies is never paired up.
+   components compared pairwise, where the n-grams that each has in common with any other allow a link. A
+   large group of copies is never paired up.
 
 Links between documents of one component can't change the result, so the answer is that of all pairs. Words are
 maximal runs of characters other than blank, tab and line or page breaks, with A-Z lower-cased. A document
@@ -41,7 +42,7 @@ from mercatura.session import stage
 
 FRAGMENT_BITS = 4
 #: Rounds of comparing with pivots before what is left is compared pairwise.
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
 
 
 class Sets:
@@ -121,7 +122,8 @@ def shared_sets(texts: DataFrame, n: int, share: tuple[int, int]) -> DataFrame:
 
 
 def rare_prefixes(sets: DataFrame, share: tuple[int, int], bits: int) -> DataFrame:
-    """N-grams under which a document can meet a partner: gram, doc, size. ``sets``: block, doc, grams."""
+    """N-grams under which a document can meet a partner: gram, doc, size, common (how many of its n-grams other
+    documents have too). ``sets``: block, doc, grams."""
     blocks = sets.groupBy("block")
 
     def arrays(table: pa.Table) -> list[np.ndarray]:
@@ -134,21 +136,23 @@ def rare_prefixes(sets: DataFrame, share: tuple[int, int], bits: int) -> DataFra
         )
 
     def order(key, table: pa.Table, answers: pa.Table) -> pa.Table:
-        common, counts = lookup.replied(answers)
-        rows = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        known_grams, counts = lookup.replied(answers)
+        rows = [(np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))]
         for doc, grams in zip(table["doc"].to_pylist(), arrays(table), strict=True):
             held = np.ones(len(grams), dtype=np.int64)
-            known = lookup.member(grams, common)
-            held[known] = counts[np.searchsorted(common, grams[known])]
+            known = lookup.member(grams, known_grams)
+            held[known] = counts[np.searchsorted(known_grams, grams[known])]
             first = np.lexsort((grams, held))[: slack(len(grams), share) + 1]
             first = first[held[first] > 1]
             same = np.ones(len(first), dtype=np.int64)
-            rows.append((grams[first], same * doc, same * len(grams)))
-        gram, doc, size = (np.concatenate(x) for x in zip(*rows, strict=True))
-        return pa.table({"gram": gram.view(np.int64), "doc": doc, "size": size})
+            rows.append((grams[first], same * doc, same * len(grams), same * (held > 1).sum()))
+        gram, doc, size, common = (np.concatenate(x) for x in zip(*rows, strict=True))
+        return pa.table({"gram": gram.view(np.int64), "doc": doc, "size": size, "common": common})
 
     answers = lookup.ask(blocks.applyInArrow(ask, lookup.REQUEST), "count")
-    return blocks.cogroup(answers.groupBy("block")).applyInArrow(order, "gram long, doc long, size long")
+    return blocks.cogroup(answers.groupBy("block")).applyInArrow(
+        order, "gram long, doc long, size long, common long"
+    )
 
 
 def segments(sets: DataFrame) -> DataFrame:
@@ -187,8 +191,21 @@ def partial_overlap(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(found, pa.int64())
 
 
-def _compatible(a: Column, b: Column, share: tuple[int, int]) -> Column:
-    return share[1] * F.least(a, b) >= share[0] * F.greatest(a, b)
+def _compatible(share: tuple[int, int]) -> Column:
+    """Whether documents a and b may link: their intersection has no more than either's common n-grams."""
+    most = F.least("common_a", "common_b")
+    return share[1] * most >= share[0] * (F.col("size_a") + F.col("size_b") - most)
+
+
+def _side(postings: DataFrame, side: str) -> DataFrame:
+    columns = ("size", "common", "component")
+    return postings.select("gram", F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+
+
+def _pairs(met: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs of different components that may link; a pair may meet under many n-grams."""
+    apart = met.filter((F.col("component_a") != F.col("component_b")) & _compatible(share))
+    return stage(apart.select("a", "size_a", "b", "size_b").distinct(), "pairs")
 
 
 def linked(pairs: DataFrame, cut: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -205,21 +222,18 @@ def linked(pairs: DataFrame, cut: DataFrame, share: tuple[int, int]) -> DataFram
     return summed.filter(share[1] * F.col("overlap") >= share[0] * union).select("a", "b")
 
 
-def _with_pivots(postings: DataFrame, share: tuple[int, int], turn: int) -> DataFrame:
-    """Documents with the pivot of an n-gram, where the two are in different components."""
-    rank = F.struct(F.xxhash64(F.lit(turn), "component"), F.xxhash64(F.lit(turn), "doc"), "doc", "size", "component")
-    pivots = postings.groupBy("gram").agg(F.min(rank).alias("pivot")).select(
-        "gram",
-        F.col("pivot.doc").alias("a"),
-        F.col("pivot.size").alias("size_a"),
-        F.col("pivot.component").alias("component_a"),
-    )
-    return (
-        postings.join(stage(pivots, "pivots"), "gram")
-        .filter((F.col("component") != F.col("component_a")) & _compatible(F.col("size"), F.col("size_a"), share))
-        .select("a", "size_a", F.col("doc").alias("b"), F.col("size").alias("size_b"))
-        .distinct()
-    )
+def _with_pivots(postings: DataFrame, turn: int) -> DataFrame:
+    """Documents with the pivot of each of their n-grams.
+
+    First the one with the fewest n-grams of its own, which most others link with; then the same of a
+    component that changes from turn to turn.
+    """
+    own = F.col("size") - F.col("common")
+    drawn = F.xxhash64(F.lit(turn), "component") if turn else F.lit(0).cast("long")
+    rank = F.struct(drawn.alias("drawn"), own.alias("own"), "doc", "size", "common", "component")
+    best = postings.groupBy("gram").agg(F.min(rank).alias("pivot")).select("gram", "pivot.*")
+    pivots = stage(_side(best, "a"), "pivots")
+    return _side(postings, "b").join(pivots, "gram")
 
 
 def _mixed(postings: DataFrame) -> DataFrame:
@@ -241,27 +255,20 @@ def _relabelled(postings: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def links_between(postings: DataFrame, cut: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links that connect the same documents as all links do: a, b. ``postings``: gram, doc, size."""
+    """Links that connect the same documents as all links do: a, b. ``postings``: gram, doc, size,
+    common."""
     left = _mixed(postings.withColumn("component", F.col("doc")))
     links = postings.sparkSession.createDataFrame([], "a long, b long")
     for turn in range(PIVOT_ROUNDS):
         if left.isEmpty():
             return links
-        pairs = stage(_with_pivots(left, share, turn), "pairs")
+        pairs = _pairs(_with_pivots(left, turn), share)
         links = links.unionByName(stage(linked(pairs, cut, share), "links"))
         left = _mixed(_relabelled(left, links))
     if left.isEmpty():
         return links
-    a = left.select("gram", F.col("doc").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"))
-    b = left.select("gram", F.col("doc").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"))
-    pairs = (
-        a.join(b, "gram")
-        .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-        .filter(_compatible(F.col("size_a"), F.col("size_b"), share))
-        .select("a", "size_a", "b", "size_b")
-        .distinct()
-    )
-    return links.unionByName(stage(linked(stage(pairs, "pairs"), cut, share), "links"))
+    pairs = _pairs(_side(left, "a").join(_side(left, "b"), "gram").filter("a < b"), share)
+    return links.unionByName(stage(linked(pairs, cut, share), "links"))
 
 
 def jaccard_components(
