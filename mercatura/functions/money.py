@@ -4,7 +4,6 @@ from pyspark.sql import Column, functions as F
 
 # The closed set of line types, split by whether they count as revenue.
 REVENUE_LINE_TYPES = ("SALE", "RETURN", "DISCOUNT", "VOID")
-NON_REVENUE_LINE_TYPES = ("TAX", "TENDER")
 
 
 def is_revenue(line_type: Column) -> Column:

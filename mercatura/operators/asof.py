@@ -30,18 +30,6 @@ def join_version(
     return f.join(v, match, how).drop(f"version_{code}")
 
 
-PRICES_AS_OF = """
-SELECT p.product_code, p.product_name, c.category_name,
-       r.selling_price AS effective_selling_price, r.mrp AS effective_mrp,
-       r.effective_from, r.effective_to, CAST(:as_of AS DATE) AS reporting_date
-FROM {products} p
-JOIN {categories} c USING (category_id)
-JOIN {prices} r USING (product_sk)
-WHERE CAST(:as_of AS DATE) BETWEEN p.valid_from AND p.valid_to
-  AND CAST(:as_of AS DATE) BETWEEN r.effective_from AND r.effective_to
-"""
-
-
 def prices_as_of(
     products: DataFrame,
     categories: DataFrame,
@@ -49,29 +37,43 @@ def prices_as_of(
     as_of: dt.date | str,
     codes: list[str] | None = None,
 ) -> DataFrame:
-    """Prices in force on one date: one SQL text, the date bound as a parameter."""
-    found = products.sparkSession.sql(
-        PRICES_AS_OF,
-        args={"as_of": str(as_of)},
-        products=products,
-        categories=categories,
-        prices=prices,
+    """Prices in force on one date, of all codes or of those listed.
+
+    Both validity tests are filters on their own table, so they reach its scan before anything is joined.
+    """
+    day = F.to_date(F.lit(str(as_of)))
+    current = products.filter(valid_on(day, F.col("valid_from"), F.col("valid_to")))
+    if codes is not None:
+        current = current.filter(F.col("product_code").isin(*codes))
+    in_force = prices.filter(valid_on(day, F.col("effective_from"), F.col("effective_to")))
+    return (
+        in_force.join(current.select("product_sk", "product_code", "product_name", "category_id"), "product_sk")
+        .join(categories.select("category_id", "category_name"), "category_id")
+        .select(
+            "product_code",
+            "product_name",
+            "category_name",
+            F.col("selling_price").alias("price"),
+            F.col("mrp").alias("list_price"),
+            F.col("effective_from").alias("price_since"),
+            F.col("effective_to").alias("price_until"),
+            day.alias("as_of"),
+        )
     )
-    return found if codes is None else found.filter(F.col("product_code").isin(*codes))
 
 
 def price_drift(before: DataFrame, after: DataFrame) -> DataFrame:
     """Change of price between two dates, matched on the code."""
     b, a = before.alias("b"), after.alias("a")
-    old, new = F.col("b.effective_selling_price"), F.col("a.effective_selling_price")
+    old, new = F.col("b.price"), F.col("a.price")
     drift = (new - old).cast("double")
     return b.join(a, "product_code").select(
         "product_code",
         F.col("b.product_name").alias("product_name"),
         old.cast("double").alias("price_before"),
         new.cast("double").alias("price_after"),
-        F.col("b.effective_mrp").cast("double").alias("mrp_before"),
-        F.col("a.effective_mrp").cast("double").alias("mrp_after"),
+        F.col("b.list_price").cast("double").alias("mrp_before"),
+        F.col("a.list_price").cast("double").alias("mrp_after"),
         F.round(drift, 2).alias("drift"),
         F.round(F.try_divide(drift, old.cast("double")) * 100, 1).alias("drift_pct"),
     )

@@ -19,10 +19,6 @@ def keep_latest(lines: DataFrame, key=LINE_KEY, latest: str = "raw_ts") -> DataF
     return ranked.filter("rn = 1").drop("rn")
 
 
-def keep_any(lines: DataFrame, key=LINE_KEY) -> DataFrame:
-    return lines.dropDuplicates(list(key))
-
-
 def with_month(lines: DataFrame) -> DataFrame:
     return lines.withColumn("year_month", F.date_format("business_date", "yyyy-MM"))
 

@@ -49,7 +49,9 @@ def year_bounds(dates: DataFrame, column: str) -> DataFrame:
 
 
 def _with_member(dim: DataFrame, member: tuple, schema) -> DataFrame:
-    return dim.unionByName(dim.sparkSession.createDataFrame([member], schema))
+    """A dimension with one more row, made of literals on a one-row range: Spark knows the size of that."""
+    values = [F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(member, schema)]
+    return dim.unionByName(dim.sparkSession.range(1).select(*values))
 
 
 def with_discount_category(categories: DataFrame, member: tuple = DISCOUNT_CATEGORY) -> DataFrame:

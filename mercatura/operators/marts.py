@@ -61,8 +61,7 @@ def revenue_by_category(
 
 
 def revenue_by_weekday(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """The calendar has one row per day of its range, so it is safe to broadcast."""
-    days = F.broadcast(dates.select("date_key", "day_of_week_num", "day_of_week_name"))
+    days = dates.select("date_key", "day_of_week_num", "day_of_week_name")
     return (
         fact.join(days, "date_key")
         .groupBy("day_of_week_num", "day_of_week_name")
@@ -77,7 +76,7 @@ def revenue_by_weekday(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def revenue_by_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
     per_day = fact.groupBy("date_key").agg(F.sum("line_amount").alias("amount"))
-    days = F.broadcast(dates.select("date_key", "year_month", "month_name"))
+    days = dates.select("date_key", "year_month", "month_name")
     return (
         per_day.join(days, "date_key")
         .groupBy("year_month", "month_name")

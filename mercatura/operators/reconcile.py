@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercatura.functions.money import money, total
 
 # Fixed value: differences below one cent agree.
 TOLERANCE = 0.01
+# Chance below which a run of days without lines is no habit of a store.
+RARITY = 1e-4
 
 
 def monthly_revenue(fact: DataFrame) -> DataFrame:
@@ -35,45 +37,57 @@ def reconcile(pipeline: DataFrame, finance: DataFrame, how: str = "inner") -> Da
     )
 
 
-def missing_periods(lines: DataFrame, grain: str = "day") -> DataFrame:
-    """Store-days (or store-months) without a line between a store's first and last trading period.
+def missing_days(lines: DataFrame, rarity: float = RARITY) -> DataFrame:
+    """Days of the feed's span on which a store has no line: ``store_id, missing_day, lost``.
 
-    Each store's own calendar is generated and what was observed is removed; nothing is crossed.
+    Every store of the feed is held against the whole span, so a store that starts late or stops exporting
+    shows. A day is ``lost`` if its run of missing days is too long to be the store's habit: a store that
+    trades on a share p of the days has a run of n days without a line with a chance of ``(1 - p) ** n``, and
+    the run is lost where that is below ``rarity``. Each store's calendar is generated from the span and what
+    was observed is removed; nothing is crossed.
     """
-    period = F.col("business_date") if grain == "day" else F.trunc("business_date", "month")
-    observed = lines.select("store_id", period.alias("period")).distinct()
-    step = F.expr(f"interval 1 {grain}")
-    expected = (
-        observed.groupBy("store_id")
-        .agg(F.min("period").alias("first"), F.max("period").alias("last"))
-        .select("store_id", F.explode(F.sequence("first", "last", step)).alias("period"))
+    observed = lines.select("store_id", F.col("business_date").alias("day")).distinct()
+    span = observed.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    first, last = span.select("first").scalar(), span.select("last").scalar()
+    stores = observed.groupBy("store_id").agg(F.count("*").alias("traded")).select(
+        "store_id", "traded", first.alias("first"), last.alias("last")
+    )
+    habit = F.col("traded") / (F.datediff("last", "first") + 1)
+    expected = stores.select(
+        "store_id", habit.alias("habit"), F.explode(F.sequence("first", "last")).alias("day")
+    )
+    missing = expected.join(observed, ["store_id", "day"], "left_anti")
+    by_store = Window.partitionBy("store_id").orderBy("day")
+    runs = missing.withColumn("run", F.date_sub("day", F.row_number().over(by_store)))
+    length = F.count("*").over(Window.partitionBy("store_id", "run"))
+    return runs.select(
+        "store_id",
+        F.col("day").alias("missing_day"),
+        (F.pow(1 - F.col("habit"), length) < rarity).alias("lost"),
     )
-    return expected.join(observed, ["store_id", "period"], "left_anti")
 
 
-def classify_variance(
-    reconciled: DataFrame, bill_rounded: DataFrame, missing_months: DataFrame
-) -> DataFrame:
+def classify_variance(reconciled: DataFrame, bill_rounded: DataFrame, missing: DataFrame) -> DataFrame:
     """Cause of each difference.
 
-    A signed-off figure equal to the bill-rounded total is a rounding policy; failing that, a store
-    without lines in the month is a gap in the source; failing that, the two sides count other things.
+    A signed-off figure equal to the bill-rounded total is a rounding policy; failing that, lost store-days
+    in the month are a gap in the source; failing that, the two sides count other things.
     """
-    gaps = missing_months.groupBy(F.date_format("period", "yyyy-MM").alias("month")).agg(
-        F.count("*").alias("missing_stores")
-    )
+    gaps = missing.filter("lost").groupBy(F.date_format("missing_day", "yyyy-MM").alias("month")).agg(
+        F.count("*").alias("lost_store_days")
+    )
     rounded_equal = (
         F.abs(money(F.col("revenue_inr")) - money(F.col("bill_rounded_revenue"))) < TOLERANCE
     )
     return (
         reconciled.join(bill_rounded.select("month", "bill_rounded_revenue"), "month", "left")
         .join(gaps, "month", "left")
-        .withColumn("missing_stores", F.coalesce("missing_stores", F.lit(0)))
+        .withColumn("lost_store_days", F.coalesce("lost_store_days", F.lit(0)))
         .withColumn(
             "cause",
             F.when(F.col("status") == "MATCH", "NONE")
             .when(rounded_equal, "ROUNDING_POLICY")
-            .when(F.col("missing_stores") > 0, "SOURCE_GAP")
+            .when(F.col("lost_store_days") > 0, "SOURCE_GAP")
             .otherwise("REVENUE_SCOPE"),
         )
     )

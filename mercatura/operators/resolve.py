@@ -205,7 +205,7 @@ def resolve(
     documents = stage(distinct_documents(cleaned), "documents")
     rows = shingle_rows(documents)
     frequency = document_frequency(rows)
-    kept = prune(rows, stop_shingles(frequency, cleaned))
+    kept = prune(rows, stage(stop_shingles(frequency, cleaned), "stop"))
     bands = stage(lsh.band_rows(lsh.signature_parts(kept, layout), layout), "bands")
     components = match_components(bands, documents, frequency, threshold, hot)
     return cluster_members(cleaned, documents, components)
@@ -231,8 +231,11 @@ def new_aliases(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def merge_aliases(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Alias table after a run: older entries are redirected, so one lookup always resolves."""
+def merge_aliases(existing: DataFrame, new: DataFrame, after: DataFrame) -> DataFrame:
+    """Alias table after a run: older entries are redirected, so one lookup always resolves.
+
+    An identifier that a cluster of ``after`` carries again, as after a split, stands for itself: its entry goes.
+    """
     step = new.select(
         F.col("old_opportunity_id").alias("active_opportunity_id"),
         F.col("active_opportunity_id").alias("next"),
@@ -241,7 +244,12 @@ def merge_aliases(existing: DataFrame, new: DataFrame) -> DataFrame:
         "old_opportunity_id", F.coalesce("next", "active_opportunity_id").alias("active_opportunity_id")
     )
     kept = redirected.join(new.select("old_opportunity_id"), "old_opportunity_id", "left_anti")
-    return kept.unionByName(new).filter("old_opportunity_id <> active_opportunity_id")
+    live = after.select(F.col("opportunity_id").alias("old_opportunity_id")).distinct()
+    return (
+        kept.unionByName(new)
+        .filter("old_opportunity_id <> active_opportunity_id")
+        .join(live, "old_opportunity_id", "left_anti")
+    )
 
 
 def resolve_bookmarks(members: DataFrame, aliases: DataFrame) -> DataFrame:

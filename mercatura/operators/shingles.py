@@ -60,7 +60,6 @@ def stop_shingles(
 def prune(rows: DataFrame, stop: DataFrame) -> DataFrame:
     """Shingle rows without the stop shingles.
 
-    The stop list is safe to broadcast: each entry needs more than a ``max_share`` of the notices, so
-    there are at most ``1 / max_share`` times the mean shingle count of one notice.
+    ``stop`` should be a stored table: its size is then known, and Spark broadcasts it where that is small.
     """
-    return rows.join(F.broadcast(stop.select("shingle")), "shingle", "left_anti")
+    return rows.join(stop.select("shingle"), "shingle", "left_anti")

@@ -30,7 +30,12 @@ def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sh.stop_shingles(frequency(spark, sf_dir), standins.notices(spark, sf_dir))
+    return stage_once(
+        spark,
+        sf_dir,
+        "stop",
+        lambda: sh.stop_shingles(frequency(spark, sf_dir), standins.notices(spark, sf_dir)),
+    )
 
 
 def kept_rows(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:

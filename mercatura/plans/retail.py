@@ -11,7 +11,8 @@ from mercatura.sources import exports, files, sinks, standins
 
 LAKE_MONTH = "1998-10"
 AS_OF_BEFORE, AS_OF_AFTER = "1996-03-31", "1999-10-31"
-PART_PATTERN = "store_id=S07/year_month=1998-10/"
+PRICED_CODES = ["P3", "P17", "P40", "P41", "P99", "no such code"]
+PART_STORE = "S04"
 
 _lakes: dict[tuple[str, str], str] = {}
 
@@ -66,8 +67,8 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_pruning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inventory = files.file_inventory(spark, lake_root(spark, sf_dir))
-    return files.pruning_report(inventory, PART_PATTERN)
+    lake = files.read_lake(spark, lake_root(spark, sf_dir))
+    return files.scan_report(lake, (F.col("store_id") == PART_STORE) & (F.col("year_month") == LAKE_MONTH))
 
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,22 +122,28 @@ def federated_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _prices(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
+def _prices(
+    spark: SparkSession, sf_dir: str, as_of: str, codes: list[str] | None = None
+) -> DataFrame:
     return asof.prices_as_of(
         standins.products(spark, sf_dir),
         standins.categories(spark, sf_dir),
         standins.prices(spark, sf_dir),
         as_of,
+        codes,
     )
 
 
+def _plain_prices(prices: DataFrame) -> DataFrame:
+    return prices.withColumns({c: F.col(c).cast("double") for c in ("price", "list_price")})
+
+
 def prices_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prices(spark, sf_dir, AS_OF_BEFORE).withColumns(
-        {
-            c: F.col(c).cast("double")
-            for c in ("effective_selling_price", "effective_mrp")
-        }
-    )
+    return _plain_prices(_prices(spark, sf_dir, AS_OF_BEFORE))
+
+
+def prices_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_prices(_prices(spark, sf_dir, AS_OF_AFTER, PRICED_CODES))
 
 
 def price_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,13 +170,13 @@ def variance_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.classify_variance(
         reconciled,
         marts.bill_rounded_revenue(feed_fact),
-        reconcile.missing_periods(feed, "month"),
+        reconcile.missing_days(feed),
     )
 
 
 def missing_store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = standins.without_outage(lines(spark, sf_dir))
-    return reconcile.missing_periods(feed).withColumnRenamed("period", "missing_day")
+    return reconcile.missing_days(feed)
 
 
 def rev_bill_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +194,7 @@ def reissued_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Last year's table and a later load: settled order lines, then open ones, keys in common."""
+    """Settled order lines, one of each key, and a later batch of open ones as sent, keys repeated in it."""
     raw = standins.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("bill_no"),
         F.col("l_linenumber").alias("line_no"),
@@ -196,17 +203,15 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.col("l_quantity").alias("qty"),
         "l_linestatus",
     )
-    return tuple(
-        dedup.keep_latest(raw.filter(F.col("l_linestatus") == s)) for s in ("F", "O")
-    )
+    return dedup.keep_latest(raw.filter("l_linestatus = 'F'")), raw.filter("l_linestatus = 'O'")
 
 
 def upsert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.upsert_keep_first(*_two_loads(spark, sf_dir), ["bill_no", "line_no"])
+    return sinks.upsert_keep_first(*_two_loads(spark, sf_dir), ["bill_no", "line_no"], ["raw_ts"])
 
 
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.upsert_keep_last(*_two_loads(spark, sf_dir), ["bill_no", "line_no"])
+    return sinks.upsert_keep_last(*_two_loads(spark, sf_dir), ["bill_no", "line_no"], ["raw_ts"])
 
 
 QUERIES = {
@@ -233,6 +238,7 @@ QUERIES = {
     "rev_bill_rounded": rev_bill_rounded,
     "federated_topn": federated_topn,
     "prices_as_of": prices_as_of,
+    "prices_of_codes": prices_of_codes,
     "price_drift": price_drift,
     "finance_reconcile": finance_reconcile,
     "variance_class": variance_class,
@@ -275,6 +281,6 @@ def run(
         "variance_class": reconcile.classify_variance(
             reconciled,
             marts.bill_rounded_revenue(built),
-            reconcile.missing_periods(lake, "month"),
+            reconcile.missing_days(lake),
         ),
     }

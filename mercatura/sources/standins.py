@@ -7,16 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from mercatura.functions import text as tx
 from mercatura.functions.money import money
 from mercatura.operators import dims
-from mercatura.operators.dedup import with_month
 from mercatura.operators.joins import join_by_key
 from mercatura.schemas import FINANCE_MONTH
 from mercatura.sources.exports import Dialect, RENAMED_COLUMNS, STAGED_COLUMNS
 
 REISSUE_DAY = "1998-04-01"
 MASTER_START = "1990-01-01"
-OUTAGE_STORE, OUTAGE_MONTH = "S07", "1997-07"
-SCOPE_MONTH, SCOPE_AMOUNT = "1996-03", 486250.00
-ROUNDED_MONTH = "1998-12"
+# Invented anomalies: a store without exports for some weeks, a sale made elsewhere, a rounded month.
+OUTAGE_STORE, OUTAGE_FIRST, OUTAGE_LAST = "S13", "1995-02-11", "1995-05-20"
+SCOPE_MONTH, SCOPE_AMOUNT = "1994-11", 73918.40
+ROUNDED_MONTH = "1997-09"
 # First and last day of each price interval, and its price and list price in per cent of the base price.
 PRICE_INTERVALS = (
     (MASTER_START, "1996-12-31", 100, 112),
@@ -116,9 +116,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def without_outage(lines: DataFrame) -> DataFrame:
-    """The feed as exported: one store lost its exports for a month."""
-    month = F.date_format("business_date", "yyyy-MM")
-    return lines.filter(~((F.col("store_id") == OUTAGE_STORE) & (month == OUTAGE_MONTH)))
+    """The feed as exported: one store lost its exports for some weeks."""
+    lost = F.col("business_date").between(F.lit(OUTAGE_FIRST).cast("date"), F.lit(OUTAGE_LAST).cast("date"))
+    return lines.filter(~((F.col("store_id") == OUTAGE_STORE) & lost))
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,10 +268,6 @@ def write_exports(lines: DataFrame, root: str) -> None:
         )
 
 
-def lake_lines(deduped: DataFrame) -> DataFrame:
-    return with_month(deduped)
-
-
 # --- notices -----------------------------------------------------------------------------------
 
 NOTICE_RULES = (

@@ -253,7 +253,7 @@ def test_aliases_follow_merges_and_compress_chains(spark, rows):
     night3 = spark.createDataFrame([("a", "OPP_a"), ("b", "OPP_a"), ("c", "OPP_a"), ("d", "OPP_d")], night1.schema)
     second = rs.new_aliases(night1, night2)
     assert rows(second) == [("OPP_c", "OPP_b")]
-    table = rs.merge_aliases(second, rs.new_aliases(night2, night3))
+    table = rs.merge_aliases(second, rs.new_aliases(night2, night3), night3)
     assert rows(table) == [("OPP_b", "OPP_a"), ("OPP_c", "OPP_a")]
     resolved = rs.resolve_bookmarks(night1, table)
     assert rows(resolved, "notice_id", "opportunity_id") == [("a", "OPP_a"), ("b", "OPP_a"), ("c", "OPP_a")]

@@ -142,65 +142,75 @@ def test_calendar_of_a_leap_year(spark, rows):
 def test_prices_as_of_two_dates_and_drift(spark, products, rows):
     categories = spark.createDataFrame([("C01", "Biscuits", "Food", 0.18)], CATEGORY)
     dim = products(
-        product(1, "P100019", dt.date(2022, 1, 1), END), product(2, "P100049", dt.date(2022, 1, 1), END)
+        product(1, "PA", dt.date(2020, 1, 1), END), product(2, "PB", dt.date(2020, 1, 1), END),
+        product(3, "PC", dt.date(2020, 1, 1), dt.date(2020, 12, 31)),
     )
     prices = spark.createDataFrame(
         [
-            (1, 62.95, 70.50, dt.date(2022, 1, 1), dt.date(2024, 4, 13)),
-            (1, 74.65, 83.61, dt.date(2024, 4, 14), END),
-            (2, 66.95, 74.98, dt.date(2022, 1, 1), dt.date(2024, 6, 19)),
-            (2, 68.93, 77.20, dt.date(2024, 6, 20), END),
+            (1, 10.0, 12.0, dt.date(2020, 1, 1), dt.date(2021, 5, 4)),
+            (1, 12.5, 15.0, dt.date(2021, 5, 5), END),
+            (2, 40.0, 44.0, dt.date(2020, 1, 1), dt.date(2021, 7, 7)),
+            (2, 41.0, 45.0, dt.date(2021, 7, 8), END),
+            (3, 9.0, 9.0, dt.date(2020, 1, 1), END),
         ],
         "product_sk long, selling_price double, mrp double, effective_from date, effective_to date",
     )
-    before = asof.prices_as_of(dim, categories, prices, "2024-03-31")
-    after = asof.prices_as_of(dim, categories, prices, "2024-10-31")
+    before = asof.prices_as_of(dim, categories, prices, "2021-01-31")
+    after = asof.prices_as_of(dim, categories, prices, "2021-12-31")
     assert rows(asof.price_drift(before, after), "product_code", "drift", "drift_pct") == [
-        ("P100019", 11.7, 18.6), ("P100049", 1.98, 3.0),
+        ("PA", 2.5, 25.0), ("PB", 1.0, 2.5),
     ]
-    one = asof.prices_as_of(dim, categories, prices, "2024-04-14", ["P100019"])
-    assert rows(one, "product_code", "effective_selling_price") == [("P100019", 74.65)]
+    one = asof.prices_as_of(dim, categories, prices, "2021-05-05", ["PA", "PC", "none"])
+    assert rows(one, "product_code", "price") == [("PA", 12.5)]
 
 
 def test_reconciliation_classifies_injected_anomalies(spark, staged, products, rows):
-    """Scope, outage and rounding months, and one that agrees."""
+    """Scope, outage and rounding months, and one that agrees; one store lost three days."""
     dim = products(product(1, "P1", dt.date(2020, 1, 1), END))
-    months = {m: dt.date(2024, m, 10) for m in (1, 2, 3, 4)}
+    days = [dt.date(2024, 1, 1) + dt.timedelta(k) for k in range(121)]
+    lost = [dt.date(2024, 2, d) for d in (9, 10, 11)]
     lines = [
-        line(f"{store}{m}", price=10.4, store=store, day=day)
-        for m, day in months.items()
+        line(f"{store}{day}", price=10.4, store=store, day=day)
+        for day in days
         for store in ("S01", "S02")
-        if not (store == "S02" and m == 2)
+        if not (store == "S02" and day in lost)
     ]
     feed = staged(*lines)
     fact = marts.sales_fact(feed, dim)
     signed = spark.createDataFrame(
-        [("2024-01", 20.8), ("2024-02", 20.8), ("2024-03", 20.0), ("2024-04", 500.0), ("2024-05", 1.0)],
+        [("2024-01", 644.8), ("2024-02", 603.2), ("2024-03", 620.0), ("2024-04", 999.0), ("2024-05", 1.0)],
         "month string, revenue_inr double",
     )
     monthly = reconcile.monthly_revenue(fact)
     result = reconcile.classify_variance(
         reconcile.reconcile(monthly, signed),
         marts.bill_rounded_revenue(fact),
-        reconcile.missing_periods(feed, "month"),
+        reconcile.missing_days(feed),
     )
-    assert rows(result, "month", "variance_inr", "status", "cause") == [
-        ("2024-01", 0.0, "MATCH", "NONE"),
-        ("2024-02", -10.4, "VARIANCE", "SOURCE_GAP"),
-        ("2024-03", 0.8, "VARIANCE", "ROUNDING_POLICY"),
-        ("2024-04", -479.2, "VARIANCE", "REVENUE_SCOPE"),
+    assert rows(result, "month", "variance_inr", "status", "lost_store_days", "cause") == [
+        ("2024-01", 0.0, "MATCH", 0, "NONE"),
+        ("2024-02", -31.2, "VARIANCE", 3, "SOURCE_GAP"),
+        ("2024-03", 24.8, "VARIANCE", 0, "ROUNDING_POLICY"),
+        ("2024-04", -375.0, "VARIANCE", 0, "REVENUE_SCOPE"),
     ]
     full = reconcile.reconcile(monthly, signed, "full")
     assert rows(full.filter("month = '2024-05'"), "status") == [("MISSING_IN_PIPELINE",)]
 
 
-def test_missing_days_stay_inside_a_stores_own_trading_period(staged, rows):
+def test_missing_days_over_the_whole_span_and_lost_runs(staged, rows):
+    start = dt.date(2024, 1, 1)
+    daily = lambda store, skipped, n=200: [
+        line(store=store, day=start + dt.timedelta(k)) for k in range(n) if k not in skipped
+    ]
+    # one single day, a trailing outage, a store open every fourth day, and one that starts late
     lines = staged(
-        line(day=dt.date(2024, 7, 8)), line(day=dt.date(2024, 7, 12)),
-        line(store="S02", day=dt.date(2024, 7, 1)),
+        *daily("S01", {50}), *daily("S02", set(), 190), *daily("S03", {k for k in range(200) if k % 4}),
+        *daily("S04", set(range(20))),
     )
-    missing = rows(reconcile.missing_periods(lines))
-    assert sorted(d.day for _, d in missing) == [9, 10, 11]
+    missing = rows(reconcile.missing_days(lines))
+    by_store = {s: sorted((d - start).days for t, d, lost in missing if t == s and lost) for s in ("S01", "S02", "S03", "S04")}
+    assert by_store == {"S01": [], "S02": list(range(190, 200)), "S03": [], "S04": list(range(20))}
+    assert sum(s == "S01" for s, *_ in missing) == 1 and sum(s == "S03" for s, *_ in missing) == 150
 
 
 def test_exports_of_all_dialects_and_resent_files(spark, tmp_path, rows):
@@ -242,7 +252,10 @@ def test_lake_round_trip_prunes_and_reloads_in_place(spark, staged, tmp_path, ro
     plan = march._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan
     assert rows(files.read_lake(spark, root, "2024-03"), "bill_no") == [("B1",), ("B2",)]
-    assert files.planned_files(files.read_lake(spark, root, "2024-04")) == 1
+    assert files.scanned_files(files.read_lake(spark, root, "2024-04")) == 1
+    assert rows(files.read_lake(spark, root, "2031-01")) == []
+    part = (F.col("store_id") == "S01") & (F.col("year_month") == "2024-03")
+    assert rows(files.scan_report(lake, part)) == [(3, 3, 1, 1)]
     report = files.pruning_report(
         files.file_inventory(spark, root), "store_id=S01/year_month=2024-03/"
     ).first()
@@ -251,17 +264,21 @@ def test_lake_round_trip_prunes_and_reloads_in_place(spark, staged, tmp_path, ro
 
 
 def test_upserts(spark, rows):
-    existing = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
-    incoming = spark.createDataFrame([(2, "new"), (3, "new")], "k int, v string")
-    assert rows(sinks.upsert_keep_first(existing, incoming, ["k"])) == [(1, "old"), (2, "old"), (3, "new")]
-    assert rows(sinks.upsert_keep_last(existing, incoming, ["k"])) == [(1, "old"), (2, "new"), (3, "new")]
+    existing = spark.createDataFrame([(1, "old", 0), (2, "old", 0)], "k int, v string, t int")
+    incoming = spark.createDataFrame(
+        [(2, "newer", 2), (2, "new", 1), (3, "new", 1), (3, "newest", 3), (3, "newer", 2)], "k int, v string, t int"
+    )
+    first = sinks.upsert_keep_first(existing, incoming, ["k"], ["t"])
+    last = sinks.upsert_keep_last(existing, incoming, ["k"], ["t"])
+    assert rows(first, "k", "v") == [(1, "old"), (2, "old"), (3, "new")]
+    assert rows(last, "k", "v") == [(1, "old"), (2, "newer"), (3, "newest")]
 
 
 def test_small_readers(spark, tmp_path, rows):
-    (tmp_path / "finance.csv").write_text("month,revenue_inr\n2024-01,38446071.33\n")
+    (tmp_path / "finance.csv").write_text("month,revenue_inr\n2024-01,5250.75\n")
     (tmp_path / "pairs.csv").write_text("notice_id_a,notice_id_b,label\nN1,N2,same\n")
     (tmp_path / "truth.json").write_text(
-        '{\n "monthly_net_revenue_in_folder": {"2024-01": 38446071.33},\n'
+        '{\n "monthly_net_revenue_in_folder": {"2024-01": 5250.75},\n'
         ' "finance_notes": {"2024-03": "bulk"}, "cluster_size_hist": {"1": 3350}\n}'
     )
     notices = tmp_path / "notices"
@@ -269,10 +286,10 @@ def test_small_readers(spark, tmp_path, rows):
     header = "notice_id,portal_id,published_at,title,body,estimated_value,closing_date\n"
     (notices / "a.csv").write_text(header + 'N1,P001,2024-01-01,T,"two\nlines, ""quoted""",1.5,2024-02-01\n')
     (notices / "b.csv").write_text(header + "N2,P002,2024-01-02,T,one,,2024-02-01\n")
-    assert rows(files.read_finance(spark, str(tmp_path / "finance.csv"))) == [("2024-01", 38446071.33)]
+    assert rows(files.read_finance(spark, str(tmp_path / "finance.csv"))) == [("2024-01", 5250.75)]
     assert rows(files.read_labelled_pairs(spark, str(tmp_path / "pairs.csv"))) == [("N1", "N2", "same")]
     truth = files.read_truth(spark, str(tmp_path / "truth.json"))
-    assert rows(files.expected_months(truth)) == [("2024-01", 38446071.33)]
+    assert rows(files.expected_months(truth)) == [("2024-01", 5250.75)]
     assert rows(files.read_notices(spark, str(notices)), "notice_id", "body", "estimated_value") == [
         ("N1", 'two\nlines, "quoted"', 1.5), ("N2", "one", None),
     ]
@@ -298,3 +315,13 @@ def test_whole_job_reads_its_lines_once_and_adds_up(spark, staged, products, tmp
     assert rows(results["variance_class"], "variance_inr", "cause") == [(5.0, "REVENUE_SCOPE")]
     for name, column in (("rev_by_store", "net_revenue"), ("rev_by_category", "net_revenue")):
         assert sum(r[0] for r in rows(results[name], column)) == 25.0
+
+
+def test_small_dimensions_are_broadcast(spark):
+    """Default members keep the size of their dimension known, so no fact is shuffled to be joined."""
+    from mercatura.plans import retail
+
+    for name in ("fact_sales", "federated_topn", "rev_by_category", "prices_as_of"):
+        plan = retail.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+        joins = plan.split("Scan parquet")[0] if name == "fact_sales" else plan
+        assert "BroadcastHashJoin" in joins and "SortMergeJoin" not in joins, name
