@@ -16,7 +16,7 @@ from mercatura.operators import (  # noqa: E402
     dedup, lsh, marts, reconcile, resolve as rs, shingles as sh,
 )
 from mercatura.plans import retail  # noqa: E402
-from mercatura.session import build_session, new_table_path, stage  # noqa: E402
+from mercatura.session import build_session, new_table_path, release, stage  # noqa: E402
 from mercatura.sources import files, sinks, standins  # noqa: E402
 
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -168,6 +168,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 

@@ -1,4 +1,4 @@
-"""MinHash signatures, LSH bands, and candidate pairs that stay bounded in hot buckets."""
+"""MinHash signatures, LSH bands, and candidate pairs."""
 
 from __future__ import annotations
 
@@ -11,17 +11,16 @@ from mercatura.functions.minhash import (
     PRIME,
     ROWS,
     SEED,
-    SIGNATURE_SIZE,
     bucket_key,
     coefficients,
     shingle_hash,
 )
 from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import shingle_rows
+from mercatura.session import stage
 
 BUCKET = ["band_id", "bucket_hash"]
-# Bucket size from which a bucket counts as hot, and the similarity that merges.
-HOT_BUCKET = 100
+# Fixed value: the similarity that merges.
 MERGE_THRESHOLD = 0.55
 # Minima per aggregate: more columns than this make generated code too large to be compiled.
 MAX_WIDTH = 32
@@ -109,26 +108,18 @@ def bucket_sizes(bands: DataFrame) -> DataFrame:
     return bands.groupBy(*BUCKET).agg(F.count("*").alias("n_members"))
 
 
-def bucket_lists(bands: DataFrame) -> DataFrame:
-    """The buckets of each document as one array; it has at most one entry per band."""
-    key = F.concat_ws(":", F.col("band_id").cast("string"), "bucket_hash")
-    return bands.groupBy("doc").agg(F.collect_set(key).alias("buckets"))
+def different_buckets(bands: DataFrame) -> DataFrame:
+    """Buckets of two members or more, one of each different set of members.
 
-
-def _paired(rows: DataFrame, on: list[str], extra: Column | None = None) -> DataFrame:
-    """Pairs within groups of ``rows(doc, label, ...)``, across labels, each once per group."""
-    a, b = rows.alias("a"), rows.alias("b")
-    match = (F.col("a.doc") < F.col("b.doc")) & (F.col("a.label") != F.col("b.label"))
-    for name in on:
-        match = match & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    if extra is not None:
-        match = match & extra
-    return a.join(b, match).select(F.col("a.doc").alias("doc_a"), F.col("b.doc").alias("doc_b"))
-
-
-def bucket_pairs(bands: DataFrame) -> DataFrame:
-    """Every pair sharing a bucket, each once; for bucket tables known to have no hot bucket."""
-    return _paired(bands.withColumn("label", F.col("doc")), BUCKET).distinct()
+    Near copies share most of their buckets, so most sets of members occur in many bands. Sets are told apart
+    by their size and two sums of hashes of the members.
+    """
+    member = [F.xxhash64(F.lit(salt), "doc").cast("decimal(38,0)") for salt in (0, 1)]
+    sets = bands.groupBy(*BUCKET).agg(
+        F.count("*").alias("n"), F.sum(member[0]).alias("s"), F.sum(member[1]).alias("t")
+    )
+    first = F.min(F.struct(*BUCKET)).alias("first")
+    return sets.filter("n > 1").groupBy("n", "s", "t").agg(first).select("first.*")
 
 
 def rarest_shingles(
@@ -155,102 +146,143 @@ def rarest_shingles(
     )
 
 
+def meeting_rows(
+    bands: DataFrame, documents: DataFrame, frequency: DataFrame, threshold: float = MERGE_THRESHOLD
+) -> DataFrame:
+    """What documents can meet under: a bucket and one of their rarest shingles, ``doc, band_id, bucket_hash,
+    shingle, n_shingles``. A key never spans buckets, and a frequent shingle is hardly anyone's rarest."""
+    crowd = join_by_key(bands, different_buckets(bands), BUCKET, "left_semi")
+    members = documents.join(crowd.select("doc").distinct(), "doc", "left_semi")
+    return crowd.join(rarest_shingles(members, frequency, threshold), "doc")
+
+
+MEETING = [*BUCKET, "shingle"]
+
+
+def _met(a: DataFrame, b: DataFrame, apart: Column, threshold: float) -> DataFrame:
+    """Pairs of rows ``a`` and ``b`` that meet and whose sizes allow ``threshold``."""
+    match = apart
+    for name in MEETING:
+        match = match & (F.col(f"a.{name}") == F.col(f"b.{name}"))
+    sizes = (F.col("a.n_shingles"), F.col("b.n_shingles"))
+    compatible = F.least(*sizes) >= F.greatest(*sizes) * threshold - 1e-6
+    docs = (F.col("a.doc"), F.col("b.doc"))
+    return (
+        a.alias("a").join(b.alias("b"), match & compatible)
+        .select(F.least(*docs).alias("doc_a"), F.greatest(*docs).alias("doc_b"))
+        .distinct()
+    )
+
+
 def candidate_pairs(
     bands: DataFrame,
     documents: DataFrame,
     frequency: DataFrame,
     labels: DataFrame | None = None,
-    hot: int = HOT_BUCKET,
     threshold: float = MERGE_THRESHOLD,
 ) -> DataFrame:
-    """Documents that share a bucket: ``doc_a < doc_b``, each pair once.
-
-    Buckets up to ``hot`` members are paired directly, so a row meets a bounded number of others.
-    Members of larger buckets are paired only where they also share one of their rarest shingles and
-    have compatible sizes; every pair able to reach ``threshold`` does, so verification loses nothing.
-    With ``labels(doc, label)`` only pairs across labels are formed. ``bands`` is read several times and
-    should be a stored table; whether any bucket is hot is asked first, as the second way needs the
-    frequency of every shingle.
+    """Documents that share a bucket and may reach ``threshold``: ``doc_a < doc_b``, each pair once.
+
+    They share one of their rarest shingles and have compatible sizes, as all pairs of that similarity do, so
+    verification loses nothing. The definition is the same for buckets of every size. With
+    ``labels(doc, label)`` only pairs across labels are formed. ``bands`` is read several times and should be
+    a stored table.
     """
+    rows = meeting_rows(bands, documents, frequency, threshold)
     if labels is None:
-        rows = bands.withColumn("label", F.col("doc"))
+        rows = rows.withColumn("label", F.col("doc"))
     else:
-        rows = bands.join(labels, "doc", "left").withColumn(
+        rows = rows.join(labels, "doc", "left").withColumn(
             "label", F.coalesce("label", F.col("doc"))
         )
-    crowded = bucket_sizes(bands).filter(F.col("n_members") > hot).select(*BUCKET)
-    if crowded.isEmpty():
-        return _paired(rows, BUCKET).distinct()
-    bounded = _paired(join_by_key(rows, crowded, BUCKET, "left_anti"), BUCKET)
-
-    crowd = join_by_key(rows, crowded, BUCKET, "left_semi")
-    members = crowd.select("doc", "label").distinct()
-    rare = rarest_shingles(documents.join(members, "doc", "left_semi"), frequency, threshold).join(
-        members, "doc"
-    )
-    sizes = (F.col("a.n_shingles"), F.col("b.n_shingles"))
-    compatible = F.least(*sizes) >= F.greatest(*sizes) * threshold - 1e-6
-    sharing = _paired(rare, ["shingle"], compatible).distinct()
-    lists = bucket_lists(crowd)
-    together = (
-        join_by_key(
-            join_by_key(sharing, lists.toDF("doc_a", "buckets_a"), ["doc_a"]),
-            lists.toDF("doc_b", "buckets_b"),
-            ["doc_b"],
-        )
-        .filter(F.arrays_overlap("buckets_a", "buckets_b"))
-        .select("doc_a", "doc_b")
-    )
-    return bounded.unionByName(together).distinct()
+    rows = stage(rows, "meeting")
+    apart = (F.col("a.doc") < F.col("b.doc")) & (F.col("a.label") != F.col("b.label"))
+    return _met(rows, rows, apart, threshold)
 
 
-def with_side(bands: DataFrame, incoming: DataFrame, apart: bool) -> DataFrame:
-    """Labels for pairing a batch: stored documents carry one label, so they never pair up.
-
-    With ``apart`` the batch carries one label too, and only mates in the stored table are found.
-    """
-    batch = F.lit(-2) if apart else F.col("doc")
-    mine = incoming.select("doc", batch.cast("bigint").alias("mine"))
+def _touched(bands: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Rows of the buckets that a batch falls into, marked ``is_incoming``; the rest is not looked at again."""
+    batch = incoming.select("doc").distinct()
+    buckets = bands.join(batch, "doc", "left_semi").select(*BUCKET).distinct()
+    mine = batch.withColumn("mine", F.lit(True))
     return (
-        bands.select("doc")
-        .distinct()
+        join_by_key(bands, buckets, BUCKET, "left_semi")
         .join(mine, "doc", "left")
-        .select("doc", F.coalesce("mine", F.lit(-1)).alias("label"))
+        .select("doc", *BUCKET, F.coalesce("mine", F.lit(False)).alias("is_incoming"))
     )
 
 
-def lookup(
+def batch_pairs(
     bands: DataFrame,
     incoming: DataFrame,
     documents: DataFrame,
     frequency: DataFrame,
-    hot: int = HOT_BUCKET,
+    among: bool = True,
     threshold: float = MERGE_THRESHOLD,
 ) -> DataFrame:
-    """Bucket mates of the documents in ``incoming`` among all others, with the bands they share.
+    """Candidate pairs of a batch with stored documents, and ``among`` its own: ``doc_a < doc_b``.
 
-    As for all candidates, mates that only meet in hot buckets are those able to reach ``threshold``.
+    The batch's rows are joined with the rows of the buckets they fall into; pairs of stored documents are
+    never formed.
     """
-    sides = with_side(bands, incoming, apart=True)
-    pairs = candidate_pairs(bands, documents, frequency, sides, hot, threshold)
-    batch = incoming.select("doc", F.lit(True).alias("is_incoming"))
+    touched = stage(_touched(bands, incoming), "touched")
+    marks = touched.select("doc", "is_incoming").distinct()
+    met = meeting_rows(touched.drop("is_incoming"), documents, frequency, threshold)
+    rows = stage(met.join(marks, "doc"), "meeting")
+    stored = F.lit(False) if not among else F.col("b.is_incoming") & (F.col("a.doc") < F.col("b.doc"))
+    return _met(rows.filter("is_incoming"), rows, ~F.col("b.is_incoming") | stored, threshold)
+
+
+def lookup(
+    bands: DataFrame,
+    incoming: DataFrame,
+    documents: DataFrame,
+    frequency: DataFrame,
+    threshold: float = MERGE_THRESHOLD,
+) -> DataFrame:
+    """Candidates of the documents in ``incoming`` among all others, with the number of bands they share."""
+    pairs = batch_pairs(bands, incoming, documents, frequency, False, threshold)
+    batch = incoming.select("doc", F.lit(True).alias("is_incoming")).distinct()
     sided = pairs.join(batch.toDF("doc_a", "a_incoming"), "doc_a", "left")
     mates = sided.select(
         F.when(F.col("a_incoming"), F.col("doc_a")).otherwise(F.col("doc_b")).alias("incoming_doc"),
         F.when(F.col("a_incoming"), F.col("doc_b")).otherwise(F.col("doc_a")).alias("stored_doc"),
     )
-    return with_shared_bands(mates, bands, "incoming_doc", "stored_doc")
+    return with_shared_bands(stage(mates, "mates"), bands, "incoming_doc", "stored_doc")
+
+
+def shared_buckets(pairs: DataFrame, bands: DataFrame, a: str, b: str) -> DataFrame:
+    """A row for each pair and bucket that holds both; only the bands of documents in pairs are looked at."""
+    docs = pairs.select(F.col(a).alias("doc")).union(pairs.select(F.col(b).alias("doc"))).distinct()
+    mine = bands.join(docs, "doc", "left_semi")
+    left = pairs.join(mine.withColumnRenamed("doc", a), a)
+    return left.join(mine.withColumnRenamed("doc", b), [b, *BUCKET])
 
 
 def with_shared_bands(
     pairs: DataFrame, bands: DataFrame, a: str, b: str, name: str = "shared_bands"
 ) -> DataFrame:
     """Pairs with the number of buckets that hold both documents."""
-    lists = bucket_lists(bands)
-    left = join_by_key(pairs, lists.toDF(a, "buckets_a"), [a], "left")
-    both = join_by_key(left, lists.toDF(b, "buckets_b"), [b], "left")
-    shared = F.size(F.array_intersect("buckets_a", "buckets_b"))
-    return both.select(*pairs.columns, F.coalesce(shared, F.lit(0)).alias(name))
+    counts = shared_buckets(pairs.select(a, b), bands, a, b).groupBy(a, b).agg(F.count("*").alias("n"))
+    return pairs.join(counts, [a, b], "left").select(
+        *pairs.columns, F.coalesce("n", F.lit(0)).cast("int").alias(name)
+    )
+
+
+def with_kept_bands(
+    pairs: DataFrame, bands: DataFrame, a: str, b: str, caps: tuple[int, ...]
+) -> DataFrame:
+    """Pairs with the buckets they share, and for each cap those of no more members: ``shared, kept_<cap>``."""
+    met = stage(shared_buckets(pairs.select(a, b), bands, a, b), "met")
+    crowds = bucket_sizes(join_by_key(bands, met.select(*BUCKET).distinct(), BUCKET, "left_semi"))
+    names = ["shared", *(f"kept_{cap}" for cap in caps)]
+    counts = join_by_key(met, crowds, BUCKET).groupBy(a, b).agg(
+        F.count("*").alias("shared"),
+        *(F.count_if(F.col("n_members") <= cap).alias(f"kept_{cap}") for cap in caps),
+    )
+    return pairs.join(counts, [a, b], "left").select(
+        *pairs.columns, *(F.coalesce(name, F.lit(0)).cast("int").alias(name) for name in names)
+    )
 
 
 def pairs_within(n: Column) -> Column:
@@ -259,7 +291,7 @@ def pairs_within(n: Column) -> Column:
     return (wide * (wide - 1) / 2).cast("decimal(38,0)")
 
 
-def skew_summary(bands: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
+def skew_summary(bands: DataFrame, hot: int) -> DataFrame:
     """Size of the bucket table and the pairs it implies, with and without the hot buckets."""
     sizes = bucket_sizes(bands)
     cold = F.col("n_members") <= hot
@@ -282,9 +314,3 @@ def largest_buckets(bands: DataFrame, top: int = 5) -> DataFrame:
     return (
         bucket_sizes(bands).orderBy(F.desc("n_members"), "band_id", "bucket_hash").limit(top)
     )
-
-
-def without_hot_buckets(bands: DataFrame, hot: int = HOT_BUCKET) -> DataFrame:
-    """The cap as a retrieval mitigation whose cost is to be measured; the resolver does not use it."""
-    crowded = bucket_sizes(bands).filter(F.col("n_members") > hot)
-    return join_by_key(bands, crowded.select(*BUCKET), BUCKET, "left_anti")

@@ -87,9 +87,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 def bucket_stars(bands: DataFrame) -> DataFrame:
     """Each bucket member with the smallest member of its bucket: linear in the bucket rows."""
-    pivots = bands.groupBy(*lsh.BUCKET).agg(F.min("doc").alias("doc_a"))
+    pivots = bands.groupBy(*lsh.BUCKET).agg(F.min("doc").alias("doc_a"), F.count("*").alias("n"))
     return (
-        join_by_key(bands, pivots, lsh.BUCKET)
+        join_by_key(bands, pivots.filter("n > 1").drop("n"), lsh.BUCKET)
         .filter("doc <> doc_a")
         .select("doc_a", F.col("doc").alias("doc_b"))
         .distinct()
@@ -113,19 +113,13 @@ def match_components(
     documents: DataFrame,
     frequency: DataFrame,
     threshold: float = lsh.MERGE_THRESHOLD,
-    hot: int = lsh.HOT_BUCKET,
 ) -> DataFrame:
     """Components of all candidate pairs reaching ``threshold``.
 
-    While no bucket is hot the pairs are few and are simply listed. Otherwise members are first compared
-    with the smallest member of each of their buckets. Only pairs whose sides are still apart can change
-    a component, so only buckets that still mix components are then paired up, and only across
-    components. A crowd of near copies is settled by the first, linear step.
+    Members are first compared with the smallest member of each of their buckets. Only pairs whose sides are
+    still apart can change a component, so only buckets that still mix components are then paired up, and
+    only across components. A crowd of near copies is settled by the first, linear step.
     """
-    if lsh.bucket_sizes(bands).filter(F.col("n_members") > hot).isEmpty():
-        pairs = lsh.bucket_pairs(bands)
-        edges = verify(pairs, documents, threshold).select("doc_a", "doc_b")
-        return connected_components(edges).toDF("doc", "component")
     first = verify(bucket_stars(bands), documents, threshold)
     labels = cut_lineage(
         connected_components(first.select("doc_a", "doc_b")).toDF("doc", "label")
@@ -133,7 +127,7 @@ def match_components(
     mixed = stage(mixed_buckets(bands, labels), "mixed")
     if mixed.isEmpty():
         return labels.withColumnRenamed("label", "component")
-    apart = lsh.candidate_pairs(mixed, documents, frequency, labels, hot, threshold)
+    apart = lsh.candidate_pairs(mixed, documents, frequency, labels, threshold)
     return _merge(labels.toDF("doc", "component"), verify(apart, documents, threshold))
 
 
@@ -162,14 +156,12 @@ def extend_components(
     documents: DataFrame,
     frequency: DataFrame,
     threshold: float = lsh.MERGE_THRESHOLD,
-    hot: int = lsh.HOT_BUCKET,
 ) -> DataFrame:
     """Components after a batch arrives; ``bands`` and ``documents`` already hold the batch.
 
     Pairs of stored documents were settled by earlier runs and are not formed again.
     """
-    sides = lsh.with_side(bands, incoming, apart=False)
-    pairs = lsh.candidate_pairs(bands, documents, frequency, sides, hot, threshold)
+    pairs = lsh.batch_pairs(bands, incoming, documents, frequency, True, threshold)
     return _merge(components, verify(pairs, documents, threshold))
 
 
@@ -198,7 +190,6 @@ def resolve(
     cleaned: DataFrame,
     threshold: float = lsh.MERGE_THRESHOLD,
     layout: lsh.Layout = lsh.DEFAULT,
-    hot: int = lsh.HOT_BUCKET,
 ) -> DataFrame:
     """Cleaned notices to cluster members. Documents and bands are written once and then reread."""
     cleaned = stage(cleaned, "cleaned")
@@ -207,7 +198,7 @@ def resolve(
     frequency = document_frequency(rows)
     kept = prune(rows, stage(stop_shingles(frequency, cleaned), "stop"))
     bands = stage(lsh.band_rows(lsh.signature_parts(kept, layout), layout), "bands")
-    components = match_components(bands, documents, frequency, threshold, hot)
+    components = match_components(bands, documents, frequency, threshold)
     return cluster_members(cleaned, documents, components)
 
 

@@ -239,7 +239,8 @@ def bucket_skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(inside)
 
 
-CAPS = (2, lsh.HOT_BUCKET)
+# Bucket sizes at which a cap is reported.
+CAPS = (2, 100)
 
 
 def hot_bucket_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,15 +259,9 @@ def retrieval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recall on pairs labelled same, with every bucket and with buckets up to a cap."""
     table = notice_bands(spark, sf_dir)
     pairs = _as_docs(labelled(spark, sf_dir)).select("doc_a", "doc_b", "label")
-    before = stage(lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared"), "shared")
+    counted = stage(lsh.with_kept_bands(pairs, table, "doc_a", "doc_b", CAPS), "shared")
     reports = [
-        evaluate.retrieval_recall(
-            lsh.with_shared_bands(
-                before, lsh.without_hot_buckets(table, cap), "doc_a", "doc_b", "kept"
-            ),
-            "shared",
-            "kept",
-        ).withColumn("cap", F.lit(cap))
+        evaluate.retrieval_recall(counted, "shared", f"kept_{cap}").withColumn("cap", F.lit(cap))
         for cap in CAPS
     ]
     return reports[0].unionByName(reports[1])
@@ -281,7 +276,7 @@ def mitigation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared = lsh.with_shared_bands(pairs, table, "doc_a", "doc_b", "shared")
         recall = evaluate.retrieval_recall(shared, "shared", "shared")
         reports.append(
-            lsh.skew_summary(table)
+            lsh.skew_summary(table, CAPS[-1])
             .select("n_buckets", "largest_bucket", "implied_pairs")
             .select(
                 F.lit(name).alias("variant"),

@@ -178,6 +178,15 @@ PARTS = {
         SELECT DISTINCT x.doc AS doc_a, y.doc AS doc_b
         FROM bands x JOIN bands y ON x.band_id = y.band_id AND x.bucket_hash = y.bucket_hash
                                  AND x.doc < y.doc""",
+    "ranked": """
+        SELECT doc, shingle, count(*) OVER (PARTITION BY doc) AS n,
+               row_number() OVER (PARTITION BY doc ORDER BY df, shingle) AS rank
+        FROM doc_shingles JOIN frequency USING (shingle)""",
+    "rare": "SELECT * FROM ranked WHERE rank <= n - ceil(n * 0.55 - 1e-6) + 1",
+    "met": """
+        SELECT DISTINCT doc_a, doc_b
+        FROM candidates JOIN rare x ON x.doc = doc_a JOIN rare y ON y.doc = doc_b AND x.shingle = y.shingle
+        WHERE least(x.n, y.n) >= greatest(x.n, y.n) * 0.55 - 1e-6""",
     "verified": """
         SELECT doc_a, doc_b, jaccard FROM (
             SELECT doc_a, doc_b, shared / (a.n + b.n - shared) AS jaccard
@@ -309,10 +318,11 @@ SELECTS = {
                      count(*) FILTER (n > 0) AS n_retrieved
               FROM scored JOIN shared_buckets ON doc_a = notice_id_a AND doc_b = notice_id_b
               GROUP BY 1)""",
-    "lsh_candidates": "SELECT * FROM candidates",
+    "lsh_candidates": "SELECT * FROM met",
     "lsh_lookup_batch": """
-        SELECT x.doc AS incoming_doc, y.doc AS stored_doc, count(*) AS shared_bands
+        SELECT x.doc AS incoming_doc, y.doc AS stored_doc, count(*)::INTEGER AS shared_bands
         FROM bands x JOIN bands y USING (band_id, bucket_hash)
+        JOIN met ON doc_a = least(x.doc, y.doc) AND doc_b = greatest(x.doc, y.doc)
         WHERE x.doc IN (SELECT doc FROM docs WHERE clean IN (
                   SELECT clean FROM cleaned WHERE notice_id IN (SELECT doc_id FROM labels)))
           AND y.doc NOT IN (SELECT doc FROM docs WHERE clean IN (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercatura.functions.money import line_amount, total
 from mercatura.operators import asof, dedup, dims, marts, reconcile
-from mercatura.session import new_table_path, stage_once
+from mercatura.session import new_table_path, share, stage_once
 from mercatura.sources import exports, files, sinks, standins
 
 LAKE_MONTH = "1998-10"
@@ -14,9 +14,6 @@ AS_OF_BEFORE, AS_OF_AFTER = "1996-03-31", "1999-10-31"
 PRICED_CODES = ["P3", "P17", "P40", "P41", "P99", "no such code"]
 PART_STORE = "S04"
 
-_lakes: dict[tuple[str, str], str] = {}
-
-
 def fresh_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.keep_latest(standins.raw_lines(spark, sf_dir))
 
@@ -40,14 +37,13 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.calendar(dims.year_bounds(orders, "o_orderdate"))
 
 
-def lake_root(spark: SparkSession, sf_dir: str) -> str:
-    """The partitioned lake of these tables, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
-        root = new_table_path(spark, "lake")
-        sinks.write_lake(dedup.with_month(lines(spark, sf_dir)), root)
-        _lakes[key] = root
-    return _lakes[key]
+def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partitioned lake of these tables, written by the first query that needs it."""
+
+    def build() -> DataFrame:
+        return sinks.stage_lake(dedup.with_month(lines(spark, sf_dir)), new_table_path(spark, "lake"))
+
+    return share(spark, sf_dir, "lake", build)
 
 
 def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +53,7 @@ def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = files.read_lake(spark, lake_root(spark, sf_dir))
-    return lake.groupBy("store_id", "year_month").agg(
+    return lake(spark, sf_dir).groupBy("store_id", "year_month").agg(
         F.count("*").alias("n_lines"),
         total(line_amount(F.col("qty"), F.col("unit_price"))).alias("amount"),
         F.min("business_date").alias("first_day"),
@@ -67,8 +62,7 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_pruning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = files.read_lake(spark, lake_root(spark, sf_dir))
-    return files.scan_report(lake, (F.col("store_id") == PART_STORE) & (F.col("year_month") == LAKE_MONTH))
+    return files.scan_report(lake(spark, sf_dir), (F.col("store_id") == PART_STORE) & (F.col("year_month") == LAKE_MONTH))
 
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +108,7 @@ def rev_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def federated_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.top_store_categories(
-        files.read_lake(spark, lake_root(spark, sf_dir), LAKE_MONTH),
+        lake(spark, sf_dir).filter(F.col("year_month") == LAKE_MONTH),
         standins.stores(spark, sf_dir),
         standins.products(spark, sf_dir).filter("product_sk <> 0"),
         standins.categories(spark, sf_dir),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,7 +31,7 @@ def build_session(app: str = "mercatura", master: str | None = None, **extra: st
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can read: the one named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own.
+    Only where that is unset, a master inside this process uses a folder of its warehouse; any other stops.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -39,13 +39,20 @@ def shared_root(spark: SparkSession) -> str:
             "spark.checkpoint.dir", None
         )
         if named is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            named = tempfile.mkdtemp(prefix="mercatura-")
+            named = f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
         sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this application has staged; what still reads them fails afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _staged.clear()
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
@@ -57,17 +64,34 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_staged: dict[tuple[str, str, str], DataFrame] = {}
+_staged: dict[tuple[str, str, str], tuple[int, DataFrame]] = {}
+
+
+def source_state(spark: SparkSession, folder: str) -> int:
+    """A number that changes when a Parquet file below ``folder`` is added, removed or written anew."""
+    files = (
+        spark.read.format("binaryFile")
+        .options(pathGlobFilter="*.parquet", recursiveFileLookup=True)
+        .load(folder)
+        .select("path", "modificationTime", "length")
+    )
+    state = files.agg(F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()[0]
+    return int(state or 0)
+
+
+def share(spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A written table that queries over the same files share; built anew when the files below ``scope`` change."""
+    key = (spark.sparkContext.applicationId, scope, name)
+    state = source_state(spark, scope)
+    if key not in _staged or _staged[key][0] != state:
+        _staged[key] = (state, build())
+    return _staged[key][1]
 
 
 def stage_once(
     spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """A stage table written by its first user in this application and read by the others."""
-    key = (spark.sparkContext.applicationId, scope, name)
-    if key not in _staged:
-        _staged[key] = stage(build(), name)
-    return _staged[key]
+    return share(spark, scope, name, lambda: stage(build(), name))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

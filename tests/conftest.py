@@ -5,23 +5,25 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mercatura.session import build_session  # noqa: E402
+from mercatura.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -325,3 +325,16 @@ def test_small_dimensions_are_broadcast(spark):
         plan = retail.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
         joins = plan.split("Scan parquet")[0] if name == "fact_sales" else plan
         assert "BroadcastHashJoin" in joins and "SortMergeJoin" not in joins, name
+
+
+def test_shared_tables_follow_their_source(spark, tmp_path):
+    from mercatura.session import stage_once
+
+    folder = str(tmp_path / "in")
+    spark.range(5).write.parquet(f"{folder}/a.parquet")
+    read = lambda: spark.read.option("recursiveFileLookup", True).parquet(folder).distinct()
+    assert stage_once(spark, folder, "ids", read).count() == 5
+    first = stage_once(spark, folder, "ids", read)
+    assert first is stage_once(spark, folder, "ids", read)
+    spark.range(5, 50).write.parquet(f"{folder}/b.parquet")
+    assert stage_once(spark, folder, "ids", read).count() == 50
