@@ -42,7 +42,7 @@ from mercatura.session import stage
 
 FRAGMENT_BITS = 4
 #: Rounds of comparing with pivots before what is left is compared pairwise.
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 
 
 class Sets:
@@ -236,39 +236,56 @@ def _with_pivots(postings: DataFrame, turn: int) -> DataFrame:
     return _side(postings, "b").join(pivots, "gram")
 
 
-def _mixed(postings: DataFrame) -> DataFrame:
-    """Postings of n-grams under which documents of different components still meet."""
-    several = (
-        postings.groupBy("gram")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low < high")
-        .select("gram")
+def _open(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Postings under which a document may still find a link to another component.
+
+    Even the smallest document under an n-gram must be small enough for what the posting's document has in
+    common with any other.
+    """
+    smallest = F.min("size").alias("smallest")
+    per_gram = postings.groupBy("gram").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), smallest
     )
-    return stage(postings.join(stage(several, "mixed"), "gram", "left_semi"), "postings")
+    found = postings.join(stage(per_gram.filter("low < high"), "mixed"), "gram")
+    reach = share[1] * F.col("common") >= share[0] * (F.col("size") + F.col("smallest") - F.col("common"))
+    return found.filter(reach).select(*postings.columns)
+
 
+def _mixed(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """As ``_open``, twice: without the postings that go first, some n-grams hold one component only."""
+    return stage(_open(stage(_open(postings, share), "open"), share), "open")
 
-def _relabelled(postings: DataFrame, links: DataFrame) -> DataFrame:
-    found = stage(connected_components(links), "components")
+
+def _relabelled(postings: DataFrame, components: DataFrame) -> DataFrame:
     return postings.drop("component").join(
-        found.withColumnRenamed("node", "doc"), "doc", "left"
+        components.withColumnRenamed("node", "doc"), "doc", "left"
     ).withColumn("component", F.coalesce("component", "doc"))
 
 
-def links_between(postings: DataFrame, cut: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Links that connect the same documents as all links do: a, b. ``postings``: gram, doc, size,
-    common."""
-    left = _mixed(postings.withColumn("component", F.col("doc")))
-    links = postings.sparkSession.createDataFrame([], "a long, b long")
-    for turn in range(PIVOT_ROUNDS):
-        if left.isEmpty():
-            return links
-        pairs = _pairs(_with_pivots(left, turn), share)
-        links = links.unionByName(stage(linked(pairs, cut, share), "links"))
-        left = _mixed(_relabelled(left, links))
-    if left.isEmpty():
-        return links
-    pairs = _pairs(_side(left, "a").join(_side(left, "b"), "gram").filter("a < b"), share)
-    return links.unionByName(stage(linked(pairs, cut, share), "links"))
+def components_of(
+    postings: DataFrame, cut: DataFrame, known: DataFrame, share: tuple[int, int]
+) -> DataFrame:
+    """Components of the links between documents, and of links that are ``known`` (a, b): node, component.
+
+    ``postings``: gram, doc, size, common. Only links that connect what is still apart are looked for.
+    """
+    left = _mixed(postings.withColumn("component", F.col("doc")), share)
+    links, found, turn = known, None, 0
+    while turn <= PIVOT_ROUNDS and not left.isEmpty():
+        if turn < PIVOT_ROUNDS:
+            met = _with_pivots(left, turn)
+        else:
+            met = _side(left, "a").join(_side(left, "b"), "gram").filter("a < b")
+        new = stage(linked(_pairs(met, share), cut, share), "links")
+        if new.isEmpty():  # then another pivot isn't worth a round: what is left is compared at once
+            turn = PIVOT_ROUNDS if turn < PIVOT_ROUNDS else turn + 1
+            continue
+        links = links.unionByName(new)
+        found = stage(connected_components(links), "components")
+        turn += 1
+        if turn <= PIVOT_ROUNDS:
+            left = _mixed(_relabelled(left, found), share)
+    return stage(connected_components(links), "components") if found is None else found
 
 
 def jaccard_components(
@@ -281,31 +298,28 @@ def jaccard_components(
     """Set size and component of every row: doc_id, n_shingles, component_id."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = stage(shared_sets(texts, n, share), "sets")
-    open_ = known.filter(F.col("grams").isNotNull() & F.col("doc_id").isNotNull()).withColumn(
-        "digest", F.sha2("grams", 256)
+    every = shared_sets(texts, n, share).withColumn(
+        "node", F.when(F.col("doc_id").isNotNull() & F.col("grams").isNotNull(), F.xxhash64(F.sha2("grams", 256)))
     )
-    first = stage(open_.groupBy("digest").agg(F.min("doc_id").alias("doc")), "first")
-    copies = (
-        open_.select("digest", "doc_id").join(first, "digest").filter("doc_id <> doc")
-        .select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
-    )
-    once = open_.join(first.withColumnRenamed("doc", "doc_id"), ["digest", "doc_id"], "left_semi")
-    # rows that share an id may have different sets: the digest is then part of the node
-    sets = stage(
-        once.dropDuplicates(["digest", "doc_id"])
-        .select("block", F.xxhash64("digest").alias("doc"), F.col("doc_id").alias("id"), "grams"),
-        "distinct",
-    )
+    every = stage(every, "sets")
+    rows = every.filter("node IS NOT NULL")
+    sets = stage(rows.select("node", "block", "grams").dropDuplicates(["node"]), "distinct")
+    sets = sets.withColumnRenamed("node", "doc")
+    # rows that share an id are one: their sets are linked
+    by_id = rows.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).filter("a < high")
+    known = rows.join(stage(by_id.select("doc_id", "a"), "repeated"), "doc_id").select("a", F.col("node").alias("b"))
     bits = lookup.sizes(1 << 30)[1]
     postings = stage(rare_prefixes(sets, share, bits), "postings")
-    links = links_between(postings, segments(sets), share)
-    ids = sets.select("doc", "id")
-    edges = copies.unionByName(
-        links.join(ids.toDF("a", "id_a"), "a").join(ids.toDF("b", "id_b"), "b")
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    found = components_of(postings, segments(sets), known, share)
+    lowest = rows.groupBy("node").agg(F.min("doc_id").alias("id"))
+    owned = stage(
+        lowest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "owned"
+    )
+    ids = stage(owned.groupBy("component").agg(F.min("id").alias("component_id")), "lowest")
+    named = stage(owned.join(ids, "component").select("node", "component_id"), "named")
+    return (
+        rows.join(named, "node").select("doc_id", "n_shingles", "component_id")
+        .unionByName(
+            every.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        )
     )
-    found = stage(connected_components(stage(edges, "edges")), "components")
-    return known.select("doc_id", "n_shingles").join(
-        found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id")), "doc_id", "left"
-    ).withColumn("component_id", F.coalesce("component_id", "doc_id"))
