@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from mercatura.functions import text as tx
-
-_BLANKS = tx.BLANKS
+# Written out here, so that a pattern of the library that is wrong doesn't go unseen. Fixed values.
+_BLANKS = r"[\t-\r\x1C-\x20\x{85}\p{Z}]+"
+_NOISE = (
+    r"(?i)\b(?:npas|spc|pwd|mc|ref|tn)[-/A-Za-z0-9]+\b",
+    r"\b\d{1,4}[-/\.]\d{1,2}[-/\.]\d{1,4}\b",
+    r"(?i)\b\d{1,2}\s+(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+\d{2,4}\b",
+    r"(?i)\b(?:rs\.?|inr|rupees)\s*[\d,]+(?:\.\d+)?(?:\s*(?:lakh|cr|crore|only))?\b",
+)
+_PHRASES = ("NATIONAL PROCUREMENT AGGREGATION SERVICE", "STATE PROCUREMENT CELL")
 
 
 def _quoted(pattern: str) -> str:
@@ -26,14 +32,14 @@ def _squeezed(text: str) -> str:
 
 def _cleaned(text: str) -> str:
     text = _folded(text)
-    for pattern in tx.NOISE_PATTERNS:
+    for pattern in _NOISE:
         text = _removed(text, pattern)
     return _squeezed(text)
 
 
 def _cleaned_simple(text: str) -> str:
     text = f"upper(replace({text}, 'ß', 'SS'))"
-    for phrase in tx.AGGREGATOR_PHRASES:
+    for phrase in _PHRASES:
         text = f"replace({text}, {_quoted(phrase)}, '')"
     text = _removed(text, r"\p{Nd}+", "''")
     text = _removed(text, r"[^\p{L}\p{N}_\t-\r\x1C-\x20\x{85}\p{Z}]", "''")
