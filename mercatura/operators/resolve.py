@@ -202,8 +202,31 @@ def resolve(
     return cluster_members(cleaned, documents, components)
 
 
-def opportunities(members: DataFrame) -> DataFrame:
-    return members.select("opportunity_id", "canonical_notice_id").distinct()
+def opportunities(members: DataFrame, run_at: str, known: DataFrame | None = None) -> DataFrame:
+    """The clusters of a run: ``opportunity_id, canonical_notice_id, first_seen_at``, kept from ``known``."""
+    now = members.select("opportunity_id", "canonical_notice_id").distinct()
+    return _since(now, "first_seen_at", run_at, known, ["opportunity_id"])
+
+
+def memberships(members: DataFrame, run_at: str, known: DataFrame | None = None) -> DataFrame:
+    """Who is in which cluster: ``notice_id, opportunity_id, joined_at``; a move starts a new membership."""
+    now = members.select("notice_id", "opportunity_id")
+    return _since(now, "joined_at", run_at, known, ["notice_id", "opportunity_id"])
+
+
+def dated_aliases(aliases: DataFrame, run_at: str, known: DataFrame | None = None) -> DataFrame:
+    """The alias table: ``old_opportunity_id, active_opportunity_id, merged_at``, the time of the first merge."""
+    return _since(aliases, "merged_at", run_at, known, ["old_opportunity_id"])
+
+
+def _since(now: DataFrame, name: str, run_at: str, known: DataFrame | None, key: list[str]) -> DataFrame:
+    """Rows of a run with the time since when their key is known."""
+    if known is None:
+        return now.withColumn(name, F.lit(run_at))
+    before = known.select(*key, F.col(name).alias("before"))
+    return now.join(before, key, "left").select(
+        *now.columns, F.coalesce("before", F.lit(run_at)).alias(name)
+    )
 
 
 def new_aliases(before: DataFrame, after: DataFrame) -> DataFrame:

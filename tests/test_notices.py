@@ -364,3 +364,25 @@ def test_alias_of_an_identifier_that_is_live_again_is_dropped(spark, rows):
     assert rows(first) == [("OPP_b", "OPP_a")]
     again = rs.merge_aliases(first, rs.new_aliases(night2, night1), night1)
     assert rows(again) == [] and rows(rs.resolve_bookmarks(night1, again), "opportunity_id") == [("OPP_a",), ("OPP_b",)]
+
+
+def test_stored_tables_over_three_nights(spark, rows):
+    """A merge, a late notice and a split: who is known since when, and where old identifiers lead."""
+    schema = "notice_id string, canonical_notice_id string, opportunity_id string"
+    night = lambda *owners: spark.createDataFrame([(n, o, f"OPP_{o}") for n, o in owners], schema)
+    runs = [
+        ("d1", night(("b", "b"), ("c", "c"))),
+        ("d2", night(("b", "b"), ("c", "b"), ("a", "a"))),
+        ("d3", night(("b", "a"), ("c", "c"), ("a", "a"))),
+    ]
+    seen = joined = aliases = dated = None
+    for k, (at, members) in enumerate(runs):
+        if k:
+            new = rs.new_aliases(runs[k - 1][1], members)
+            aliases = rs.merge_aliases(new.limit(0) if aliases is None else aliases, new, members)
+            dated = rs.dated_aliases(aliases, at, dated)
+        seen = rs.opportunities(members, at, seen)
+        joined = rs.memberships(members, at, joined)
+    assert rows(seen) == [("OPP_a", "a", "d2"), ("OPP_c", "c", "d3")]
+    assert rows(joined) == [("a", "OPP_a", "d2"), ("b", "OPP_a", "d3"), ("c", "OPP_c", "d3")]
+    assert rows(dated) == [("OPP_b", "OPP_a", "d3")]

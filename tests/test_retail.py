@@ -229,6 +229,14 @@ def test_exports_of_all_dialects_and_resent_files(spark, tmp_path, rows):
     ]
 
 
+def test_file_that_no_dialect_reads_is_an_error(spark, tmp_path):
+    header = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
+    (tmp_path / "SALES_S01_20240305.csv").write_text(header)
+    (tmp_path / "SALES_S77_20240305.csv").write_text(header)
+    with pytest.raises(ValueError, match="SALES_S77"):
+        exports.read_exports(spark, str(tmp_path))
+
+
 def test_malformed_export_value_is_an_error(spark, tmp_path):
     header = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
     (tmp_path / "SALES_S01_20240305.csv").write_text(header + "B1,one,P1,2,5.5,SALE,08:00\n")
