@@ -129,12 +129,19 @@ def notice_steps(spark, sf_dir: str):
         members = found.toDF("doc", "component")
         consume(rs.cluster_members(state["cleaned"], state["documents"], members))
 
-    def resolve_end_to_end():
-        consume(rs.resolve(state["cleaned"]))
+    def bucket_lookup():
+        batch = state["documents"].join(
+            standins.table(spark, sf_dir, "labels"), F.col("doc") == F.col("doc_id"), "left_semi"
+        ).select("doc")
+        consume(lsh.lookup(state["bands"], stage(batch, "batch"), state["documents"], state["frequency"]))
+
+    def notice_job():
+        """From raw notices: loading and cleaning included."""
+        consume(rs.resolve(standins.cleaned_notices(spark, sf_dir)))
 
     return (
         load_notices, shingles_and_pruning, signatures_and_buckets, candidate_retrieval, verification,
-        clustering, resolve_end_to_end,
+        clustering, bucket_lookup, notice_job,
     )
 
 
