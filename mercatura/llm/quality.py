@@ -188,8 +188,13 @@ def fit_field(found: lines.Lines, bad_text: np.ndarray, shares: tuple[float, flo
     return field
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, text_col: str, label_col: str) -> pa.Table:
-    """Texts and labels to fit on, at most ``per_label`` of each label."""
+def sample(
+    docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, text_col: str, label_col: str
+) -> tuple[lines.Lines, np.ndarray]:
+    """Measures of the lines to fit on, and which texts are bad; at most ``per_label`` texts of each label.
+
+    Texts are measured where they are read; the driver gets some hundred bytes a line.
+    """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("good")).filter(
         F.col("doc_id").isNotNull() & F.col("good").isin(0, 1)
     )
@@ -200,7 +205,25 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int, id_col: str, text
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     short = F.length("text") - F.length(F.replace("text", F.lit("\n"))) < MAX_LINES
     # at most twice per_label rows are broadcast
-    return texts.join(F.broadcast(picked.distinct()), "doc_id").filter(short).select("text", "good").toArrow()
+    chosen = texts.join(F.broadcast(picked.distinct()), "doc_id").filter(short).select("text", "good")
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = lines.measure(*words.utf8(batch.column("text")))
+            edges = list(zip(found.first[:-1], found.first[1:], strict=True))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "good": batch.column("good"),
+                    "values": pa.array([found.values[a:b].tobytes() for a, b in edges], pa.binary()),
+                    "chars": pa.array([found.chars[a:b].tobytes() for a, b in edges], pa.binary()),
+                }
+            )
+
+    table = chosen.mapInArrow(measured, "good int, values binary, chars binary").toArrow()
+    values, chars = (np.frombuffer(b"".join(table[c].to_pylist())) for c in ("values", "chars"))
+    sizes = [len(x) // 8 for x in table["chars"].to_pylist()]
+    first = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+    return lines.Lines(values.reshape(-1, len(lines.NAMES)), chars, first), table["good"].to_numpy() == 0
 
 
 def fit(
@@ -215,12 +238,10 @@ def fit(
     bounded_batches(docs.sparkSession)
     counts = dict(labels.groupBy(F.col(label_col).cast("int")).count().collect())
     total = counts.get(0, 0) + counts.get(1, 0)
-    table = sample(docs, labels, per_label, id_col, text_col, label_col)
-    bad = table["good"].to_numpy() == 0
+    found, bad = sample(docs, labels, per_label, id_col, text_col, label_col)
     if not bad.any() or bad.all():
         return None
-    data, offsets = words.utf8(table["text"].cast(pa.large_string()).combine_chunks())
-    return fit_field(lines.measure(data, offsets), bad, (counts[1] / total, counts[0] / total))
+    return fit_field(found, bad, (counts[1] / total, counts[0] / total))
 
 
 def score(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
