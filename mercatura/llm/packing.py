@@ -122,15 +122,13 @@ class Window:
     def powers_of_two(self) -> Iterator[list[Piece]]:
         """What is left, in sequences of sizes that are powers of two, the largest first."""
         while self.total:
-            yield self.sequence(1 << (self.total.bit_length() - 1)) if self._fits() else self._cut_first()
-
-    def _fits(self) -> bool:
-        return max(self.waiting) <= 1 << (self.total.bit_length() - 1)
-
-    def _cut_first(self) -> list[Piece]:
-        piece, rest = self.take(max(self.waiting)).cut(1 << (self.total.bit_length() - 1))
-        self.put(rest)
-        return [piece]
+            size, longest = 1 << (self.total.bit_length() - 1), max(self.waiting)
+            if longest <= size:
+                yield self.sequence(size)
+            else:
+                piece, rest = self.take(longest).cut(size)
+                self.put(rest)
+                yield [piece]
 
 
 def sequences(documents: Iterator[Piece], capacity: int = CAPACITY) -> Iterator[list[Piece]]:

@@ -76,6 +76,20 @@ def test_closest_multiset(seed):
     assert all(0 < n <= lengths[x] for x, n in chosen.items())
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_sequences_are_full_or_powers_of_two(seed, monkeypatch):
+    draw = random.Random(seed)
+    monkeypatch.setattr(packing, "WINDOW", draw.choice([8, 200, 5000]))
+    sizes = [draw.randint(1, draw.choice([5, 90, 700])) for _ in range(draw.randint(0, 60))]
+    docs = [packing.Piece(k, 0, n, bytes([k % 251]) * (4 * n)) for k, n in enumerate(sizes)]
+    found = list(packing.sequences(iter(docs), 64))
+    assert all(n <= 64 and n & (n - 1) == 0 for n in (sum(map(len, s)) for s in found))
+    places = {k: [] for k in range(len(sizes))}
+    for piece in (p for s in found for p in s):
+        places[piece.doc_id] += range(piece.start, piece.start + len(piece))
+    assert all(sorted(places[k]) == list(range(n)) for k, n in enumerate(sizes))
+
+
 def test_packing(spark, monkeypatch):
     rows = [(k, t) for k, t in enumerate(texts(3, 400))] + [(7, "again " * 500), (None, None), (9, "")]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, start int").repartition(3)
