@@ -122,8 +122,12 @@ def shared_sets(texts: DataFrame, n: int, share: tuple[int, int]) -> DataFrame:
 
 
 def rare_prefixes(sets: DataFrame, share: tuple[int, int], bits: int) -> DataFrame:
-    """N-grams under which a document can meet a partner: gram, doc, size, common (how many of its n-grams other
-    documents have too). ``sets``: block, doc, grams."""
+    """N-grams under which a document can meet a partner: gram, doc, size, common. ``sets``: block, doc, grams.
+
+    ``common`` is how many n-grams the document can share with one that it first meets here, in the global
+    order: those that other documents have too, and no more than are left from here on. Two documents that
+    link pass any test of that number under the first n-gram that they share.
+    """
     blocks = sets.groupBy("block")
 
     def arrays(table: pa.Table) -> list[np.ndarray]:
@@ -143,9 +147,10 @@ def rare_prefixes(sets: DataFrame, share: tuple[int, int], bits: int) -> DataFra
             known = lookup.member(grams, known_grams)
             held[known] = counts[np.searchsorted(known_grams, grams[known])]
             first = np.lexsort((grams, held))[: slack(len(grams), share) + 1]
-            first = first[held[first] > 1]
+            place = np.flatnonzero(held[first] > 1)
+            first = first[place]
             same = np.ones(len(first), dtype=np.int64)
-            rows.append((grams[first], same * doc, same * len(grams), same * (held > 1).sum()))
+            rows.append((grams[first], same * doc, same * len(grams), np.minimum((held > 1).sum(), len(grams) - place)))
         gram, doc, size, common = (np.concatenate(x) for x in zip(*rows, strict=True))
         return pa.table({"gram": gram.view(np.int64), "doc": doc, "size": size, "common": common})
 
@@ -192,7 +197,7 @@ def partial_overlap(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def _compatible(share: tuple[int, int]) -> Column:
-    """Whether documents a and b may link: their intersection has no more than either's common n-grams."""
+    """Whether documents a and b may link if they first meet here: they share no more than either's ``common``."""
     most = F.least("common_a", "common_b")
     return share[1] * most >= share[0] * (F.col("size_a") + F.col("size_b") - most)
 
@@ -225,8 +230,8 @@ def linked(pairs: DataFrame, cut: DataFrame, share: tuple[int, int]) -> DataFram
 def _with_pivots(postings: DataFrame, turn: int) -> DataFrame:
     """Documents with the pivot of each of their n-grams.
 
-    First the one with the fewest n-grams of its own, which most others link with; then the same of a
-    component that changes from turn to turn.
+    First the one with the fewest n-grams that it can't share, which most others link with; then the same of
+    a component that changes from turn to turn.
     """
     own = F.col("size") - F.col("common")
     drawn = F.xxhash64(F.lit(turn), "component") if turn else F.lit(0).cast("long")
@@ -239,8 +244,8 @@ def _with_pivots(postings: DataFrame, turn: int) -> DataFrame:
 def _open(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Postings under which a document may still find a link to another component.
 
-    Even the smallest document under an n-gram must be small enough for what the posting's document has in
-    common with any other.
+    Even the smallest document under an n-gram must be small enough for what the posting's document can
+    share from there on.
     """
     smallest = F.min("size").alias("smallest")
     per_gram = postings.groupBy("gram").agg(
