@@ -1,12 +1,11 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index stores where in the training texts each benchmark term stands: (term, document, position), for all
-terms that benchmark items use; other terms can't be part of any match. A phrase is a window of consecutive
-words of an item. Its occurrences are found from its rarest terms: the places of the rarest one give possible
-starts, which are intersected with the places of the second rarest, shifted by its offset in the phrase; what
-is left is small, and is compared with the places of the other terms. Common terms are thus never listed
-for more than the few documents that already hold the rare ones. With ``slop`` each term may stand that many
-words from its place in the phrase, which finds proximity matches.
+A phrase is a window of consecutive words of a benchmark item. All training words that the benchmark uses are
+counted, so each phrase knows its rarest terms. The index stores the places of the two rarest terms of every
+phrase in the training texts: (term, document, position). The places of the rarest give possible starts, which
+are intersected with the places of the second rarest at its offset in the phrase. What is left is small; in the
+documents that hold it, the places of all the phrase's other terms are compared too. With ``slop`` each term may
+stand that many words from its place in the phrase, which finds proximity matches.
 
 Everything is DataFrame operations. Small sides are broadcast only where Spark's size checks choose so;
 intermediate tables are written, so their sizes are known.
@@ -28,8 +27,6 @@ from mercatura.llm.urls import LOWER, UPPER
 from mercatura.session import stage
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Terms of a phrase that are intersected one by one before the rest is compared at once.
-SEEDS = 2
 
 
 def term_array(text: Column) -> Column:
@@ -56,7 +53,7 @@ def placed_terms(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
 
 
 def windows(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> DataFrame:
-    """Distinct windows of all items: window (its words, joined), item, n words."""
+    """Distinct windows of all items: item, window (its words, joined)."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).filter(
         F.col("text").isNotNull()
     )
@@ -71,32 +68,36 @@ def windows(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> Da
     )
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Postings of the vocabulary's terms: doc, digest, pos, term. ``docs``: doc, digest, text."""
-    placed = placed_terms(docs, ["doc", "digest"], "text")
-    return stage(placed.join(vocabulary, "term", "left_semi"), "postings")
+def postings(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """Places of the given terms: doc, digest, pos, term. ``texts``: doc, digest, text."""
+    return placed_terms(texts, ["doc", "digest"], "text").join(terms, "term", "left_semi")
 
 
-def ranked_terms(phrases: DataFrame, index: DataFrame) -> DataFrame:
-    """Terms of each phrase with offset and rank, the rarest in the index first; phrases that hold a term
-    without a posting are dropped."""
-    counts = stage(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")), "frequencies")
-    placed = phrases.select("window", F.posexplode(F.split("window", " ")).alias("offset", "term"))
-    known = placed.join(counts, "term", "left")
-    by_rarity = Window.partitionBy("window").orderBy("n", "offset")
-    all_known = F.min(F.col("n").isNotNull()).over(Window.partitionBy("window"))
-    return (
-        known.withColumn("rank", F.row_number().over(by_rarity))
-        .withColumn("complete", all_known)
-        .filter("complete")
-        .select("window", "term", "offset", "rank")
+def ranked_terms(phrases: DataFrame, texts: DataFrame) -> DataFrame:
+    """Terms of each phrase with offset, rank (the rarest in the texts first) and the phrase's number of terms.
+
+    Phrases that hold a term which no text has are dropped. ``phrases``: phrase (a number), window.
+    """
+    placed = stage(
+        phrases.select("phrase", F.posexplode(F.split("window", " ")).alias("offset", "term")), "phrase_terms"
     )
+    vocabulary = stage(placed.select("term").distinct(), "vocabulary")
+    counts = stage(postings(texts, vocabulary).groupBy("term").agg(F.count(F.lit(1)).alias("count")), "frequencies")
+    whole = Window.partitionBy("phrase")
+    known = placed.join(counts, "term", "left").withColumns(
+        {
+            "rank": F.row_number().over(whole.orderBy("count", "offset")),
+            "complete": F.min(F.col("count").isNotNull()).over(whole),
+            "n": F.count(F.lit(1)).over(whole),
+        }
+    )
+    return known.filter("complete").select("phrase", "term", "offset", "rank", "n")
 
 
 def _near(rows: DataFrame, slop: int) -> DataFrame:
-    """Each row once for every ``shift`` that a proximity match allows."""
+    """Each start and term once for every place ``pos`` that a match allows."""
     shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop))) if slop else F.lit(0)
-    return rows.withColumn("shift", shifts)
+    return rows.withColumn("shift", shifts).withColumn("pos", F.col("start") + F.col("offset") + F.col("shift"))
 
 
 def _renamed(rows: DataFrame) -> DataFrame:
@@ -112,44 +113,38 @@ def _same(*names: str) -> Column:
     return equal
 
 
-def _starts(index: DataFrame, terms: DataFrame, slop: int = 0) -> DataFrame:
-    """Starts of windows that the places of their given terms imply: window, doc, digest, start."""
-    met = _near(index.join(terms.select("window", "term", "offset"), "term"), slop)
-    return met.select("window", "doc", "digest", (F.col("pos") - F.col("offset") + F.col("shift")).alias("start"))
-
-
-def find_phrases(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
-    """Occurrences of phrases: window, doc, digest, start, n (its words). ``phrases``: window.
+def find_phrases(texts: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
+    """Occurrences of phrases: phrase, doc, digest, start, n (its words). ``texts``: doc, digest, text.
 
     With slop 0 they are exact; else each term may stand up to ``slop`` words off its place, counted from
     the start that the rarest term gives.
     """
-    terms = stage(ranked_terms(phrases, index), "terms")
-    found = _starts(index, terms.filter("rank = 1")).filter("start >= 0")
-    for rank in range(2, SEEDS + 1):
-        # windows that have such a term stay where its places agree
-        other = terms.filter(F.col("rank") == rank)
-        lists = _renamed(_starts(index, other, slop))
-        agreed = found.join(lists, _same("window", "digest", "start"), "left_semi")
-        found = agreed.unionByName(found.join(other.select("window"), "window", "left_anti"))
-    found = stage(found, "candidates")
-    sizes = terms.groupBy("window").agg(F.count(F.lit(1)).alias("n"))
-    # of the other terms only the places in documents that are left
-    held = stage(found.select("doc", "digest").distinct(), "documents")
-    places = _renamed(index.join(_renamed(held), _same("digest"), "left_semi"))
-    wanted = _near(found.join(terms.filter(F.col("rank") > SEEDS), "window"), slop).withColumn(
-        "pos", F.col("start") + F.col("offset") + F.col("shift")
+    terms = stage(ranked_terms(phrases, texts), "terms")
+    first, second = (stage(terms.filter(F.col("rank") == k), "seeds") for k in (1, 2))
+    seeds = stage(first.unionByName(second).select("term").distinct(), "seed_terms")
+    index = stage(postings(texts, seeds), "index")
+    found = (
+        index.join(first.select("phrase", "term", "offset", "n"), "term")
+        .select("phrase", "doc", "digest", (F.col("pos") - F.col("offset")).alias("start"), "n")
+        .filter("start >= 0")
     )
-    met = wanted.join(places, _same("digest", "pos", "term"), "left_semi")
+    asked = _near(found.join(second.select("phrase", "term", "offset"), "phrase"), slop)
+    places = index.join(second.select("term").distinct(), "term", "left_semi")
+    columns = ["phrase", "doc", "digest", "start", "n"]
+    agreed = asked.join(_renamed(places), _same("digest", "pos", "term"), "left_semi").select(*columns)
+    found = stage(agreed.unionByName(found.filter("n = 1")).distinct(), "candidates")
+    # of all other terms only the places in documents that are left
+    held = stage(found.select("doc", "digest").distinct(), "documents")
+    rest = terms.filter("rank > 2").select("phrase", "term", "offset")
+    others = stage(rest.select("term").distinct(), "other_terms")
+    places = postings(texts.join(_renamed(held), _same("digest"), "left_semi"), others)
+    asked = _near(found.join(rest, "phrase"), slop)
+    met = asked.join(_renamed(places), _same("digest", "pos", "term"), "left_semi")
     whole = (
-        met.select("window", "doc", "digest", "start", "offset").distinct()
-        .groupBy("window", "doc", "digest", "start").agg(F.count(F.lit(1)).alias("met"))
-        .join(sizes, "window")
-        .filter(F.col("met") == F.col("n") - SEEDS)
+        met.select(*columns, "offset").distinct().groupBy(*columns).agg(F.count(F.lit(1)).alias("met"))
+        .filter(F.col("met") == F.col("n") - 2)
     )
-    short = found.join(sizes.filter(F.col("n") <= SEEDS), "window")
-    columns = ["window", "doc", "digest", F.col("start").cast("long").alias("start"), "n"]
-    return whole.select(*columns).unionByName(short.select(*columns))
+    return whole.select(*columns).unionByName(found.filter("n <= 2"))
 
 
 def hits(
@@ -167,20 +162,18 @@ def hits(
         "digest", F.xxhash64("text")
     )
     of_items = stage(windows(benchmark, size, item_col, item_text_col), "windows")
-    vocabulary = of_items.select(F.explode(F.split("window", " ")).alias("term")).distinct()
-    index = build_index(texts, stage(vocabulary, "vocabulary"))
-    phrases = of_items.select("window").distinct()
-    matches = stage(find_phrases(index, phrases, slop), "matches")
-    covered = matches.select(
-        "doc", "digest", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")
-    )
+    numbered = of_items.select("window").distinct().withColumn("phrase", F.monotonically_increasing_id())
+    phrases = stage(numbered, "phrases")
+    matches = stage(find_phrases(texts, phrases, slop), "matches")
+    last = F.col("start") + F.col("n").cast("int") - 1
+    covered = matches.select("doc", "digest", F.explode(F.sequence("start", last)).alias("pos"))
     n_hit = covered.distinct().groupBy("doc", "digest").agg(F.count(F.lit(1)).alias("n_hit"))
-    in_docs = matches.select("doc", "digest", "window").distinct()
     items = (
-        in_docs.join(of_items, "window")
+        matches.select("doc", "digest", "phrase").distinct()
+        .join(phrases, "phrase").join(of_items, "window")
         .groupBy("doc", "digest")
         .agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
-    )
+    )
     per_doc = n_hit.join(_renamed(items), _same("digest")).select("doc", "digest", "n_hit", "items_")
     base = texts.select("doc", "digest", word_count(F.col("text")).alias("n_words"))
     joined = base.join(_renamed(stage(per_doc, "hits")), _same("digest"), "left")
