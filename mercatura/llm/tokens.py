@@ -18,8 +18,8 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
-#: Entries of either table of a worker; a full table is emptied.
-TABLE = 300_000
+#: Entries of a worker's tables of words and of their pieces.
+WORDS, PIECES = 500_000, 400_000
 # White space that either side treats differently from blanks and line breaks.
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -42,6 +42,27 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(others)}
 
 
+class Table(dict):
+    """Newer entries of a table of bounded size; when they are half of it, the older half is given up.
+
+    Entries that are asked for again move to the newer half, so frequent words stay.
+    """
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.half, self.older = size // 2, {}
+
+    def lacking(self, keys: set[str]) -> set[str]:
+        """Which keys are in neither half; all others are in the newer half afterwards."""
+        if len(self) > self.half:
+            self.older = dict(self)
+            self.clear()
+        lacking = keys.difference(self)
+        known = lacking.intersection(self.older)
+        self.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        return lacking.difference(known)
+
+
 class Encoder:
     def __init__(self, definition: str):
         self.whole = Tokenizer.from_str(definition)
@@ -61,60 +82,43 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith(_END)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Table(WORDS), Table(PIECES)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; of a null text none."""
         texts = ["" if t is None else t for t in texts]
         if not self.short_way:
             return self._by_library(texts)
-        odd = [k for k, t in enumerate(texts) if _ODD_SPACE.search(t)]
-        found: list[bytes | None] = [None] * len(texts)
-        for k, ids in zip(odd, self._by_library([texts[k] for k in odd]), strict=True):
-            found[k] = ids
-        for k, text in enumerate(texts):
-            if found[k] is None:
-                found[k] = self._by_words(text.split())
-        return found
+        odd = {k for k, t in enumerate(texts) if _ODD_SPACE.search(t)}
+        cut = [None if k in odd else t.split() for k, t in enumerate(texts)]
+        known = self.words
+        self._learn(known.lacking(set().union(*(words for words in cut if words))))
+        return [
+            self._by_library([t])[0] if words is None else b"".join([known[w] for w in words])
+            for t, words in zip(texts, cut, strict=True)
+        ]
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         encoded = (self.whole.encode(t, add_special_tokens=False).ids for t in texts)
         return [np.array(ids, dtype="<u4").tobytes() for ids in encoded]
 
-    def _by_words(self, words: list[str]) -> bytes:
-        known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        missing = {w for w in words if w not in known}
-        if len(known) + len(missing) > TABLE:
-            known.clear()
-            missing = set(words)
-        self._learn(missing)
-        return b"".join([known[w] for w in words])
-
     def _learn(self, words: set[str]) -> None:
         plain = [w for w in words if _PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
         rest = list(words.difference(plain))
         for word, ids in zip(rest, self._by_library(rest), strict=True):
             self.words[word] = ids
         cut = [_PIECES(w.lower()) for w in plain]
-        new = list({p for pieces in cut for p in pieces if p not in self.pieces})
-        if len(self.pieces) + len(new) > TABLE:
-            self.pieces.clear()
-            new = list({p for pieces in cut for p in pieces})
+        new = list(self.pieces.lacking({p for pieces in cut for p in pieces}))
         if new:
             letters = _byte_letters()
             written = [p.encode().decode("latin-1").translate(letters) for p in new]
             ids = np.array(self.merges.encode(" ".join(written), add_special_tokens=False).ids, dtype="<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            first = np.concatenate(([0], last[:-1]))
-            for piece, a, b in zip(new, first, last, strict=True):
-                self.pieces[piece] = ids[a:b].tobytes()
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            self.pieces.update(zip(new, (raw[a:b] for a, b in zip([0, *ends], ends)), strict=True))
+        known = self.pieces
         for word, pieces in zip(plain, cut, strict=True):
-            self.words[word] = b"".join([self.pieces[p] for p in pieces])
+            self.words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
 
 
 @cache
