@@ -5,8 +5,8 @@ cues. At each anchor a local parser expands to the boundaries of an item and val
 
 * ``email`` around an at-sign; ``ip``, ``card`` from a digit; ``phone`` from a plus sign;
 * ``address``: the credentials and host behind a scheme, as in ``ftp://user:pass@host``;
-* ``account``: the identifier behind a cue such as ``IBAN`` or ``account no.``; an IBAN must pass its check
-  digits, other identifiers need six digits or more.
+* ``account``: the identifier behind a cue such as ``IBAN`` or ``account no.``, in any letter case; an IBAN
+  must pass its check digits, other identifiers need six digits or more.
 
 Items of one kind never overlap; a match that fails validation is dropped and its characters are not tried
 again. Positions are code points, ends exclusive. A null or empty text has no items; the list of an id that
@@ -40,7 +40,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _DIALLED = re.compile(r"\+[0-9][ ().0-9-]+")
 _AUTHORITY = re.compile(r"[A-Za-z0-9._~%!$&'*+,;=:-]+@[A-Za-z0-9.-]*[A-Za-z0-9](?::[0-9]+)?")
-_AFTER_CUE = re.compile(r"(?: ?(?:no|nr|number|nummer|id)\b\.?)?[ :#=]{1,3}")
+_AFTER_CUE = re.compile(r"(?: ?(?:no|nr|number|nummer|id)\b\.?)?[ :#=]{1,3}", re.ASCII | re.IGNORECASE)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _IDENTIFIER = re.compile(r"[A-Z]{0,3}[0-9](?:[ -]?[0-9]){5,19}\b")
 
@@ -55,12 +55,18 @@ def anchors() -> ahocorasick.Automaton:
     for digit in _DIGITS:
         found.add_word(digit, ("digit", 1))
     for cue in CUES:
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            found.add_word(form, ("cue", len(form)))
+        found.add_word(cue, ("cue", len(cue)))
     found.make_automaton()
     return found
 
 
+def ascii_lower(text: str) -> str:
+    """Only A-Z lower-cased: the length, and so every position, stays."""
+    if text.isascii():
+        return text.lower()
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for place, digit in enumerate(reversed(digits)):
@@ -144,7 +150,7 @@ def find_spans(text: str | None) -> list[tuple[int, int, str]]:
         if span:
             found.append((*span, kind))
 
-    for last, (anchor, length) in anchors().iter(text or ""):
+    for last, (anchor, length) in anchors().iter(ascii_lower(text or "")):
         start = last + 1 - length
         if anchor == "digit":
             if start >= free["ip"]:

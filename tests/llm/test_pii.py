@@ -48,6 +48,21 @@ def test_added_kinds_and_bounds():
     assert pii.find_spans(long) == [] and len(pii.find_spans("x@y.z " * 20_000)) == 20_000
 
 
+def test_cues_in_any_letter_case():
+    cues = (
+        "account no. ", "account number: ", "passport no: ", "customer id: ", "member id ", "ssn id#", "konto nr. ",
+        "kontonummer: ", "acct = ",
+    )
+    for cue in cues:
+        for form in (cue, cue.capitalize(), cue.title(), cue.upper(), cue.swapcase()):
+            for before in ("", "\u0130\u212a \u00c9\U0001f600 "):
+                text = f"{before}{form}C1234567."
+                assert [(text[a:b], k) for a, b, k in pii.find_spans(text)] == [("C1234567", "account")], text
+                assert pii.masked(text) == f"{before}{form}[account]."
+    for clean in ("Account Now 12345678", "ACCOUNTS 123456", "My\u0130ban: 12345678", "CUSTOMER \u0130D: 12345678"):
+        assert pii.find_spans(clean) == [], clean
+
+
 def test_rows(spark):
     docs = spark.createDataFrame(
         [(1, "a@b.c 1.2.3.4", 0), (1, "", 0), (None, None, 0)], "doc_id long, text string, spans int"
