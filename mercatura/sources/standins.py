@@ -244,23 +244,27 @@ EXPORT_DIALECTS = (
 
 
 def export_lines(lines: DataFrame) -> DataFrame:
-    """Lines with the business date of their export: one export per store and year."""
-    return lines.withColumn("business_date", F.trunc("business_date", "year"))
+    """Lines with the name of their export: one a store and day, and a re-sent one for later copies of a line."""
+    first = lines.groupBy("bill_no", "line_no").agg(F.min("raw_ts").alias("first_ts"))
+    name = F.concat(
+        F.lit("SALES_"), "store_id", F.lit("_"), F.date_format("business_date", "yyyyMMdd"),
+        F.when(F.col("raw_ts") > F.col("first_ts"), F.lit("__R1")).otherwise(F.lit("")),
+    )
+    return join_by_key(lines, first, ["bill_no", "line_no"]).withColumn("export", name).drop("first_ts")
 
 
 def write_exports(lines: DataFrame, root: str) -> None:
     number = F.substring("store_id", 2, 2).cast("int")
     member = (number <= 5, (number >= 6) & (number <= 9), number >= 10)
-    name = F.concat(
-        F.lit("SALES_"), "store_id", F.lit("_"), F.date_format("business_date", "yyyyMMdd")
-    )
-    named = export_lines(lines).withColumn("export", name)
+    named = export_lines(lines)
+    # a fixed number: adaptive execution would have one task write the many small files of a small table
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for dialect, belongs in zip(EXPORT_DIALECTS, member):
         columns = [F.col(s).alias(g) for s, g in zip(STAGED_COLUMNS, dialect.columns)]
         (
             named.filter(belongs)
             .select(*columns, "export")
-            .hint("rebalance", "export")
+            .repartition(tasks, "export")
             .write.mode("append")
             .partitionBy("export")
             .options(header=True, sep=dialect.separator)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from mercatura.functions.money import line_amount
 from mercatura.operators import asof, dedup, dims, marts, reconcile
 from mercatura.schemas import CATEGORY, PRODUCT, STAGED_LINE
-from mercatura.sources import exports, files, sinks
+from mercatura.sources import exports, files, sinks, standins
 
 DAY = dt.date(2024, 3, 5)
 END = dims.OPEN_END
@@ -229,6 +229,22 @@ def test_exports_of_all_dialects_and_resent_files(spark, tmp_path, rows):
     ]
 
 
+def test_exports_are_daily_and_later_copies_are_resent(spark, staged, tmp_path, rows):
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 12, 31)]
+    sent = [
+        line(f"{store}-{day}", copy[0], qty=copy[1], ts=copy[2], store=store, day=day)
+        for store in ("S00", "S03", "S08", "S24")
+        for day in days
+        for copy in ((1, 1.0, "10:00"), (1, 1.0, "10:00"), (1, 2.0, "11:00"), (2, 5.0, "10:30"))
+    ]
+    standins.write_exports(staged(*sent), str(tmp_path))
+    names = {p.parent.name.split("=")[1] for p in tmp_path.glob("*/*.csv")}
+    assert len(names) == 24
+    assert {f"SALES_S08_20240102{end}" for end in ("", "__R1")} <= names
+    got = exports.read_exports(spark, str(tmp_path), standins.EXPORT_DIALECTS)
+    assert rows(got.select(*STAGED_LINE.names)) == sorted(sent, key=repr)
+
+
 def test_file_that_no_dialect_reads_is_an_error(spark, tmp_path):
     header = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
     (tmp_path / "SALES_S01_20240305.csv").write_text(header)
