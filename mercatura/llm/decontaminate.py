@@ -126,7 +126,7 @@ def find_phrases(texts: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFra
     found = (
         index.join(first.select("phrase", "term", "offset", "n"), "term")
         .select("phrase", "doc", "digest", (F.col("pos") - F.col("offset")).alias("start"), "n")
-        .filter("start >= 0")
+        .filter(F.col("start") >= -slop)
     )
     asked = _near(found.join(second.select("phrase", "term", "offset"), "phrase"), slop)
     places = index.join(second.select("term").distinct(), "term", "left_semi")
@@ -166,7 +166,8 @@ def hits(
     phrases = stage(numbered, "phrases")
     matches = stage(find_phrases(texts, phrases, slop), "matches")
     last = F.col("start") + F.col("n").cast("int") - 1
-    covered = matches.select("doc", "digest", F.explode(F.sequence("start", last)).alias("pos"))
+    head = F.greatest("start", F.lit(0))  # with slop a match may start before the text
+    covered = matches.select("doc", "digest", F.explode(F.sequence(head, last)).alias("pos"))
     n_hit = covered.distinct().groupBy("doc", "digest").agg(F.count(F.lit(1)).alias("n_hit"))
     items = (
         matches.select("doc", "digest", "phrase").distinct()

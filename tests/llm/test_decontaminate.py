@@ -57,6 +57,14 @@ def test_against_every_place(spark, size, slop):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(docs, items, size, slop)
 
 
+def test_slop_at_the_head(spark):
+    bench = spark.createDataFrame([(1, "x y z")], "item_id int, text string")
+    texts = ["x z y", "p x z y", "x y x y", "z x y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.hits(docs, bench, 3, 2).collect()}
+    assert got == {0: (2, ["1"]), 1: (3, ["1"]), 2: (0, []), 3: (0, [])}
+
+
 def test_empty_and_long(spark):
     bench = spark.createDataFrame([(1, "one two three four")], "item_id int, text string")
     empty = spark.createDataFrame([], "doc_id long, text string")
