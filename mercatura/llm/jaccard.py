@@ -86,9 +86,8 @@ def _distinct(arrays: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(arrays)) if arrays else np.zeros(0, np.uint64)
 
 
-def shared_sets(texts: DataFrame, n: int, share: tuple[int, int]) -> DataFrame:
+def shared_sets(texts: DataFrame, n: int, share: tuple[int, int], n_blocks: int, bits: int) -> DataFrame:
     """Each row's set size, and the set where it may have a partner: block, doc_id, n_shingles, grams."""
-    n_blocks, bits = lookup.sizes(lookup.text_bytes(texts))
     # the text spreads the rows that share an id, or have none
     number = lookup.hash_block(F.concat_ws("|", F.col("doc_id"), F.xxhash64("text")), n_blocks)
     blocks = texts.withColumn("block", number).groupBy("block")
@@ -303,7 +302,8 @@ def jaccard_components(
     """Set size and component of every row: doc_id, n_shingles, component_id."""
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    every = shared_sets(texts, n, share).withColumn(
+    n_blocks, bits = lookup.sizes(lookup.text_bytes(texts))
+    every = shared_sets(texts, n, share, n_blocks, bits).withColumn(
         "node", F.when(F.col("doc_id").isNotNull() & F.col("grams").isNotNull(), F.xxhash64(F.sha2("grams", 256)))
     )
     every = stage(every, "sets")
@@ -313,7 +313,6 @@ def jaccard_components(
     # rows that share an id are one: their sets are linked
     by_id = rows.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).filter("a < high")
     known = rows.join(stage(by_id.select("doc_id", "a"), "repeated"), "doc_id").select("a", F.col("node").alias("b"))
-    bits = lookup.sizes(1 << 30)[1]
     postings = stage(rare_prefixes(sets, share, bits), "postings")
     found = components_of(postings, segments(sets), known, share)
     lowest = rows.groupBy("node").agg(F.min("doc_id").alias("id"))

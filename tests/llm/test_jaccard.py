@@ -68,3 +68,16 @@ def test_empty_and_hot_group(spark):
     rows += [(k, " ".join([*base[: k % 80], f"x{k}", *base[k % 80 + 1 :]])) for k in range(10, 400)]
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id int, text string")).collect()
     assert {(r.doc_id, r.component_id) for r in got} == {(r[2] and r[0], r[2]) for r in brute(rows, 4, (85, 100))}
+
+
+def test_buckets_grow_with_the_text(spark, monkeypatch):
+    asked = []
+    prefixes = jaccard.rare_prefixes
+    monkeypatch.setattr(jaccard, "rare_prefixes", lambda sets, share, bits: asked.append(bits) or prefixes(sets, share, bits))
+    monkeypatch.setattr(jaccard.lookup, "BUCKET_BYTES", 16)
+    rows = made(3, 20, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.jaccard_components(docs)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 4, (85, 100))
+    n_bytes = sum(len(text.encode()) for _, text in rows)
+    assert n_bytes > 64 * 16 and all(2**bits * 16 >= n_bytes for bits in asked) and len(asked) == 1
