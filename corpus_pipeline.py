@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mercatura.llm import decontaminate, jaccard, packing, pii, quality, queries
 from mercatura.llm.common import read
+from mercatura.operators.joins import join_by_key
 from mercatura.session import stage
 
 #: Words of a shingle and least similarity of near duplicates; words of a benchmark window.
@@ -28,17 +29,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect, the ones with the smallest id; one row of equal id and text.
 
+    Documents are told apart by id and text, so a text without links stays if another of its id goes.
     Documents without words or without an id are in no group and stay.
     """
-    found = stage(jaccard.jaccard_components(docs, SHINGLE, SIMILARITY), "components")
-    others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(stage(others, "others"), "doc_id", "left_anti").select(*docs.columns)
-    several = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    keyed = docs.withColumn("_key", key)
+    found = stage(jaccard.jaccard_components(keyed, SHINGLE, SIMILARITY, "_key"), "components")
+    # members of groups of two or more; a group is named by its smallest key
+    rest = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    rest = stage(rest, "linked")
+    linked = rest.unionByName(rest.select(F.col("component_id").alias("_key"), "component_id").distinct())
+    members = stage(join_by_key(keyed.select("_key", "doc_id"), linked, ["_key"]).distinct(), "members")
+    lowest = members.groupBy("component_id").agg(F.min("doc_id").alias("lowest"))
+    others = join_by_key(members, lowest, ["component_id"]).filter("doc_id > lowest").select("_key")
+    kept = keyed.join(stage(others, "others"), "_key", "left_anti")
+    several = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    several = stage(several.select(F.col("doc_id").alias("_key")), "repeated")
     if several.isEmpty():
-        return kept
-    several = stage(several, "repeated")
-    once = kept.join(several, "doc_id").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return kept.join(several, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return kept.select(*docs.columns)
+    once = kept.join(several, "_key").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return kept.join(several, "_key", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 
 from mercatura.llm import lookup, words
 from mercatura.llm.common import bounded_batches
+from mercatura.operators.joins import join_by_key
 from mercatura.operators.resolve import connected_components
 from mercatura.session import stage
 
@@ -321,9 +322,8 @@ def jaccard_components(
     )
     ids = stage(owned.groupBy("component").agg(F.min("id").alias("component_id")), "lowest")
     named = stage(owned.join(ids, "component").select("node", "component_id"), "named")
-    return (
-        rows.join(named, "node").select("doc_id", "n_shingles", "component_id")
-        .unionByName(
-            every.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-        )
-    )
+    placed = stage(rows.join(named, "node").select("doc_id", "n_shingles", "component_id"), "placed")
+    # a row without partners is still of its id's component, if another row of that id has one
+    of_id = placed.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    lone = join_by_key(every.filter("node IS NULL").select("doc_id", "n_shingles"), of_id, ["doc_id"], "left")
+    return placed.unionByName(lone.withColumn("component_id", F.coalesce("component_id", "doc_id")))

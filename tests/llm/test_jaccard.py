@@ -81,3 +81,11 @@ def test_buckets_grow_with_the_text(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 4, (85, 100))
     n_bytes = sum(len(text.encode()) for _, text in rows)
     assert n_bytes > 64 * 16 and all(2**bits * 16 >= n_bytes for bits in asked) and len(asked) == 1
+
+
+def test_link_of_one_row_is_a_link_of_its_id(spark):
+    text = "a text that two documents hold word for word"
+    rows = [(3, text), (5, text), (5, "quite another text that no other document has"), (7, None), (7, text), (8, "")]
+    rows += [(9, "alone here with its own few words"), (9, "alone there with some more and other words"), (None, text)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows, 4, (85, 100))

@@ -109,3 +109,13 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_unique_text_of_a_linked_id_stays(spark, folder):
+    text = "one two three four five six seven eight nine"
+    unique = "a b c d e f g h i j"
+    rows = [(3, text), (5, text), (5, unique), (5, unique), (6, text), (7, ""), (7, text), (None, text), (2, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.keep_one_of_each_group(spark, docs, folder)
+    want = [(3, text), (5, unique), (7, ""), (None, text), (2, "x y")]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
