@@ -2,7 +2,7 @@
 
 Documents are cut by id into ranges, in ascending order; a range is a sequence of shards of bounded size. In a
 shard the frequent pairs of neighbouring ids are replaced by new symbols, round after round, until no pair
-is frequent or the rounds or symbols are used up. A pair never spans two documents. A shard holds its rules, the
+is frequent. A pair never spans two documents. A shard holds its rules, the
 number of ids that each rule's symbol expands to, and for each document its number of ids and the end of its
 symbols; so any run of ids of a document is decoded without the ones before it.
 
@@ -39,15 +39,17 @@ SHARD = (
 )
 #: Ids of a shard, text bytes of a range, least number of ranges.
 SHARD_IDS, RANGE_BYTES, LEAST_RANGES = 1 << 18, 16 << 20, 64
-#: Rounds of replacement, and occurrences that make a pair frequent.
-ROUNDS, FREQUENT = 6, 4
+#: Occurrences that make a pair frequent: with fewer its rule takes more room than it saves.
+FREQUENT = 4
 
 
 def _winners(rank: np.ndarray) -> np.ndarray:
-    """Positions whose pair ranks before the pairs that overlap it; of equal neighbours the first."""
+    """Positions whose pair ranks before the pairs that overlap it; in a run of equal pairs every second."""
+    at = np.arange(len(rank))
     before = np.concatenate(([-1], rank[:-1]))
     after = np.concatenate((rank[1:], [-1]))
-    return (rank >= 0) & (rank > before) & (rank >= after)
+    offset = at - np.maximum.accumulate(np.where(rank != before, at, 0))
+    return (rank >= 0) & (offset % 2 == 0) & ((offset > 0) | (rank > before)) & (rank >= after)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,10 +59,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int) -> tuple[np.ndar
     last[ends - 1] = True
     rules: list[np.ndarray] = []
     n_rules = 0
-    limit = max(1 << 16, 1 << (terminals - 1).bit_length()) - terminals
-    for _ in range(ROUNDS):
-        if len(symbols) < 2 or n_rules >= limit:
-            break
+    while len(symbols) > 1:
         pairs = symbols[:-1] << 32 | symbols[1:]
         inner = np.flatnonzero(~last[:-1])
         distinct, number, counts = np.unique(pairs[inner], return_inverse=True, return_counts=True)
@@ -73,7 +72,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int) -> tuple[np.ndar
         won = np.flatnonzero(_winners(rank))
         # of the pairs that win often enough, the most frequent become rules
         found, uses = np.unique(rank[won], return_counts=True)
-        found = found[uses >= FREQUENT][::-1][: limit - n_rules]
+        found = found[uses >= FREQUENT][::-1]
         if not len(found):
             break
         symbol = np.full(len(distinct) + 1, -1, dtype=np.int64)

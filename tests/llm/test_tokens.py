@@ -150,3 +150,15 @@ def test_token_files(spark, tmp_path, monkeypatch):
         upto += len(ids) + 1
     grammar.write_tokens(docs.limit(0), f"{tmp_path}/e", DEFINITION)
     assert grammar.read_tokens(spark, f"{tmp_path}/e").count() == 0
+
+
+@pytest.mark.parametrize("terminals", [300, 65530])
+def test_pairs_are_replaced_until_none_is_frequent(terminals):
+    draw = np.random.default_rng(3)
+    passages = [np.tile(draw.permutation(300), 1), np.full(4096, 7), np.tile([1, 2, 3], 500)]
+    for passage in passages:
+        copies = 40
+        ids, ends = np.tile(passage, copies), np.arange(1, copies + 1) * len(passage)
+        rules, symbols, found = grammar.compress(ids, ends, terminals)
+        assert (grammar.expand(symbols, rules, terminals) == ids).all()
+        assert len(symbols) == len(found) == copies
