@@ -20,8 +20,10 @@ def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, as one row may hold a very long text.
 
     Workers look for this package also where the driver found it, so a source tree works without installation.
+    Products of matrices run on one thread, as every core has a task of its own.
     """
     environment = spark.sparkContext.environment
+    environment.setdefault("OPENBLAS_NUM_THREADS", "1")
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if SOURCE not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, SOURCE]))

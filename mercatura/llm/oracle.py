@@ -120,10 +120,87 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+_FINITE = """embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"""
+
+
+def _assigned(books: str) -> str:
+    """Nearest entry of each part of each row, with its distance."""
+    return f"""
+  SELECT id, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance
+  FROM (SELECT id, part, entry, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(v, c)]) AS distance
+        FROM parts JOIN {books} USING (part))
+  GROUP BY id, part"""
+
+
+def _updated(books: str, assigned: str) -> str:
+    """Entries as the floor of the mean of their parts; unused ones stay."""
+    return f"""
+  SELECT part, entry, coalesce(m, c) AS c
+  FROM {books} LEFT JOIN (
+    SELECT part, entry, list(m ORDER BY place) AS m
+    FROM (SELECT part, entry, place, floor(sum(x) / count(*))::BIGINT AS m
+          FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS place
+                FROM parts JOIN {assigned} USING (id, part))
+          GROUP BY part, entry, place)
+    GROUP BY part, entry) USING (part, entry)"""
+
+
+VECTOR_CODES = (
+    f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+         [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE {_FINITE}
+), parts AS MATERIALIZED (
+  SELECT id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v
+  FROM kept, (SELECT unnest(range(4)) AS part)
+), books0 AS MATERIALIZED (SELECT part, id AS entry, v AS c FROM parts WHERE id < 256)"""
+    + "".join(
+        f""", assigned{k} AS MATERIALIZED ({_assigned(f"books{k}")}
+), books{k + 1} AS MATERIALIZED ({_updated(f"books{k}", f"assigned{k}")}
+)"""
+        for k in range(4)
+    )
+    + f""", final AS MATERIALIZED ({_assigned("books4")}
+), coded AS (
+  SELECT id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error
+  FROM final GROUP BY id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books4
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (id), digest
+"""
+)
+
+HARD_NEGATIVES = f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         list_sum([x[1] * x[2] FOR x IN list_zip(a.v, b.v)])::BIGINT AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
 STATEMENTS = {
     "op4_url_filter": URL_FILTER,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op8_ngram_jaccard": NGRAM_JACCARD,
     "op9_decontamination": DECONTAMINATION,
     "op10_exact_top_k": EXACT_TOP_K,
+    "op11_vector_codes": VECTOR_CODES,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercatura.llm import (
-    decontaminate, grammar, jaccard, packing, pii, quality, substrings, tokens, topk, urls, wordpiece,
+    codes, decontaminate, grammar, jaccard, lm, negatives, packing, pii, quality, substrings, tokens, topk, urls,
+    wordpiece,
 )
 from mercatura.llm.common import read
 from mercatura.session import new_table_path
@@ -24,6 +25,7 @@ RULES = [
 
 #: Tokenizer files of the queries.
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def definition(name: str) -> str:
@@ -105,6 +107,20 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings")
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label, k=5, share=(80, 100))
+
+
+def op13_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents"), definition(BYTE_RANKS), parts=5, kept_back=1)
+
+
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_token_counts": op2_token_counts,
@@ -116,4 +132,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_decontamination": op9_decontamination,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_attention_scores": op13_attention_scores,
 }
