@@ -57,10 +57,10 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write an intermediate table once as Parquet in the shared folder, and read it back."""
     path = new_table_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
