@@ -200,7 +200,7 @@ def bucket_skew_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucket_skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buckets, implied pairs, the ten largest sizes, and the sources inside the largest bucket."""
     table = notice_bands(spark, sf_dir)
-    summary = lsh.skew_summary(table).select(
+    summary = lsh.skew_summary(table, CAPS[-1]).select(
         F.inline(
             F.array(
                 *[

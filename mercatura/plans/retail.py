@@ -46,20 +46,13 @@ def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share(spark, sf_dir, "lake", build)
 
 
-def daily_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Till lines written as daily and re-sent exports, and read back."""
     root = new_table_path(spark, "exports")
     standins.write_exports(standins.raw_lines(spark, sf_dir), root)
     return exports.read_exports(spark, root, standins.EXPORT_DIALECTS)
 
 
-def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily exports, with the year of the business date as the query's statement has it."""
-    return daily_exports(spark, sf_dir).withColumn(
-        "business_date", F.trunc("business_date", "year")
-    )
-
-
 def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake(spark, sf_dir).groupBy("store_id", "year_month").agg(
         F.count("*").alias("n_lines"),
@@ -86,7 +79,7 @@ def table_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idempotent_reload(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
-    """Load the same exports several times into one table; each run reports what is then in it."""
+    """Load the same lines several times into one table; each run reports what is then in it."""
     root = new_table_path(spark, "reload")
     reports = []
     for run in range(1, runs + 1):

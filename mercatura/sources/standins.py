@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercatura.functions import text as tx
@@ -253,23 +259,42 @@ def export_lines(lines: DataFrame) -> DataFrame:
     return join_by_key(lines, first, ["bill_no", "line_no"]).withColumn("export", name).drop("first_ts")
 
 
-def write_exports(lines: DataFrame, root: str) -> None:
+def export_files(lines: DataFrame) -> DataFrame:
+    """The text of each export: ``export, content``."""
     number = F.substring("store_id", 2, 2).cast("int")
     member = (number <= 5, (number >= 6) & (number <= 9), number >= 10)
     named = export_lines(lines)
+
+    pairs = list(zip(EXPORT_DIALECTS, member))
+    header = F.coalesce(*(F.when(belongs, d.separator.join(d.columns)) for d, belongs in pairs))
+    row = F.coalesce(
+        *(F.when(belongs, F.to_csv(F.struct(*STAGED_COLUMNS), {"sep": d.separator})) for d, belongs in pairs)
+    )
+    written = named.select("export", header.alias("header"), row.alias("row"))
+    return written.groupBy("export", "header").agg(F.collect_list("row").alias("rows")).select(
+        "export", F.concat_ws("\n", "header", F.array_join("rows", "\n"), F.lit("")).alias("content")
+    )
+
+
+def write_exports(lines: DataFrame, root: str) -> None:
+    """One file for each export, written by the tasks under a temporary name and then renamed."""
     # a fixed number: adaptive execution would have one task write the many small files of a small table
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    for dialect, belongs in zip(EXPORT_DIALECTS, member):
-        columns = [F.col(s).alias(g) for s, g in zip(STAGED_COLUMNS, dialect.columns)]
-        (
-            named.filter(belongs)
-            .select(*columns, "export")
-            .repartition(tasks, "export")
-            .write.mode("append")
-            .partitionBy("export")
-            .options(header=True, sep=dialect.separator)
-            .csv(root)
-        )
+    uri = re.sub("^file:/+", "/", root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, folder = fs.FileSystem.from_uri(uri)
+        system.create_dir(folder, recursive=True)
+        for batch in batches:
+            for export, content in zip(batch["export"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                hidden = f"{folder}/.{export}.{uuid.uuid4().hex}"
+                with system.open_output_stream(hidden) as file:
+                    file.write(content.encode())
+                system.move(hidden, f"{folder}/{export}.csv")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    files = export_files(lines).repartition(tasks, "export")
+    files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 # --- notices -----------------------------------------------------------------------------------

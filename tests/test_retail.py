@@ -238,7 +238,7 @@ def test_exports_are_daily_and_later_copies_are_resent(spark, staged, tmp_path,
         for copy in ((1, 1.0, "10:00"), (1, 1.0, "10:00"), (1, 2.0, "11:00"), (2, 5.0, "10:30"))
     ]
     standins.write_exports(staged(*sent), str(tmp_path))
-    names = {p.parent.name.split("=")[1] for p in tmp_path.glob("*/*.csv")}
+    names = {p.stem for p in tmp_path.iterdir()}
     assert len(names) == 24
     assert {f"SALES_S08_20240102{end}" for end in ("", "__R1")} <= names
     got = exports.read_exports(spark, str(tmp_path), standins.EXPORT_DIALECTS)
