@@ -6,6 +6,7 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -110,7 +111,7 @@ def notice_steps(spark, sf_dir: str):
         state["cleaned"] = stage(cleaned, "cleaned")
         state["documents"] = stage(sh.distinct_documents(state["cleaned"]), "documents")
         state["rows"] = sh.shingle_rows(state["documents"])
-        state["frequency"] = sh.document_frequency(state["rows"])
+        state["frequency"] = stage(sh.document_frequency(state["rows"]), "frequency")
         state["stop"] = stage(sh.stop_shingles(state["frequency"], state["cleaned"]), "stop")
 
     def signatures_and_buckets():
@@ -129,11 +130,20 @@ def notice_steps(spark, sf_dir: str):
         members = found.toDF("doc", "component")
         consume(rs.cluster_members(state["cleaned"], state["documents"], members))
 
+    def index_build():
+        state["index"] = f"buckets_{uuid.uuid4().hex}"
+        lsh.store_index(state["bands"], state["documents"], state["frequency"], state["index"], 2 * int(CPUS))
+
     def bucket_lookup():
+        """All labelled documents looked up, from their own texts and the stored index."""
         batch = state["documents"].join(
             standins.table(spark, sf_dir, "labels"), F.col("doc") == F.col("doc_id"), "left_semi"
-        ).select("doc")
-        consume(lsh.lookup(state["bands"], stage(batch, "batch"), state["documents"], state["frequency"]))
+        )
+        batch = stage(batch, "batch")
+        kept = sh.prune(sh.shingle_rows(batch), state["stop"])
+        keys = stage(lsh.band_rows(lsh.signature_parts(kept)), "keys")
+        prefixes = stage(lsh.rare_prefixes(batch, state["frequency"]), "batch_prefixes")
+        consume(lsh.indexed_lookup(keys, prefixes, state["index"]))
 
     def notice_job():
         """From raw notices: loading and cleaning included."""
@@ -141,7 +151,7 @@ def notice_steps(spark, sf_dir: str):
 
     return (
         load_notices, shingles_and_pruning, signatures_and_buckets, candidate_retrieval, verification,
-        clustering, bucket_lookup, notice_job,
+        clustering, index_build, bucket_lookup, notice_job,
     )
 
 

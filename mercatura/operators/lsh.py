@@ -17,7 +17,7 @@ from mercatura.functions.minhash import (
 )
 from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import shingle_rows
-from mercatura.session import stage
+from mercatura.session import new_table_path, stage
 
 BUCKET = ["band_id", "bucket_hash"]
 # Fixed value: the similarity that merges.
@@ -109,7 +109,7 @@ def bucket_sizes(bands: DataFrame) -> DataFrame:
 
 
 def different_buckets(bands: DataFrame) -> DataFrame:
-    """Buckets of two members or more, one of each different set of members.
+    """Buckets of two members or more with their size ``n``, one of each different set of members.
 
     Near copies share most of their buckets, so most sets of members occur in many bands. Sets are told apart
     by their size and two sums of hashes of the members.
@@ -119,7 +119,7 @@ def different_buckets(bands: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.sum(member[0]).alias("s"), F.sum(member[1]).alias("t")
     )
     first = F.min(F.struct(*BUCKET)).alias("first")
-    return sets.filter("n > 1").groupBy("n", "s", "t").agg(first).select("first.*")
+    return sets.filter("n > 1").groupBy("n", "s", "t").agg(first).select("first.*", "n")
 
 
 def rarest_shingles(
@@ -146,29 +146,51 @@ def rarest_shingles(
     )
 
 
-def meeting_rows(
-    bands: DataFrame, documents: DataFrame, frequency: DataFrame, threshold: float = MERGE_THRESHOLD
+def rare_prefixes(
+    documents: DataFrame, frequency: DataFrame, threshold: float = MERGE_THRESHOLD
 ) -> DataFrame:
-    """What documents can meet under: a bucket and one of their rarest shingles, ``doc, band_id, bucket_hash,
-    shingle, n_shingles``. A key never spans buckets, and a frequent shingle is hardly anyone's rarest."""
-    crowd = join_by_key(bands, different_buckets(bands), BUCKET, "left_semi")
-    members = documents.join(crowd.select("doc").distinct(), "doc", "left_semi")
-    return crowd.join(rarest_shingles(members, frequency, threshold), "doc")
+    """Each document's rarest shingles as an array of hashes: ``doc, n_shingles, prefix``."""
+    rarest = rarest_shingles(documents, frequency, threshold)
+    return rarest.groupBy("doc", "n_shingles").agg(F.collect_list(F.xxhash64("shingle")).alias("prefix"))
+
+
+# Members from which a bucket is a crowd: its members meet under one of their rarest shingles as well.
+CROWD = 64
+MEETING = [*BUCKET, "meet"]
 
 
-MEETING = [*BUCKET, "shingle"]
+def meeting_rows(sized: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """What documents can meet under: ``doc, band_id, bucket_hash, meet``.
+
+    ``sized`` has the size ``n`` of each row's bucket. In most buckets all members meet. In a crowd they meet
+    under each of their rarest shingles: one that all of them hold is hardly anyone's rarest, so no key is hot.
+    Documents that ``may_match`` meet in either case, so the size decides the plan and not the result.
+    """
+    few = sized.filter(F.col("n") <= CROWD).select("doc", *BUCKET, F.lit(0).cast("bigint").alias("meet"))
+    many = sized.filter(F.col("n") > CROWD).join(prefixes.select("doc", "prefix"), "doc")
+    return few.unionByName(many.select("doc", *BUCKET, F.explode("prefix").alias("meet")))
+
+
+def may_match(pairs: DataFrame, prefixes: DataFrame, a: str, b: str, threshold: float = MERGE_THRESHOLD) -> DataFrame:
+    """Pairs whose sizes allow ``threshold`` and which share one of their rarest shingles."""
+    sides = [
+        prefixes.select(F.col("doc").alias(doc), F.col("n_shingles").alias(f"n_{doc}"), F.col("prefix").alias(f"p_{doc}"))
+        for doc in (a, b)
+    ]
+    sizes = (F.col(f"n_{a}"), F.col(f"n_{b}"))
+    compatible = F.least(*sizes) >= F.greatest(*sizes) * threshold - 1e-6
+    both = pairs.join(sides[0], a).join(sides[1], b)
+    return both.filter(compatible & F.arrays_overlap(f"p_{a}", f"p_{b}")).select(*pairs.columns)
 
 
-def _met(a: DataFrame, b: DataFrame, apart: Column, threshold: float) -> DataFrame:
-    """Pairs of rows ``a`` and ``b`` that meet and whose sizes allow ``threshold``."""
+def _met(a: DataFrame, b: DataFrame, apart: Column) -> DataFrame:
+    """Pairs of documents of rows ``a`` and ``b`` that meet, each once."""
     match = apart
     for name in MEETING:
         match = match & (F.col(f"a.{name}") == F.col(f"b.{name}"))
-    sizes = (F.col("a.n_shingles"), F.col("b.n_shingles"))
-    compatible = F.least(*sizes) >= F.greatest(*sizes) * threshold - 1e-6
     docs = (F.col("a.doc"), F.col("b.doc"))
     return (
-        a.alias("a").join(b.alias("b"), match & compatible)
+        a.alias("a").join(b.alias("b"), match)
         .select(F.least(*docs).alias("doc_a"), F.greatest(*docs).alias("doc_b"))
         .distinct()
     )
@@ -185,10 +207,13 @@ def candidate_pairs(
 
     They share one of their rarest shingles and have compatible sizes, as all pairs of that similarity do, so
     verification loses nothing. The definition is the same for buckets of every size. With
-    ``labels(doc, label)`` only pairs across labels are formed. ``bands`` is read several times and should be
-    a stored table.
+    ``labels(doc, label)`` only pairs across labels are formed. ``bands`` and ``frequency`` are read several
+    times and should be stored tables.
     """
-    rows = meeting_rows(bands, documents, frequency, threshold)
+    crowd = stage(join_by_key(bands, different_buckets(bands), BUCKET), "crowd")
+    members = documents.join(crowd.select("doc").distinct(), "doc", "left_semi")
+    prefixes = stage(rare_prefixes(members, frequency, threshold), "prefixes")
+    rows = meeting_rows(crowd, prefixes)
     if labels is None:
         rows = rows.withColumn("label", F.col("doc"))
     else:
@@ -197,7 +222,7 @@ def candidate_pairs(
         )
     rows = stage(rows, "meeting")
     apart = (F.col("a.doc") < F.col("b.doc")) & (F.col("a.label") != F.col("b.label"))
-    return _met(rows, rows, apart, threshold)
+    return may_match(stage(_met(rows, rows, apart), "met"), prefixes, "doc_a", "doc_b", threshold)
 
 
 def _touched(bands: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -226,11 +251,15 @@ def batch_pairs(
     never formed.
     """
     touched = stage(_touched(bands, incoming), "touched")
+    rows = touched.drop("is_incoming")
+    members = documents.join(rows.select("doc").distinct(), "doc", "left_semi")
+    prefixes = stage(rare_prefixes(members, frequency, threshold), "prefixes")
+    met = meeting_rows(join_by_key(rows, different_buckets(rows), BUCKET), prefixes)
     marks = touched.select("doc", "is_incoming").distinct()
-    met = meeting_rows(touched.drop("is_incoming"), documents, frequency, threshold)
-    rows = stage(met.join(marks, "doc"), "meeting")
+    met = stage(met.join(marks, "doc"), "meeting")
     stored = F.lit(False) if not among else F.col("b.is_incoming") & (F.col("a.doc") < F.col("b.doc"))
-    return _met(rows.filter("is_incoming"), rows, ~F.col("b.is_incoming") | stored, threshold)
+    pairs = _met(met.filter("is_incoming"), met, ~F.col("b.is_incoming") | stored)
+    return may_match(stage(pairs, "met"), prefixes, "doc_a", "doc_b", threshold)
 
 
 def lookup(
@@ -251,6 +280,82 @@ def lookup(
     return with_shared_bands(stage(mates, "mates"), bands, "incoming_doc", "stored_doc")
 
 
+# --- a stored bucket table, looked up by key -------------------------------------------------------
+
+# Keys up to this number are written into the scan, which then opens few files and row groups.
+LITERAL_KEYS = 4096
+
+
+def _meeting_key() -> Column:
+    return F.concat_ws(":", *MEETING)
+
+
+def store_index(
+    bands: DataFrame,
+    documents: DataFrame,
+    frequency: DataFrame,
+    name: str,
+    n_files: int = 64,
+    threshold: float = MERGE_THRESHOLD,
+) -> None:
+    """The bucket table and the documents' rarest shingles as catalog tables, each bucketed and sorted by its key.
+
+    ``<name>_keys`` has a row for each key that a document can be met under, ``<name>_prefixes`` one for each
+    document, ``<name>_crowds`` the buckets whose members meet under their rarest shingles. Sorted files with
+    bloom filters let a scan for given keys pass over files and row groups, and a join on the key needs no
+    shuffle of the table.
+    """
+    sized = stage(join_by_key(bands, bucket_sizes(bands).withColumnRenamed("n_members", "n"), BUCKET), "sized")
+    prefixes = stage(rare_prefixes(documents, frequency, threshold), "prefixes")
+    keys = meeting_rows(sized, prefixes).select(_meeting_key().alias("meeting_key"), "doc", "band_id")
+    crowds = sized.filter(F.col("n") > CROWD).select(*BUCKET).distinct()
+    for part, table, key in (("keys", keys, "meeting_key"), ("prefixes", prefixes, "doc"), ("crowds", crowds, None)):
+        folder = new_table_path(bands.sparkSession, f"{name}_{part}")
+        writer = table if key is None else table.repartition(n_files, key)
+        writer = writer.write.mode("overwrite").option("path", folder)
+        if key is not None:
+            writer = writer.bucketBy(n_files, key).sortBy(key).options(**{
+                f"parquet.bloom.filter.enabled#{key}": "true", "parquet.block.size": str(8 << 20)
+            })
+        writer.saveAsTable(f"{name}_{part}")
+
+
+def _rows_of(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of a bucketed table with one of the keys: found by literals if these are few, else by a join."""
+    keys = keys.select(key).distinct()
+    few = [row[0] for row in keys.limit(LITERAL_KEYS + 1).collect()]
+    if len(few) <= LITERAL_KEYS:
+        return table.filter(F.col(key).isin(few))
+    return table.join(keys, key, "left_semi")
+
+
+def indexed_lookup(
+    keys: DataFrame, prefixes: DataFrame, name: str, threshold: float = MERGE_THRESHOLD
+) -> DataFrame:
+    """As ``lookup``, from the tables of ``store_index``: reads the rows of the batch's buckets only.
+
+    ``keys`` are the batch's own rows ``doc, band_id, bucket_hash``, and ``prefixes`` its rarest shingles, both
+    computed from the batch alone. Stored documents that are in the batch are not among the candidates.
+    """
+    spark = keys.sparkSession
+    crowded = keys.join(spark.table(f"{name}_crowds").withColumn("n", F.lit(CROWD + 1)), BUCKET, "left")
+    mine = meeting_rows(crowded.withColumn("n", F.coalesce("n", F.lit(1))), prefixes)
+    mine = stage(mine.select(F.col("doc").alias("incoming_doc"), _meeting_key().alias("meeting_key")), "batch_keys")
+    table = spark.table(f"{name}_keys").withColumnRenamed("doc", "stored_doc")
+    found = _rows_of(table, mine, "meeting_key").join(mine, "meeting_key")
+    batch = mine.select(F.col("incoming_doc").alias("stored_doc")).distinct()
+    # a bucket holds both documents once, under however many shingles they meet in it
+    shared = (
+        found.join(batch, "stored_doc", "left_anti")
+        .groupBy("incoming_doc", "stored_doc")
+        .agg(F.countDistinct("band_id").cast("int").alias("shared_bands"))
+    )
+    pairs = stage(shared, "shared")
+    stored = _rows_of(spark.table(f"{name}_prefixes"), pairs.select(F.col("stored_doc").alias("doc")), "doc")
+    known = prefixes.unionByName(stored)
+    return may_match(pairs, known, "incoming_doc", "stored_doc", threshold)
+
+
 def shared_buckets(pairs: DataFrame, bands: DataFrame, a: str, b: str) -> DataFrame:
     """A row for each pair and bucket that holds both; only the bands of documents in pairs are looked at."""
     docs = pairs.select(F.col(a).alias("doc")).union(pairs.select(F.col(b).alias("doc"))).distinct()

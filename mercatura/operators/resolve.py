@@ -195,7 +195,7 @@ def resolve(
     cleaned = stage(cleaned, "cleaned")
     documents = stage(distinct_documents(cleaned), "documents")
     rows = shingle_rows(documents)
-    frequency = document_frequency(rows)
+    frequency = stage(document_frequency(rows), "frequency")
     kept = prune(rows, stage(stop_shingles(frequency, cleaned), "stop"))
     bands = stage(lsh.band_rows(lsh.signature_parts(kept, layout), layout), "bands")
     components = match_components(bands, documents, frequency, threshold)

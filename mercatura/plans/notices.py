@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercatura.functions import text as tx
 from mercatura.operators import evaluate, lsh, resolve as rs, shingles as sh
-from mercatura.session import stage, stage_once
+from mercatura.session import share, stage, stage_once
 from mercatura.sources import standins
 
 WIDEST = lsh.Layout(bands=64, rows=4)
@@ -26,7 +28,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sh.document_frequency(sh.shingle_rows(documents(spark, sf_dir)))
+    return stage_once(
+        spark, sf_dir, "frequency", lambda: sh.document_frequency(sh.shingle_rows(documents(spark, sf_dir)))
+    )
 
 
 def stop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +147,7 @@ def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frequency(spark, sf_dir)
+    return sh.document_frequency(sh.shingle_rows(documents(spark, sf_dir)))
 
 
 def stop_shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,6 +320,26 @@ def lsh_lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_name(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the stored index of these tables, built by the first query that needs it."""
+
+    def build() -> str:
+        name = f"buckets_{uuid.uuid4().hex}"
+        lsh.store_index(bands(spark, sf_dir), documents(spark, sf_dir), frequency(spark, sf_dir), name)
+        return name
+
+    return share(spark, sf_dir, "index", build)
+
+
+def lsh_lookup_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch of ``lsh_lookup_batch`` looked up through the stored index, from its own texts alone."""
+    docs = documents(spark, sf_dir)
+    batch = stage(docs.join(_reviewed(spark, sf_dir, docs), "doc", "left_semi"), "batch")
+    keys = stage(lsh.band_rows(lsh.signature_parts(kept_rows(spark, sf_dir, batch))), "keys")
+    prefixes = stage(lsh.rare_prefixes(batch, frequency(spark, sf_dir)), "batch_prefixes")
+    return lsh.indexed_lookup(keys, prefixes, index_name(spark, sf_dir))
+
+
 def clusters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters after two nightly runs: the reviewed documents arrive on the second.
 
@@ -401,6 +425,7 @@ QUERIES = {
     "lsh_s_curve": lsh_s_curve,
     "lsh_candidates": lsh_candidates,
     "lsh_lookup_batch": lsh_lookup_batch,
+    "lsh_lookup_indexed": lsh_lookup_indexed,
     "shared_bands": shared_bands,
     "verified_pairs": verified_pairs,
     "threshold_sweep": threshold_sweep,

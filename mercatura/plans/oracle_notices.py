@@ -267,6 +267,16 @@ _SWEEP = """
 
 _LARGEST = f"{_sizes('notice_bands')} ORDER BY n_members DESC, band_id, bucket_hash"
 
+_LOOKUP = """
+        SELECT x.doc AS incoming_doc, y.doc AS stored_doc, count(*)::INTEGER AS shared_bands
+        FROM bands x JOIN bands y USING (band_id, bucket_hash)
+        JOIN met ON doc_a = least(x.doc, y.doc) AND doc_b = greatest(x.doc, y.doc)
+        WHERE x.doc IN (SELECT doc FROM docs WHERE clean IN (
+                  SELECT clean FROM cleaned WHERE notice_id IN (SELECT doc_id FROM labels)))
+          AND y.doc NOT IN (SELECT doc FROM docs WHERE clean IN (
+                  SELECT clean FROM cleaned WHERE notice_id IN (SELECT doc_id FROM labels)))
+        GROUP BY ALL"""
+
 SELECTS = {
     "clean_text": "SELECT * FROM cleaned",
     "clean_text_simple": "SELECT * FROM simple",
@@ -325,15 +335,8 @@ SELECTS = {
               FROM scored JOIN shared_buckets ON doc_a = notice_id_a AND doc_b = notice_id_b
               GROUP BY 1)""",
     "lsh_candidates": "SELECT * FROM met",
-    "lsh_lookup_batch": """
-        SELECT x.doc AS incoming_doc, y.doc AS stored_doc, count(*)::INTEGER AS shared_bands
-        FROM bands x JOIN bands y USING (band_id, bucket_hash)
-        JOIN met ON doc_a = least(x.doc, y.doc) AND doc_b = greatest(x.doc, y.doc)
-        WHERE x.doc IN (SELECT doc FROM docs WHERE clean IN (
-                  SELECT clean FROM cleaned WHERE notice_id IN (SELECT doc_id FROM labels)))
-          AND y.doc NOT IN (SELECT doc FROM docs WHERE clean IN (
-                  SELECT clean FROM cleaned WHERE notice_id IN (SELECT doc_id FROM labels)))
-        GROUP BY ALL""",
+    "lsh_lookup_batch": _LOOKUP,
+    "lsh_lookup_indexed": _LOOKUP,
     "shared_bands": "SELECT doc_a, doc_b, label, n::INTEGER AS shared_bands FROM shared_buckets",
     "verified_pairs": """
         SELECT doc_a, doc_b, round(jaccard, 9) AS jaccard, a.n_copies AS copies_a, b.n_copies AS copies_b

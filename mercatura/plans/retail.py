@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercatura.functions.money import line_amount, total
 from mercatura.operators import asof, dedup, dims, marts, reconcile
-from mercatura.session import new_table_path, share, stage_once
-from mercatura.sources import exports, files, sinks, standins
+from mercatura.session import new_table_path, share, stage, stage_once
+from mercatura.sources import exports, files, ledger, sinks, standins
 
 LAKE_MONTH = "1998-10"
 AS_OF_BEFORE, AS_OF_AFTER = "1996-03-31", "1999-10-31"
@@ -37,15 +39,21 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.calendar(dims.year_bounds(orders, "o_orderdate"))
 
 
-def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The partitioned lake of these tables, written by the first query that needs it."""
+def lake_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the partitioned lake of these tables, written by the first query that needs it."""
 
-    def build() -> DataFrame:
-        return sinks.stage_lake(dedup.with_month(lines(spark, sf_dir)), new_table_path(spark, "lake"))
+    def build() -> str:
+        root = new_table_path(spark, "lake")
+        sinks.write_lake(dedup.with_month(lines(spark, sf_dir)), root)
+        return root
 
     return share(spark, sf_dir, "lake", build)
 
 
+def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_lake(spark, lake_root(spark, sf_dir))
+
+
 def ingest_dialects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Till lines written as daily and re-sent exports, and read back."""
     root = new_table_path(spark, "exports")
@@ -89,6 +97,24 @@ def idempotent_reload(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFr
     return spark.createDataFrame(reports, "run int, row_count bigint, checksum string")
 
 
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of an export folder: daily files, then re-sent ones beside them, then nothing new.
+
+    Each reports the files and lines it read, and what is then in the table.
+    """
+    folder, table, ledger_root = (new_table_path(spark, n) for n in ("exports", "ingested", "ledger"))
+    raw = standins.raw_lines(spark, sf_dir)
+    reports = []
+    for resent in (False, True, None):
+        if resent is not None:
+            standins.write_exports(raw, folder, resent)
+        read = ledger.load_new_files(spark, folder, table, ledger_root, standins.EXPORT_DIALECTS, ("year_month",))
+        state = dedup.table_checksum(files.read_lake(spark, table)).first()
+        held = {c: F.lit(state[c]) for c in ("row_count", "checksum")}
+        reports.append(stage(read.withColumns(held), "report"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def rev_by_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.revenue_by_store(fact(spark, sf_dir), standins.stores(spark, sf_dir))
 
@@ -109,7 +135,7 @@ def rev_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def federated_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.top_store_categories(
-        lake(spark, sf_dir).filter(F.col("year_month") == LAKE_MONTH),
+        files.read_lake(spark, lake_root(spark, sf_dir), LAKE_MONTH),
         standins.stores(spark, sf_dir),
         standins.products(spark, sf_dir).filter("product_sk <> 0"),
         standins.categories(spark, sf_dir),
@@ -217,6 +243,7 @@ QUERIES = {
     "dedup_stats": dedup_stats,
     "table_checksum": table_checksum,
     "idempotent_reload": idempotent_reload,
+    "ingest_ledger": ingest_ledger,
     "upsert_ignore": upsert_ignore,
     "upsert_replace": upsert_replace,
     "dim_store": standins.stores,

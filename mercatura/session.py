@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from typing import Any, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -64,7 +65,8 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_staged: dict[tuple[str, str, str], tuple[int, DataFrame]] = {}
+T = TypeVar("T")
+_staged: dict[tuple[str, str, str], tuple[int, Any]] = {}
 
 
 def source_state(spark: SparkSession, folder: str) -> int:
@@ -79,8 +81,9 @@ def source_state(spark: SparkSession, folder: str) -> int:
     return int(state or 0)
 
 
-def share(spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A written table that queries over the same files share; built anew when the files below ``scope`` change."""
+def share(spark: SparkSession, scope: str, name: str, build: Callable[[], T]) -> T:
+    """A written table, or its name, that queries over the same files share; built anew when the files below
+    ``scope`` change."""
     key = (spark.sparkContext.applicationId, scope, name)
     state = source_state(spark, scope)
     if key not in _staged or _staged[key][0] != state:

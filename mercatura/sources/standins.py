@@ -276,8 +276,11 @@ def export_files(lines: DataFrame) -> DataFrame:
     )
 
 
-def write_exports(lines: DataFrame, root: str) -> None:
-    """One file for each export, written by the tasks under a temporary name and then renamed."""
+def write_exports(lines: DataFrame, root: str, resent: bool | None = None) -> None:
+    """One file for each export, written by the tasks under a temporary name and then renamed.
+
+    With ``resent`` given, only the re-sent files or only the others.
+    """
     # a fixed number: adaptive execution would have one task write the many small files of a small table
     tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     uri = re.sub("^file:/+", "/", root)
@@ -294,6 +297,8 @@ def write_exports(lines: DataFrame, root: str) -> None:
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     files = export_files(lines).repartition(tasks, "export")
+    if resent is not None:
+        files = files.filter(F.col("export").endswith("__R1") == resent)
     files.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 

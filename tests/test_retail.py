@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from mercatura.functions.money import line_amount
 from mercatura.operators import asof, dedup, dims, marts, reconcile
 from mercatura.schemas import CATEGORY, PRODUCT, STAGED_LINE
-from mercatura.sources import exports, files, sinks, standins
+from mercatura.sources import exports, files, ledger, sinks, standins
 
 DAY = dt.date(2024, 3, 5)
 END = dims.OPEN_END
@@ -245,6 +246,38 @@ def test_exports_are_daily_and_later_copies_are_resent(spark, staged, tmp_path,
     assert rows(got.select(*STAGED_LINE.names)) == sorted(sent, key=repr)
 
 
+def test_loads_read_new_files_only_and_merge_them(spark, tmp_path, rows):
+    folder, table, stored = (str(tmp_path / n) for n in ("in", "table", "ledger"))
+    os.mkdir(folder)
+    head = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
+
+    def put(name, *lines):
+        with open(f"{folder}/{name}.csv", "w") as file:
+            file.write(head + "".join(f"{x}\n" for x in lines))
+
+    def load():
+        return ledger.load_new_files(spark, folder, table, stored).first()
+
+    put("SALES_S01_20240305", "B1,1,P1,2,5.5,SALE,08:00", "B1,2,P2,1,1,SALE,08:00")
+    put("SALES_S02_20240405", "B2,1,P1,2,5.5,SALE,08:00")
+    assert tuple(load()) == (1, 2, 0, 0, 3)
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").glob("store_id=S02/*/*.parquet")}
+    put("SALES_S01_20240305__R1", "B1,1,P1,3,5.5,SALE,09:00")
+    put("SALES_S01_20240305__R2", "B1,1,P1,3,5.5,SALE,09:00")
+    put("SALES_S03_20240305", "B3,1,P1,1,1,SALE,08:00")
+    assert tuple(load()) == (2, 1, 1, 1, 2)
+    assert rows(files.read_lake(spark, table), "bill_no", "line_no", "qty") == [
+        ("B1", 1, 3.0), ("B1", 2, 1.0), ("B2", 1, 2.0), ("B3", 1, 1.0),
+    ]
+    assert untouched and {p: p.stat().st_mtime_ns for p in untouched} == untouched
+    assert tuple(load()) == (3, 0, 0, 0, 0)
+    put("SALES_S02_20240405", "B2,1,P1,9,5.5,SALE,10:00")
+    assert tuple(load())[1:] == (0, 1, 0, 1)
+    assert rows(files.read_lake(spark, table).filter("store_id = 'S02'"), "bill_no", "qty") == [("B2", 9.0)]
+    kinds = rows(ledger.read_ledger(spark, stored), "name", "kind")
+    assert ("SALES_S01_20240305__R2.csv", "repeat") in kinds and len(kinds) == 6
+
+
 def test_file_that_no_dialect_reads_is_an_error(spark, tmp_path):
     header = "bill_no,line_no,product_code,qty,unit_price,line_type,ts\n"
     (tmp_path / "SALES_S01_20240305.csv").write_text(header)
