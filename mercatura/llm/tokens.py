@@ -3,8 +3,8 @@
 For a tokenizer whose pieces never span white space, a text's ids are the ids of its words one after the other.
 So a worker keeps the ids of words it has met, in a table of bounded size, and encodes new ones in one call of
 the library for each batch. Words of plain Latin letters, digits and ASCII signs skip the normalizer: their
-pieces are cut here and only the library's merges run. All other words, and texts with unusual white space, go
-through the whole tokenizer, so the ids are the library's in every case.
+pieces are cut here and merged by ``Merges``. All other words, and texts with unusual white space, go through the
+whole tokenizer, so the ids are the library's in every case.
 
 The tokenizer is handed over as the text of its JSON file, which is broadcast.
 """
@@ -14,12 +14,16 @@ from __future__ import annotations
 import json
 import re
 from functools import cache
+from itertools import chain
 
 import numpy as np
-from tokenizers import Tokenizer, pre_tokenizers
+import tiktoken
+from tokenizers import Tokenizer
 
 #: Entries of a worker's tables of words and of their pieces.
 WORDS, PIECES = 500_000, 400_000
+#: Longer words go through the whole tokenizer, whose merges take less than quadratic time.
+LONGEST = 400
 # White space that either side treats differently from blanks and line breaks.
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -63,6 +67,57 @@ class Table(dict):
         return lacking.difference(known)
 
 
+class Merges:
+    """Byte-pair merges of plain pieces, by tiktoken.
+
+    Plain pieces use so few bytes that each has one code where it ends a piece and another where it doesn't; so
+    an end of a word is a byte like others. Merging by the rank of the merged token instead of the listed pair
+    is the same for a vocabulary in which every token's own text is merged to that token, as tests check.
+    """
+
+    def __init__(self, vocabulary: dict[str, int], merges: list, alphabet: str):
+        inner = sorted({b for c in alphabet for b in c.encode()})
+        last = sorted({c.encode()[-1] for c in alphabet})
+        self.inner, self.last = {b: k for k, b in enumerate(inner)}, {b: len(inner) + k for k, b in enumerate(last)}
+        self.byte_of = {letter: b for b, letter in _byte_letters().items()}
+        ranks = {bytes([k]): k for k in range(256)}
+        self.ids = np.zeros(256 + len(merges), "<u4")
+        for token, number in vocabulary.items():
+            code = self.code(token)
+            if code is not None and len(code) == 1:
+                self.ids[code[0]] = number
+        for k, pair in enumerate(merges):
+            token = "".join(pair.split(" ") if isinstance(pair, str) else pair)
+            code = self.code(token)
+            if code is not None:
+                ranks[code] = 256 + k
+                self.ids[256 + k] = vocabulary[token]
+        self.merge = tiktoken.Encoding("merges", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.inner_table, self.last_table = bytearray(256), bytearray(256)
+        for table, codes in ((self.inner_table, self.inner), (self.last_table, self.last)):
+            for b, k in codes.items():
+                table[b] = k
+
+    def code(self, token: str) -> bytes | None:
+        """A token of the vocabulary in codes; none if it holds a byte that plain pieces don't."""
+        ends = token.endswith(_END)
+        raw = [self.byte_of.get(c) for c in (token[: -len(_END)] if ends else token)]
+        codes = [self.inner.get(b) for b in raw]
+        if ends:
+            codes[-1] = self.last.get(raw[-1])
+        return None if None in codes else bytes(codes)
+
+    def encode(self, pieces: list[str]) -> list[bytes]:
+        merge, inner, last = self.merge.encode_single_piece, self.inner_table, self.last_table
+        found = []
+        for piece in pieces:
+            raw = piece.encode()
+            found.append(merge(raw[:-1].translate(inner) + last[raw[-1] : raw[-1] + 1]))
+        ends = np.cumsum([4 * len(x) for x in found]).tolist()
+        ids = self.ids[np.fromiter(chain.from_iterable(found), np.int64)].tobytes()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
     def __init__(self, definition: str):
         self.whole = Tokenizer.from_str(definition)
@@ -75,13 +130,9 @@ class Encoder:
         )
         if not self.short_way:
             return
-        self.merges = Tokenizer(self.whole.model)
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.special = [x["content"] for x in parts["added_tokens"]]
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        for token, number in vocabulary.items():
-            self.ends[number] = token.endswith(_END)
+        alphabet = "".join(c for c in map(chr, range(0x21, 0x100)) if _PLAIN.fullmatch(c) and c == c.lower())
+        self.merges = Merges(self.whole.get_vocab(), parts["model"]["merges"], alphabet)
         self.words, self.pieces = Table(WORDS), Table(PIECES)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -103,19 +154,14 @@ class Encoder:
         return [np.array(ids, dtype="<u4").tobytes() for ids in encoded]
 
     def _learn(self, words: set[str]) -> None:
-        plain = [w for w in words if _PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
+        plain = [w for w in words if len(w) <= LONGEST and _PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
         rest = list(words.difference(plain))
         for word, ids in zip(rest, self._by_library(rest), strict=True):
             self.words[word] = ids
         cut = [_PIECES(w.lower()) for w in plain]
         new = list(self.pieces.lacking({p for pieces in cut for p in pieces}))
         if new:
-            letters = _byte_letters()
-            written = [p.encode().decode("latin-1").translate(letters) for p in new]
-            ids = np.array(self.merges.encode(" ".join(written), add_special_tokens=False).ids, dtype="<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            self.pieces.update(zip(new, (raw[a:b] for a, b in zip([0, *ends], ends)), strict=True))
+            self.pieces.update(zip(new, self.merges.encode(new), strict=True))
         known = self.pieces
         for word, pieces in zip(plain, cut, strict=True):
             self.words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])

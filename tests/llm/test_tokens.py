@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from mercatura.llm import grammar, packing, tokens, wordpiece
 
@@ -40,6 +40,28 @@ def test_encoder_is_the_library(monkeypatch):
     assert not tokens.Encoder(other).short_way
 
 
+def test_merges_of_pieces_are_the_library():
+    one = tokens.Encoder(DEFINITION)
+    library = Tokenizer(one.whole.model)
+    library.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    vocabulary = {t: i for t, i in one.whole.get_vocab().items() if one.merges.code(t) is not None}
+    assert len(vocabulary) > 40_000
+    # the text of a token that ends a word is merged to that token
+    ended = [t for t in vocabulary if t.endswith("</w>")]
+    got = library.encode(" ".join(t[:-4] for t in ended), add_special_tokens=False).ids
+    assert got == [vocabulary[t] for t in ended]
+    draw = random.Random(6)
+    letters = "etaoinshrdlucmfwypvbgkjqxz" + "àâäçéèêëîïôöùûüßñáíóú"
+    tops = [t.removesuffix("</w>") for t in list(vocabulary)[600:6000] if t.removesuffix("</w>").isascii()]
+    pieces = {"".join(draw.choices(letters, weights=range(len(letters), 0, -1), k=draw.randint(1, 14))) for _ in range(8000)}
+    pieces |= {"".join(x for x in draw.choices(tops, k=draw.randint(1, 4)) if x.isalpha()) for _ in range(8000)} - {""}
+    pieces |= {"".join(draw.choices("!-/:;%$#*=~", k=draw.randint(1, 9))) for _ in range(500)}
+    pieces = sorted(pieces)
+    whole = Tokenizer.from_file(PATH)
+    for piece, ids in zip(pieces, one.merges.encode(pieces), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(piece, add_special_tokens=False).ids, piece
+
+
 def test_automaton_is_greedy():
     draw = random.Random(2)
     for _ in range(300):
