@@ -43,50 +43,79 @@ SHARD_IDS, RANGE_BYTES, LEAST_RANGES = 1 << 18, 16 << 20, 64
 FREQUENT = 4
 
 
-def _winners(rank: np.ndarray) -> np.ndarray:
-    """Positions whose pair ranks before the pairs that overlap it; in a run of equal pairs every second."""
-    at = np.arange(len(rank))
-    before = np.concatenate(([-1], rank[:-1]))
-    after = np.concatenate((rank[1:], [-1]))
-    offset = at - np.maximum.accumulate(np.where(rank != before, at, 0))
-    return (rank >= 0) & (offset % 2 == 0) & ((offset > 0) | (rank > before)) & (rank >= after)
+def _winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the pairs at some places rank before those that overlap them; in a run of equal pairs every second."""
+    k = np.arange(len(at))
+    joined = np.diff(at, prepend=-2) == 1
+    before = np.where(joined, np.concatenate(([-1], rank[:-1])), -1)
+    after = np.where(np.append(joined[1:], False), np.append(rank[1:], -1), -1)
+    offset = k - np.maximum.accumulate(np.where(rank != before, k, 0))
+    return (offset % 2 == 0) & ((offset > 0) | (rank > before)) & (rank >= after)
+
+
+def _replaceable(symbols: np.ndarray, at: np.ndarray, number: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How often each pair can be replaced: as often as it occurs, but in a run of one symbol every second time."""
+    twin = np.flatnonzero(symbols[at] == symbols[at + 1])
+    if not len(twin):
+        return counts
+    place = at[twin]
+    k = np.arange(len(place))
+    run = np.maximum.accumulate(np.where(np.diff(place, prepend=-2) != 1, k, 0))
+    second = (k - run) % 2 == 1
+    return counts - np.bincount(number[twin[second]], minlength=len(counts))
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rules (pairs of symbols), symbols and ends of documents among them, for ids and ends."""
+    """Rules (pairs of symbols), symbols and ends of documents among them, for ids and ends.
+
+    A round counts only pairs that may be frequent: those that were so in the round before, and those with a new
+    symbol, as no other pair ever occurs more often than before. The most frequent pair wins wherever it
+    occurs, so rounds go on until no pair can be replaced ``FREQUENT`` times.
+    """
     symbols = ids.astype(np.int64)
     last = np.zeros(len(symbols), dtype=bool)
     last[ends - 1] = True
+    open_ = ~last  # places whose pair with the next symbol may be frequent
     rules: list[np.ndarray] = []
     n_rules = 0
-    while len(symbols) > 1:
-        pairs = symbols[:-1] << 32 | symbols[1:]
-        inner = np.flatnonzero(~last[:-1])
-        distinct, number, counts = np.unique(pairs[inner], return_inverse=True, return_counts=True)
-        # rank by frequency, then by the pair, as the number of pairs that come later in that order
-        place = np.empty(len(distinct), dtype=np.int64)
-        place[np.lexsort((-distinct, counts))] = np.arange(len(distinct))
-        rank = np.full(len(pairs), -1, dtype=np.int64)
-        frequent = counts[number] >= FREQUENT
-        rank[inner[frequent]] = place[number[frequent]]
-        won = np.flatnonzero(_winners(rank))
-        # of the pairs that win often enough, the most frequent become rules
-        found, uses = np.unique(rank[won], return_counts=True)
-        found = found[uses >= FREQUENT][::-1]
-        if not len(found):
+    while True:
+        at = np.flatnonzero(open_)
+        pairs = symbols[at] << 32 | symbols[at + 1]
+        distinct, number, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+        counts = _replaceable(symbols, at, number, counts)
+        often = np.flatnonzero(counts >= FREQUENT)
+        if not len(often):
             break
-        symbol = np.full(len(distinct) + 1, -1, dtype=np.int64)
+        # rank by frequency, then by the pair, as the number of frequent pairs that come later in that order
+        by_place = often[np.lexsort((-distinct[often], counts[often]))]
+        place = np.full(len(distinct), -1, dtype=np.int64)
+        place[by_place] = np.arange(len(by_place))
+        rank = place[number]
+        at, rank = at[rank >= 0], rank[rank >= 0]
+        won = _winners(at, rank)
+        at_won, rank_won = at[won], rank[won]
+        # of the pairs that win often enough, the most frequent become rules
+        uses = np.bincount(rank_won, minlength=len(by_place))
+        found = np.flatnonzero(uses >= FREQUENT)[::-1]
+        symbol = np.full(len(by_place), -1, dtype=np.int64)
         symbol[found] = terminals + n_rules + np.arange(len(found))
-        won = won[symbol[rank[won]] >= 0]
-        by_place = np.empty(len(distinct), dtype=np.int64)
-        by_place[place] = distinct
-        rules.append(by_place[found])
+        rules.append(distinct[by_place[found]])
         n_rules += len(found)
-        symbols[won] = symbol[rank[won]]
-        last[won] = last[won + 1]
+        made = symbol[rank_won]
+        at_won, made = at_won[made >= 0], made[made >= 0]
+        open_[:] = False
+        open_[at] = True
+        symbols[at_won] = made
+        last[at_won] = last[at_won + 1]
+        open_[at_won] = True
+        open_[np.maximum(at_won - 1, 0)] = True  # the symbol before; if that goes, so does its mark
         keep = np.ones(len(symbols), dtype=bool)
-        keep[won + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        keep[at_won + 1] = False
+        # a symbol in front of a replaced pair may itself be the new symbol of the pair before
+        after = np.flatnonzero(~keep[at_won - 1] & (at_won >= 2))
+        open_[at_won[after] - 2] = True
+        symbols, last, open_ = symbols[keep], last[keep], open_[keep]
+        open_ &= ~last
     made = np.concatenate(rules) if rules else np.zeros(0, np.int64)
     return np.stack((made >> 32, made & 0xFFFFFFFF), axis=1), symbols, np.flatnonzero(last) + 1
 

@@ -62,6 +62,26 @@ def test_merges_of_pieces_are_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(piece, add_special_tokens=False).ids, piece
 
 
+def test_no_pair_is_left_that_can_be_replaced_often():
+    draw = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(draw.integers(1, 120))
+        ids = draw.integers(0, int(draw.integers(1, 5)), n)
+        ends = np.unique(np.append(draw.integers(1, n + 1, int(draw.integers(0, 4))), n))
+        rules, symbols, cut = grammar.compress(ids, ends, 10)
+        assert grammar.expand(symbols.copy(), rules, 10).tolist() == ids.tolist()
+        uses = defaultdict(int)
+        for a, b in zip([0, *cut[:-1]], cut, strict=True):
+            text = symbols[a:b].tolist()
+            for pair in set(zip(text, text[1:])):
+                at = 0
+                while at < len(text) - 1:
+                    hit = (text[at], text[at + 1]) == pair
+                    uses[pair] += hit
+                    at += 1 + hit
+        assert max(uses.values(), default=0) < grammar.FREQUENT
+
+
 def test_automaton_is_greedy():
     draw = random.Random(2)
     for _ in range(300):
