@@ -20,6 +20,14 @@ from mercatura.session import stage
 SHINGLE, SIMILARITY, BENCHMARK_WINDOW = 5, (80, 100), 10
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A name that no column of the documents has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is at least one half."""
     field = queries.fitted_quality(spark, sf_dir)
@@ -32,30 +40,31 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Documents are told apart by id and text, so a text without links stays if another of its id goes.
     Documents without words or without an id are in no group and stay.
     """
-    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
-    keyed = docs.withColumn("_key", key)
-    found = stage(jaccard.jaccard_components(keyed, SHINGLE, SIMILARITY, "_key"), "components")
+    name = _free(docs, "document_key")
+    keyed = docs.withColumn(name, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = stage(jaccard.jaccard_components(keyed, SHINGLE, SIMILARITY, name), "components")
     # members of groups of two or more; a group is named by its smallest key
-    rest = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    rest = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(name), "component_id").distinct()
     rest = stage(rest, "linked")
-    linked = rest.unionByName(rest.select(F.col("component_id").alias("_key"), "component_id").distinct())
-    members = stage(join_by_key(keyed.select("_key", "doc_id"), linked, ["_key"]).distinct(), "members")
+    linked = rest.unionByName(rest.select(F.col("component_id").alias(name), "component_id").distinct())
+    members = stage(join_by_key(keyed.select(name, "doc_id"), linked, [name]).distinct(), "members")
     lowest = members.groupBy("component_id").agg(F.min("doc_id").alias("lowest"))
-    others = join_by_key(members, lowest, ["component_id"]).filter("doc_id > lowest").select("_key")
-    kept = keyed.join(stage(others, "others"), "_key", "left_anti")
+    others = join_by_key(members, lowest, ["component_id"]).filter("doc_id > lowest").select(name)
+    kept = keyed.join(stage(others, "others"), name, "left_anti")
     several = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    several = stage(several.select(F.col("doc_id").alias("_key")), "repeated")
+    several = stage(several.select(F.col("doc_id").alias(name)), "repeated")
     if several.isEmpty():
         return kept.select(*docs.columns)
-    once = kept.join(several, "_key").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return kept.join(several, "_key", "left_anti").select(*docs.columns).unionByName(once)
+    once = kept.join(several, name).dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return kept.join(several, name, "left_anti").select(*docs.columns).unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
     found = decontaminate.hits(docs, read(spark, sf_dir, "benchmark"), BENCHMARK_WINDOW)
-    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit_digest"))
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_digest"))
+    of_id, of_text = _free(docs, "hit_id"), _free(docs, "hit_digest")
+    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias(of_id), F.col("digest").alias(of_text))
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_text))
     return docs.join(stage(hit.distinct(), "contaminated"), same, "left_anti")
 
 
