@@ -24,6 +24,9 @@ def bounded_batches(spark: SparkSession) -> None:
     """
     environment = spark.sparkContext.environment
     environment.setdefault("OPENBLAS_NUM_THREADS", "1")
+    # what a worker frees goes back to the system, as it is kept for later tasks
+    environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    environment.setdefault("MALLOC_ARENA_MAX", "1")
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if SOURCE not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, SOURCE]))

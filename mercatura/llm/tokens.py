@@ -21,7 +21,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 #: Entries of a worker's tables of words and of their pieces.
-WORDS, PIECES = 500_000, 400_000
+WORDS, PIECES = 250_000, 200_000
 #: Longer words go through the whole tokenizer, whose merges take less than quadratic time.
 LONGEST = 400
 # White space that either side treats differently from blanks and line breaks.

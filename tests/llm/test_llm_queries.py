@@ -119,3 +119,14 @@ def test_unique_text_of_a_linked_id_stays(spark, folder):
     got = corpus_pipeline.keep_one_of_each_group(spark, docs, folder)
     want = [(3, text), (5, unique), (7, ""), (None, text), (2, "x y")]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_columns_that_are_named_like_helpers_keep_their_values(spark, folder):
+    text = "one two three four five six seven eight nine"
+    names = ("document_key", "hit_id", "hit_digest", "_key", "block", "component_id")
+    rows = [(k, t, *(f"{k}{n}" for n in names)) for k, t in ((3, text), (5, text), (6, "a b c"), (7, "d e f"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = corpus_pipeline.keep_one_of_each_group(spark, docs, folder)
+    assert sorted(map(tuple, kept.collect())) == [rows[0], rows[2], rows[3]]
+    safe = corpus_pipeline.drop_contaminated(spark, docs, folder)
+    assert sorted(map(tuple, safe.collect())) == rows
