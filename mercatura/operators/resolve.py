@@ -266,6 +266,51 @@ def merge_aliases(existing: DataFrame, new: DataFrame, after: DataFrame) -> Data
     )
 
 
+def logged_aliases(log: DataFrame | None, new: DataFrame, after: DataFrame, night: int) -> DataFrame:
+    """The log of all nights' aliases with one more: ``night, old_opportunity_id, active_opportunity_id``.
+
+    An identifier that a cluster of ``after`` carries again is logged as its own, so it stands for itself from
+    then on.
+    """
+    entry = new.select(F.lit(night).alias("night"), "old_opportunity_id", "active_opportunity_id")
+    if log is None:
+        return entry
+    live = after.select(F.col("opportunity_id").alias("old_opportunity_id")).distinct()
+    back = log.select("old_opportunity_id").distinct().join(live, "old_opportunity_id").select(
+        F.lit(night).alias("night"), "old_opportunity_id", F.col("old_opportunity_id").alias("active_opportunity_id")
+    )
+    return log.unionByName(entry).unionByName(back)
+
+
+def resolve_chains(log: DataFrame) -> DataFrame:
+    """The end of every chain of aliases, and its steps: ``old_opportunity_id, active_opportunity_id, n_steps``.
+
+    Of several entries for an identifier the latest counts. Every round replaces an entry's target by the
+    target's own, so chains halve in length each time; a chain of more steps than there are entries goes in a
+    circle, which is an error.
+    """
+    latest = log.groupBy("old_opportunity_id").agg(
+        F.max(F.struct("night", "active_opportunity_id")).getField("active_opportunity_id").alias("active_opportunity_id")
+    )
+    entries = latest.filter("old_opportunity_id <> active_opportunity_id")
+    current = cut_lineage(entries.withColumn("n_steps", F.lit(1).cast("bigint")))
+    n_entries = current.count()
+    while True:
+        further = current.toDF("active_opportunity_id", "next", "more")
+        joined = current.join(further, "active_opportunity_id", "left")
+        round_ = stage(joined.select("old_opportunity_id", "active_opportunity_id", "next", "n_steps", "more"), "chains")
+        if round_.filter("next IS NOT NULL").isEmpty():
+            return round_.select("old_opportunity_id", "active_opportunity_id", "n_steps")
+        circle = round_.filter(F.col("next").isNotNull() & (F.col("n_steps") > n_entries)).first()
+        if circle:
+            raise ValueError(f"the aliases of {circle.old_opportunity_id} lead back to one of them")
+        current = round_.select(
+            "old_opportunity_id",
+            F.coalesce("next", "active_opportunity_id").alias("active_opportunity_id"),
+            (F.col("n_steps") + F.coalesce("more", F.lit(0))).alias("n_steps"),
+        )
+
+
 def resolve_bookmarks(members: DataFrame, aliases: DataFrame) -> DataFrame:
     """Members with the identifier now active for the one they were filed under."""
     return members.join(

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercatura.functions import text as tx
-from mercatura.operators import evaluate, lsh, resolve as rs, shingles as sh
+from mercatura.operators import evaluate, lsh, nights, resolve as rs, shingles as sh
 from mercatura.session import share, stage, stage_once
 from mercatura.sources import standins
 
@@ -341,16 +341,15 @@ def lsh_lookup_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters after two nightly runs: the reviewed documents arrive on the second.
+    """Clusters after two nights: the first knows the notices without a review only, the second adds the others.
 
-    The second run pairs its batch with itself and with what is stored, never the stored documents.
+    So late copies, documents that get another id and a moving stop list occur as the tables have them.
     """
-    texts, docs, table = (build(spark, sf_dir) for build in (cleaned, documents, bands))
-    batch = stage(_reviewed(spark, sf_dir, docs), "batch")
-    common = frequency(spark, sf_dir)
-    first = rs.match_components(table.join(batch, "doc", "left_anti"), docs, common)
-    second = rs.extend_components(first, table, batch, docs, common)
-    return rs.cluster_members(texts, docs, second)
+    texts = cleaned(spark, sf_dir)
+    reviewed = standins.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("notice_id")).distinct()
+    first = nights.first_night(texts.join(reviewed, "notice_id", "left_anti"))
+    second = nights.next_night(first, texts.join(reviewed, "notice_id", "left_semi"))
+    return nights.members_of(second, texts)
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,6 +370,22 @@ def alias_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.resolve_bookmarks(before, alias_update(spark, sf_dir))
 
 
+# The stricter similarity of the middle one of three nights.
+STRICT = 0.75
+
+
+def alias_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the identifiers of three nights lead: exact copies, close texts, and the full run, one after the other."""
+    texts, docs = cleaned(spark, sf_dir), documents(spark, sf_dir)
+    close = rs.verify(lsh_candidates(spark, sf_dir), docs, STRICT).select("doc_a", "doc_b")
+    found = rs.connected_components(stage(close, "close")).toDF("doc", "component")
+    runs = [rs.copy_clusters(texts), stage(rs.cluster_members(texts, docs, found), "close_members"), members(spark, sf_dir)]
+    log = None
+    for night, (before, after) in enumerate(zip(runs, runs[1:]), 2):
+        log = rs.logged_aliases(log, rs.new_aliases(before, after), after, night)
+    return rs.resolve_chains(log)
+
+
 def score_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.separation(
         scored_labels(spark, sf_dir),
@@ -439,6 +454,7 @@ QUERIES = {
     "cluster_histogram": cluster_histogram,
     "alias_update": alias_update,
     "alias_resolve": alias_resolve,
+    "alias_chain": alias_chain,
     "cluster_quality": cluster_quality,
     "label_base_rate": label_base_rate,
     "source_volume": source_volume,

@@ -217,6 +217,25 @@ PARTS = {
         SELECT notice_id, coalesce(root, notice_id) AS canonical_notice_id,
                'OPP_' || coalesce(root, notice_id) AS opportunity_id
         FROM cleaned LEFT JOIN docs USING (clean) LEFT JOIN roots USING (doc)""",
+    "close_reach": """
+        SELECT doc, doc AS other FROM docs
+        UNION SELECT close_reach.doc, y FROM close_reach JOIN (
+            SELECT doc_a AS x, doc_b AS y FROM verified WHERE jaccard >= 0.75
+            UNION ALL SELECT doc_b, doc_a FROM verified WHERE jaccard >= 0.75) ON other = x""",
+    "close_members": """
+        SELECT notice_id, 'OPP_' || coalesce(root, notice_id) AS opportunity_id
+        FROM cleaned LEFT JOIN docs USING (clean)
+        LEFT JOIN (SELECT doc, min(other) AS root FROM close_reach GROUP BY doc) USING (doc)""",
+    "steps": """
+        SELECT c.opportunity_id AS old_id, min(m.opportunity_id) AS new_id
+        FROM copy_members c JOIN close_members m USING (notice_id)
+        GROUP BY c.opportunity_id HAVING c.opportunity_id <> min(m.opportunity_id)
+        UNION ALL
+        SELECT c.opportunity_id, min(m.opportunity_id) FROM close_members c JOIN members m USING (notice_id)
+        GROUP BY c.opportunity_id HAVING c.opportunity_id <> min(m.opportunity_id)""",
+    "walk": """
+        SELECT old_id, new_id, 1 AS n FROM steps
+        UNION ALL SELECT walk.old_id, steps.new_id, n + 1 FROM walk JOIN steps ON walk.new_id = steps.old_id""",
     "cluster_size": "SELECT opportunity_id, count(*) AS size FROM members GROUP BY ALL",
     "aliases": """
         SELECT c.opportunity_id AS old_opportunity_id, min(m.opportunity_id) AS active_opportunity_id
@@ -372,6 +391,9 @@ SELECTS = {
                size * (size - 1) / 2 * count(*) AS duplicate_pairs
         FROM cluster_size GROUP BY size""",
     "alias_update": "SELECT * FROM aliases",
+    "alias_chain": """
+        SELECT old_id AS old_opportunity_id, arg_max(new_id, n) AS active_opportunity_id, max(n)::BIGINT AS n_steps
+        FROM walk GROUP BY old_id""",
     "alias_resolve": """
         SELECT notice_id, opportunity_id AS filed_under,
                coalesce(active_opportunity_id, opportunity_id) AS opportunity_id

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from mercatura.functions import text as tx
 from mercatura.functions.minhash import PRIME, coefficients
-from mercatura.operators import evaluate, lsh, resolve as rs, shingles as sh
+from mercatura.operators import evaluate, lsh, nights, resolve as rs, shingles as sh
+from mercatura.sources import files
 
 
 def one(spark, expression, **values):
@@ -386,3 +387,101 @@ def test_stored_tables_over_three_nights(spark, rows):
     assert rows(seen) == [("OPP_a", "a", "d2"), ("OPP_c", "c", "d3")]
     assert rows(joined) == [("a", "OPP_a", "d2"), ("b", "OPP_a", "d3"), ("c", "OPP_c", "d3")]
     assert rows(dated) == [("OPP_b", "OPP_a", "d3")]
+
+
+def test_chains_over_many_nights(spark, rows):
+    schema = "night int, old_opportunity_id string, active_opportunity_id string"
+    steps = [(k, f"n{k}", f"n{k - 1}") for k in range(1, 12)]
+    steps += [(1, "b", "a"), (2, "a", "b"), (2, "b", "b"), (3, "c", "a"), (4, "x", "n3"), (5, "x", "n0")]
+    want = [(f"n{k}", "n0", k) for k in range(1, 12)] + [("a", "b", 1), ("c", "b", 2), ("x", "n0", 1)]
+    assert rows(rs.resolve_chains(spark.createDataFrame(steps, schema))) == sorted(want, key=repr)
+    assert rows(rs.resolve_chains(spark.createDataFrame([], schema))) == []
+    for n in (2, 3, 5):
+        circle = [(1, f"o{k}", f"o{(k + 1) % n}") for k in range(n)] + [(1, "in", "o0")]
+        with pytest.raises(ValueError, match="lead back"):
+            rs.resolve_chains(spark.createDataFrame(circle, schema))
+
+
+def test_log_of_aliases_notes_identifiers_that_are_live_again(spark, rows):
+    schema = "notice_id string, opportunity_id string"
+    night = lambda *owners: spark.createDataFrame([(n, f"OPP_{o}") for n, o in owners], schema)
+    runs = [night(("a", "a"), ("b", "b")), night(("a", "a"), ("b", "a")), night(("a", "a"), ("b", "b"))]
+    log = rs.logged_aliases(None, rs.new_aliases(runs[0], runs[1]), runs[1], 2)
+    assert rows(rs.resolve_chains(log)) == [("OPP_b", "OPP_a", 1)]
+    log = rs.logged_aliases(log, rs.new_aliases(runs[1], runs[2]), runs[2], 3)
+    assert rows(rs.resolve_chains(log)) == []
+
+
+def test_nights_equal_a_full_run(spark, rows):
+    """Late copies with smaller and larger ids, a stop list that moves both ways, a component that splits."""
+    draw = random.Random(12)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(draw.choices(words, k=14)) for _ in range(40)]
+    near = [t.replace(t.split()[k % 14], f"z{k}", 1) for k, t in enumerate(texts[:20])]
+    common = "alpha beta gamma delta"
+    first = [(f"m{k:03}", t) for k, t in enumerate(texts + near)]
+    # two shingles become frequent on the second night, one is no longer frequent
+    first += [(f"p{k}", f"{common} {' '.join(draw.choices(words, k=5))}") for k in range(5)]
+    first += [(f"q{k}", f"epsilon zeta {' '.join(draw.choices(words, k=9))}") for k in range(9)]
+    first += [("s1", f"{common} one two"), ("s2", f"{common} one three")]
+    second = [(f"a{k}", t) for k, t in enumerate(texts[3:8])] + [(f"z{k}", t) for k, t in enumerate(near[4:9])]
+    second += [(f"n{k}", near[k].replace(near[k].split()[5], "y", 1)) for k in range(10, 20)]
+    second += [(f"r{k}", f"{common} {' '.join(draw.choices(words, k=7))}") for k in range(14)] + [("e1", ""), ("e2", "")]
+    table = lambda found: spark.createDataFrame([(i, "p", t) for i, t in found], "notice_id string, portal_id string, clean string")
+    whole = table(first + second)
+    one = nights.first_night(table(first))
+    two = nights.next_night(one, table(second))
+    full = nights.first_night(whole)
+    for name in ("documents", "frequency", "stop", "bands"):
+        assert rows(getattr(two, name)) == rows(getattr(full, name)), name
+    assert rows(nights.members_of(two, whole)) == rows(rs.resolve(whole))
+    moved = {r.shingle for r in one.stop.collect()} ^ {r.shingle for r in two.stop.collect()}
+    assert moved and two.signed.count() < two.documents.count()
+    grams = lambda t: {" ".join(p) for p in zip(t.split(), t.split()[1:])}
+    known = {t for _, t in first}
+    held = {r.doc for r in two.documents.collect() if r.clean not in known or grams(r.clean) & moved}
+    assert {r.doc for r in two.signed.collect()} == held
+    before = {r.notice_id: r.opportunity_id for r in nights.members_of(one, table(first)).collect()}
+    after = {r.notice_id: r.opportunity_id for r in nights.members_of(two, whole).collect()}
+    apart = [(a, b) for a in before for b in before if before[a] == before[b] and after[a] != after[b]]
+    assert apart, "a link by a shingle that became frequent is gone"
+
+
+def test_index_gives_the_rows_of_the_lookup_and_reads_few_files(spark, rows, monkeypatch):
+    draw = random.Random(21)
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join(draw.choices(words, k=16)) for _ in range(120)]
+    texts += [t.replace(t.split()[3], "zz", 1) for t in texts[:60]] + ["a crowd of " + str(k // 2) for k in range(30)]
+    table = spark.createDataFrame(list(enumerate(texts)), "notice_id long, clean string")
+    docs = lsh.stage(sh.distinct_documents(table), "documents")
+    frequency = lsh.stage(sh.document_frequency(sh.shingle_rows(docs)), "frequency")
+    bands = lsh.stage(lsh.band_rows(lsh.signature_parts(sh.shingle_rows(docs))), "bands")
+    for crowd in (2, 64):
+        monkeypatch.setattr(lsh, "CROWD", crowd)
+        name = f"index_{crowd}"
+        lsh.store_index(bands, docs, frequency, name, 16)
+        for literals in (0, 4096):
+            monkeypatch.setattr(lsh, "LITERAL_KEYS", literals)
+            batch = docs.filter("doc % 11 = 0")
+            keys = lsh.stage(lsh.band_rows(lsh.signature_parts(sh.shingle_rows(batch))), "keys")
+            prefixes = lsh.rare_prefixes(batch, frequency)
+            found = rows(lsh.indexed_lookup(keys, prefixes, name))
+            wanted = lsh.lookup(bands, batch.select("doc"), docs, frequency).select("incoming_doc", "stored_doc", "shared_bands")
+            assert found == rows(wanted) and len(found) > 5
+    stored = spark.table("index_64_keys")
+    key = stored.select("meeting_key").first()[0]
+    one = lsh._rows_of(stored, spark.createDataFrame([(key,)], "meeting_key string"), "meeting_key")
+    assert "SelectedBucketsCount: 1 out of 16" in one._jdf.queryExecution().executedPlan().toString()
+    assert files.scanned_files(stored) == 16 and files.scanned_files(one) == 1
+    monkeypatch.setattr(lsh, "LITERAL_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = stored.select("meeting_key").limit(50)
+        plan = lsh._rows_of(stored, keys, "meeting_key")._jdf.queryExecution().sparkPlan().toString()
+        executed = lsh._rows_of(stored, keys, "meeting_key")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in executed and plan
+    for part in ("keys", "prefixes", "crowds"):
+        for crowd in (2, 64):
+            spark.sql(f"DROP TABLE index_{crowd}_{part}")
