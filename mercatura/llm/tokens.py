@@ -1,10 +1,10 @@
 """Token ids of whole texts, equal to those of the tokenizers library, with repeated words encoded once.
 
 For a tokenizer whose pieces never span white space, a text's ids are the ids of its words one after the other.
-So a worker keeps the ids of words it has met, in a table of bounded size, and encodes new ones in one call of
-the library for each batch. Words of plain Latin letters, digits and ASCII signs skip the normalizer: their
-pieces are cut here and merged by ``Merges``. All other words, and texts with unusual white space, go through the
-whole tokenizer, so the ids are the library's in every case.
+Texts of plain Latin letters, digits and ASCII signs skip the normalizer: their pieces are marked here and merged by
+``Merges``. Of other texts a worker keeps the ids of words it has met, in a table of bounded size; new words that
+are plain go the same way, all others, and texts with unusual white space, through the whole tokenizer. So the ids
+are the library's in every case.
 
 The tokenizer is handed over as the text of its JSON file, which is broadcast.
 """
@@ -27,10 +27,13 @@ LONGEST = 400
 # White space that either side treats differently from blanks and line breaks.
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+").findall
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+_PLAIN_TEXT = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]+")
 #: The pre-tokenizer and normalizer that the short way reproduces; fixed values.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _END = "</w>"
+# Byte behind a piece, which plain texts don't hold.
+_MARK = b"\x01"
 
 
 def read_definition(path: str) -> str:
@@ -70,53 +73,84 @@ class Table(dict):
 class Merges:
     """Byte-pair merges of plain pieces, by tiktoken.
 
-    Plain pieces use so few bytes that each has one code where it ends a piece and another where it doesn't; so
-    an end of a word is a byte like others. Merging by the rank of the merged token instead of the listed pair
-    is the same for a vocabulary in which every token's own text is merged to that token, as tests check.
+    The end of a piece is written as a byte of its own behind it, and joining that byte with the one before comes
+    before all other merges. Merging by the rank of the merged token instead of the listed pair is the same for a
+    vocabulary in which every token's own text is merged to that token, as tests check.
     """
 
-    def __init__(self, vocabulary: dict[str, int], merges: list, alphabet: str):
-        inner = sorted({b for c in alphabet for b in c.encode()})
-        last = sorted({c.encode()[-1] for c in alphabet})
-        self.inner, self.last = {b: k for k, b in enumerate(inner)}, {b: len(inner) + k for k, b in enumerate(last)}
+    def __init__(self, vocabulary: dict[str, int], merges: list):
         self.byte_of = {letter: b for b, letter in _byte_letters().items()}
         ranks = {bytes([k]): k for k in range(256)}
-        self.ids = np.zeros(256 + len(merges), "<u4")
+        ranks |= {bytes([k]) + _MARK: 256 + k for k in range(256)}
+        self.ids = np.zeros(512 + len(merges), "<u4")
         for token, number in vocabulary.items():
             code = self.code(token)
-            if code is not None and len(code) == 1:
-                self.ids[code[0]] = number
+            if code in ranks:
+                self.ids[ranks[code]] = number
         for k, pair in enumerate(merges):
             token = "".join(pair.split(" ") if isinstance(pair, str) else pair)
             code = self.code(token)
             if code is not None:
-                ranks[code] = 256 + k
-                self.ids[256 + k] = vocabulary[token]
-        self.merge = tiktoken.Encoding("merges", pat_str=r"[\s\S]", mergeable_ranks=ranks, special_tokens={})._core_bpe
-        self.inner_table, self.last_table = bytearray(256), bytearray(256)
-        for table, codes in ((self.inner_table, self.inner), (self.last_table, self.last)):
-            for b, k in codes.items():
-                table[b] = k
+                ranks[code] = 512 + k
+                self.ids[512 + k] = vocabulary[token]
+        # what is not a marked piece is passed over
+        self.merge = tiktoken.Encoding("merges", pat_str=r"[^\x01\s]+\x01", mergeable_ranks=ranks, special_tokens={})
 
     def code(self, token: str) -> bytes | None:
-        """A token of the vocabulary in codes; none if it holds a byte that plain pieces don't."""
+        """A token of the vocabulary as bytes; none if it holds a byte that is not one of plain pieces."""
         ends = token.endswith(_END)
         raw = [self.byte_of.get(c) for c in (token[: -len(_END)] if ends else token)]
-        codes = [self.inner.get(b) for b in raw]
-        if ends:
-            codes[-1] = self.last.get(raw[-1])
-        return None if None in codes else bytes(codes)
+        return None if None in raw or _MARK[0] in raw else bytes(raw) + _MARK * ends
 
     def encode(self, pieces: list[str]) -> list[bytes]:
-        merge, inner, last = self.merge.encode_single_piece, self.inner_table, self.last_table
-        found = []
-        for piece in pieces:
-            raw = piece.encode()
-            found.append(merge(raw[:-1].translate(inner) + last[raw[-1] : raw[-1] + 1]))
+        """Ids of single pieces."""
+        merge = self.merge._core_bpe.encode_single_piece
+        found = [merge(piece.encode() + _MARK) for piece in pieces]
         ends = np.cumsum([4 * len(x) for x in found]).tolist()
         ids = self.ids[np.fromiter(chain.from_iterable(found), np.int64)].tobytes()
         return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
+    def encode_marked(self, text: str) -> bytes:
+        """Ids of a text whose pieces are marked; white space is passed over."""
+        return self.ids.take(np.array(self.merge.encode_ordinary(text), np.int64)).tobytes()
+
+
+def _kinds() -> np.ndarray:
+    """0 for white space, 1 for bytes of letters, 2 for signs, 3 for digits: neighbours of one kind are one piece."""
+    kinds = np.full(256, 2, np.uint8)
+    kinds[[9, 10, 13, 32]] = 0
+    kinds[ord("a") : ord("z") + 1] = 1
+    kinds[0x80:] = 1
+    kinds[ord("0") : ord("9") + 1] = 3
+    return kinds
+
+
+_KINDS = _kinds()
+#: Bytes that are marked at a time.
+CHUNK = 1 << 21
+
+
+def marked(texts: list[str]) -> list[str]:
+    """Plain texts in lower case, without apostrophes, with a mark behind each piece."""
+    found, start = [], 0
+    raw = [t.encode() for t in texts]
+    while start < len(raw):
+        size, stop = len(raw[start]), start + 1
+        while stop < len(raw) and size + len(raw[stop]) < CHUNK:
+            size, stop = size + len(raw[stop]) + 1, stop + 1
+        data = np.frombuffer(b"\n".join(raw[start:stop]) + b"\n", np.uint8)
+        kinds = _KINDS[data]
+        ends = (kinds != 0) & (kinds == 3)
+        ends[:-1] |= (kinds[:-1] != 0) & (kinds[:-1] != kinds[1:])
+        places = np.flatnonzero(ends)
+        written = np.repeat(data, 1 + ends.view(np.uint8))
+        written[places + np.arange(1, len(places) + 1)] = _MARK[0]
+        edges = np.cumsum([0, *(len(x) + 1 for x in raw[start:stop])])
+        edges += np.searchsorted(places, edges)
+        found += [bytes(written[a : b - 1]).decode() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        start = stop
+    return found
+
 
 class Encoder:
     def __init__(self, definition: str):
@@ -131,8 +165,7 @@ class Encoder:
         if not self.short_way:
             return
         self.special = [x["content"] for x in parts["added_tokens"]]
-        alphabet = "".join(c for c in map(chr, range(0x21, 0x100)) if _PLAIN.fullmatch(c) and c == c.lower())
-        self.merges = Merges(self.whole.get_vocab(), parts["model"]["merges"], alphabet)
+        self.merges = Merges(self.whole.get_vocab(), parts["model"]["merges"])
         self.words, self.pieces = Table(WORDS), Table(PIECES)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -140,14 +173,27 @@ class Encoder:
         texts = ["" if t is None else t for t in texts]
         if not self.short_way:
             return self._by_library(texts)
-        odd = {k for k, t in enumerate(texts) if _ODD_SPACE.search(t)}
-        cut = [None if k in odd else t.split() for k, t in enumerate(texts)]
-        known = self.words
-        self._learn(known.lacking(set().union(*(words for words in cut if words))))
-        return [
-            self._by_library([t])[0] if words is None else b"".join([known[w] for w in words])
-            for t, words in zip(texts, cut, strict=True)
-        ]
+        found: list[bytes | None] = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if self._is_plain(t)]
+        simple = [k for k in plain if "'" not in texts[k]]
+        ready = dict(zip(simple, marked([texts[k].lower() for k in simple]), strict=True))
+        for k in plain:
+            text = ready.pop(k, None)
+            found[k] = self.merges.encode_marked(_PIECE.sub("\\g<0>\x01", texts[k].lower()) if text is None else text)
+        for k, text in enumerate(texts):
+            if found[k] is None and _ODD_SPACE.search(text):
+                found[k] = self._by_library([text])[0]
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        cut = [texts[k].split() for k in rest]
+        self._learn(self.words.lacking(set().union(*cut)))
+        for k, words in zip(rest, cut, strict=True):
+            found[k] = b"".join([self.words[w] for w in words])
+        return found
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether the short way takes the text as a whole."""
+        plain = _PLAIN_TEXT.fullmatch(text) and not any(s in text for s in self.special)
+        return bool(plain) and (len(text) <= LONGEST or max(map(len, text.split()), default=0) <= LONGEST)
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         encoded = (self.whole.encode(t, add_special_tokens=False).ids for t in texts)
@@ -158,7 +204,7 @@ class Encoder:
         rest = list(words.difference(plain))
         for word, ids in zip(rest, self._by_library(rest), strict=True):
             self.words[word] = ids
-        cut = [_PIECES(w.lower()) for w in plain]
+        cut = [_PIECE.findall(w.lower()) for w in plain]
         new = list(self.pieces.lacking({p for pieces in cut for p in pieces}))
         if new:
             self.pieces.update(zip(new, self.merges.encode(new), strict=True))

@@ -44,7 +44,8 @@ def test_merges_of_pieces_are_the_library():
     one = tokens.Encoder(DEFINITION)
     library = Tokenizer(one.whole.model)
     library.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-    vocabulary = {t: i for t, i in one.whole.get_vocab().items() if one.merges.code(t) is not None}
+    text = lambda t: (one.merges.code(t) or b"").rstrip(tokens._MARK).decode(errors="replace")
+    vocabulary = {t: i for t, i in one.whole.get_vocab().items() if tokens._PIECE.fullmatch(text(t))}
     assert len(vocabulary) > 40_000
     # the text of a token that ends a word is merged to that token
     ended = [t for t in vocabulary if t.endswith("</w>")]
@@ -56,12 +57,20 @@ def test_merges_of_pieces_are_the_library():
     pieces = {"".join(draw.choices(letters, weights=range(len(letters), 0, -1), k=draw.randint(1, 14))) for _ in range(8000)}
     pieces |= {"".join(x for x in draw.choices(tops, k=draw.randint(1, 4)) if x.isalpha()) for _ in range(8000)} - {""}
     pieces |= {"".join(draw.choices("!-/:;%$#*=~", k=draw.randint(1, 9))) for _ in range(500)}
-    pieces = sorted(pieces)
+    pieces = sorted({p.lower() for p in pieces} | {"1", "9"})
     whole = Tokenizer.from_file(PATH)
     for piece, ids in zip(pieces, one.merges.encode(pieces), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(piece, add_special_tokens=False).ids, piece
 
 
+def test_marked_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK", 60)
+    draw = random.Random(8)
+    signs = ["the", "a", "é", "ß1", "12", " ", " ", "\n", "\t", "\r", ",", "..", "-x", "(b)", "ÿ", "~!"]
+    found = ["".join(draw.choices(signs, k=draw.randint(0, 60))) for _ in range(400)] + ["", " ", "x"]
+    assert tokens.marked(found) == [tokens._PIECE.sub("\\g<0>\x01", t) for t in found]
+
+
 def test_no_pair_is_left_that_can_be_replaced_often():
     draw = np.random.default_rng(3)
     for _ in range(300):
