@@ -146,6 +146,45 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
         symbols = longer
 
 
+class Expansions:
+    """The ids of every rule's symbol, one after the other; rules are filled in by depth, those of a depth at once."""
+
+    def __init__(self, rules: np.ndarray, lengths: np.ndarray, terminals: int):
+        self.terminals, self.lengths = terminals, lengths
+        self.starts = np.cumsum(lengths) - lengths
+        self.flat = np.empty(int(lengths.sum()), dtype=np.int64)
+        depth = np.zeros(len(rules), dtype=np.int64)
+        inner = [np.where(rules[:, side] >= terminals, rules[:, side] - terminals, -1) for side in (0, 1)]
+        while len(rules):
+            new = 1 + np.maximum(*(np.where(part >= 0, depth[part], 0) for part in inner))
+            if np.array_equal(new, depth):
+                break
+            depth = new
+        for level in range(1, int(depth.max(initial=0)) + 1):
+            some = np.flatnonzero(depth == level)
+            self.flat[_ranges(self.starts[some], lengths[some])] = self.of(rules[some].reshape(-1))
+
+    def of(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids that symbols stand for."""
+        made = symbols >= self.terminals
+        sizes = np.ones(len(symbols), dtype=np.int64)
+        sizes[made] = self.lengths[symbols[made] - self.terminals]
+        starts = np.zeros(len(symbols), dtype=np.int64)
+        starts[made] = self.starts[symbols[made] - self.terminals]
+        found = self.flat.take(_ranges(starts, sizes)) if len(self.flat) else np.empty(len(symbols), np.int64)
+        found[(np.cumsum(sizes) - sizes)[~made]] = symbols[~made]
+        return found
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+#: Beyond so many times its ids, a shard's expansions are not spelled out.
+SPELLED = 8
+
+
 class Shard:
     """A shard as read back."""
 
@@ -159,7 +198,10 @@ class Shard:
 
     def documents(self) -> Iterator[np.ndarray]:
         """Ids of each document."""
-        ids = expand(self.symbols, self.rules, self.terminals).astype("<u4")
+        if self.expansions.sum() <= SPELLED * self.n_ids.sum():
+            ids = Expansions(self.rules, self.expansions, self.terminals).of(self.symbols).astype("<u4")
+        else:
+            ids = expand(self.symbols, self.rules, self.terminals).astype("<u4")
         ends = np.cumsum(self.n_ids)
         for a, b in zip(ends - self.n_ids, ends, strict=True):
             yield ids[a:b]

@@ -79,6 +79,8 @@ def test_no_pair_is_left_that_can_be_replaced_often():
         ends = np.unique(np.append(draw.integers(1, n + 1, int(draw.integers(0, 4))), n))
         rules, symbols, cut = grammar.compress(ids, ends, 10)
         assert grammar.expand(symbols.copy(), rules, 10).tolist() == ids.tolist()
+        spelled = grammar.Expansions(rules, grammar.expansion_lengths(rules, 10), 10)
+        assert spelled.of(symbols).tolist() == ids.tolist()
         uses = defaultdict(int)
         for a, b in zip([0, *cut[:-1]], cut, strict=True):
             text = symbols[a:b].tolist()
