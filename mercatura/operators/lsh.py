@@ -283,7 +283,7 @@ def lookup(
 # --- a stored bucket table, looked up by key -------------------------------------------------------
 
 # Keys up to this number are written into the scan, which then opens few files and row groups.
-LITERAL_KEYS = 4096
+LITERAL_KEYS = 256
 
 
 def _meeting_key() -> Column:
