@@ -34,7 +34,7 @@ def duplicate_profile(lines: DataFrame, key=LINE_KEY) -> DataFrame:
     )
 
 
-def _row_text() -> Column:
+def line_text() -> Column:
     return F.concat_ws(
         ":",
         "bill_no",
@@ -46,24 +46,29 @@ def _row_text() -> Column:
     )
 
 
-def table_checksum(lines: DataFrame, row_text: Column | None = None) -> DataFrame:
-    """Row count and an order-free content checksum.
+def checksums(rows: DataFrame, keys=(), row_text: Column | None = None) -> DataFrame:
+    """Row count and an order-free content checksum of each group of ``keys``; without keys, of the whole table.
 
     The MD5 of each row is cut in four words, the words are summed, and the sums are hashed. Sums merge,
     so nothing is sorted or gathered; repeated rows count, which an exclusive-or would cancel.
     """
-    digest = F.md5(_row_text() if row_text is None else row_text)
+    digest = F.md5(line_text() if row_text is None else row_text)
     words = [
         F.sum(F.conv(F.substring(digest, at, 8), 16, 10).cast("decimal(20,0)")).alias(f"w{at}")
         for at in (1, 9, 17, 25)
     ]
-    sums = lines.agg(F.count("*").alias("row_count"), *words)
+    sums = rows.groupBy(*keys).agg(F.count("*").alias("row_count"), *words)
     parts = [F.coalesce(F.col(f"w{at}"), F.lit(0)).cast("string") for at in (1, 9, 17, 25)]
     return sums.select(
-        "row_count", F.md5(F.concat_ws(":", F.col("row_count").cast("string"), *parts)).alias("checksum")
+        *keys, "row_count", F.md5(F.concat_ws(":", F.col("row_count").cast("string"), *parts)).alias("checksum")
     )
 
 
+def table_checksum(lines: DataFrame, row_text: Column | None = None) -> DataFrame:
+    """Row count and checksum of a table, see ``checksums``."""
+    return checksums(lines, (), row_text)
+
+
 def line_type_breakdown(lines: DataFrame, amount: Column) -> DataFrame:
     from mercatura.functions.money import total
 

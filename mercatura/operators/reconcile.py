@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mercatura.functions.money import money, total
 
@@ -91,3 +91,71 @@ def classify_variance(reconciled: DataFrame, bill_rounded: DataFrame, missing: D
             .otherwise("REVENUE_SCOPE"),
         )
     )
+
+
+def weekday_profile(lines: DataFrame, fact: DataFrame, missing: DataFrame) -> DataFrame:
+    """What a store takes on a weekday: ``store_id, weekday, amount, n_days``.
+
+    Days it habitually stays closed count as days without revenue, lost days don't count.
+    """
+    traded = lines.select("store_id", F.col("business_date").alias("day")).distinct()
+    closed = missing.filter("not lost").select("store_id", F.col("missing_day").alias("day"))
+    weekday = F.weekday("day").alias("weekday")
+    days = traded.unionByName(closed).groupBy("store_id", weekday).agg(F.count("*").alias("n_days"))
+    sold = fact.groupBy("store_id", F.weekday("date_key").alias("weekday")).agg(F.sum("line_amount").alias("amount"))
+    return days.join(sold, ["store_id", "weekday"], "left").withColumn(
+        "amount", F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
+    )
+
+
+def _cents(amount: Column) -> Column:
+    return F.floor(amount * 100 + 0.5).cast("bigint")
+
+
+def variance_parts(
+    reconciled: DataFrame, bill_rounded: DataFrame, missing: DataFrame, profile: DataFrame
+) -> DataFrame:
+    """The variance of each month in money by cause; the parts add up to it.
+
+    ``source_gap_inr``: for each lost store-day, what the store takes on that weekday (``weekday_profile``), as
+    revenue the feed lacks; of a weekday a store has no other day of, nothing. ``rounding_inr``: where the signed-off
+    figure is a whole number, which one in a hundred others is by chance, line totals less bill-rounded totals,
+    exact for the bills of the feed. ``scope_inr``: the rest, what the sides count differently and the error of the
+    estimate. A month that agrees has no parts, and a month only one side has is scope as a whole.
+    """
+    month = F.date_format("missing_day", "yyyy-MM").alias("month")
+    lost = missing.filter("lost").groupBy("store_id", month, F.weekday("missing_day").alias("weekday")).agg(
+        F.count("*").alias("n_lost")
+    )
+    each = _cents(F.col("amount") * F.col("n_lost") / F.col("n_days"))
+    gaps = lost.join(profile, ["store_id", "weekday"], "left").groupBy("month").agg(
+        F.sum("n_lost").alias("lost_store_days"), F.coalesce(F.sum(each), F.lit(0)).alias("gap_cents")
+    )
+    whole = _cents(F.col("revenue_inr")) % 100 == 0
+    of_bills = _cents(F.col("line_revenue")) - _cents(F.col("bill_rounded_revenue"))
+    variance = F.coalesce(_cents(F.col("pipeline_revenue")), F.lit(0)) - F.coalesce(_cents(F.col("revenue_inr")), F.lit(0))
+    both = F.col("status") == "VARIANCE"
+    cents = (
+        reconciled.join(bill_rounded.select("month", "line_revenue", "bill_rounded_revenue"), "month", "left")
+        .join(gaps, "month", "left")
+        .withColumns(
+            {
+                "all_cents": F.when(F.col("status") == "MATCH", F.lit(0)).otherwise(variance),
+                "gap": F.when(both, -F.coalesce("gap_cents", F.lit(0))).otherwise(F.lit(0)),
+                "rounding": F.when(both & whole, F.coalesce(of_bills, F.lit(0))).otherwise(F.lit(0)),
+            }
+        )
+    )
+
+    def money_of(part: Column, name: str) -> Column:
+        return (part / F.lit(100.0)).alias(name)
+
+    return cents.select(
+        "month",
+        "status",
+        F.coalesce("lost_store_days", F.lit(0)).alias("lost_store_days"),
+        money_of(F.col("all_cents"), "variance_inr"),
+        money_of(F.col("gap"), "source_gap_inr"),
+        money_of(F.col("rounding"), "rounding_inr"),
+        money_of(F.col("all_cents") - F.col("gap") - F.col("rounding"), "scope_inr"),
+    )

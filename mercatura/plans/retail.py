@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mercatura.functions.money import line_amount, total
-from mercatura.operators import asof, dedup, dims, marts, reconcile
+from mercatura.operators import asof, dedup, digests, dims, marts, reconcile
 from mercatura.session import new_table_path, share, stage, stage_once
 from mercatura.sources import exports, files, ledger, sinks, standins
 
@@ -86,6 +86,29 @@ def table_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.table_checksum(lines(spark, sf_dir))
 
 
+def digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.tree(stage(digests.leaves(lake(spark, sf_dir)), "leaves"))
+
+
+def _first_sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the first exports, before any was sent again."""
+    sent = standins.export_lines(standins.raw_lines(spark, sf_dir))
+    first = sent.filter(~F.col("export").endswith("__R1")).drop("export")
+    return dedup.with_month(dedup.keep_latest(first))
+
+
+def load_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stores and months that re-sent exports changed, found by digests, and how many lines in each."""
+    before, after = stage(_first_sent(spark, sf_dir), "first_sent"), lake(spark, sf_dir)
+    trees = [digests.tree(stage(digests.leaves(side), "leaves")) for side in (before, after)]
+    partitions = stage(digests.differing(*trees), "differing")
+    changed = digests.changed_lines(before, after, partitions).groupBy("store_id", "year_month").agg(
+        F.sum(F.greatest("surplus", F.lit(0))).alias("lines_gained"),
+        F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("lines_lost"),
+    )
+    return partitions.join(changed, ["store_id", "year_month"])
+
+
 def idempotent_reload(spark: SparkSession, sf_dir: str, runs: int = 3) -> DataFrame:
     """Load the same lines several times into one table; each run reports what is then in it."""
     root = new_table_path(spark, "reload")
@@ -195,6 +218,22 @@ def variance_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def variance_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variance by cause, where one month of the outage is rounded too."""
+    everything, products = lines(spark, sf_dir), standins.products(spark, sf_dir)
+    feed = standins.without_outage(everything)
+    feed_fact = marts.sales_fact(feed, products)
+    rounded = (standins.ROUNDED_MONTH, standins.ROUNDED_OUTAGE_MONTH)
+    signed = standins.finance(marts.sales_fact(everything, products), rounded)
+    missing = stage(reconcile.missing_days(feed), "missing_days")
+    return reconcile.variance_parts(
+        reconcile.reconcile(reconcile.monthly_revenue(feed_fact), signed),
+        marts.bill_rounded_revenue(feed_fact),
+        missing,
+        reconcile.weekday_profile(feed, feed_fact, missing),
+    )
+
+
 def missing_store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = standins.without_outage(lines(spark, sf_dir))
     return reconcile.missing_days(feed)
@@ -242,6 +281,8 @@ QUERIES = {
     "dedup_latest": dedup_latest,
     "dedup_stats": dedup_stats,
     "table_checksum": table_checksum,
+    "digest_tree": digest_tree,
+    "load_difference": load_difference,
     "idempotent_reload": idempotent_reload,
     "ingest_ledger": ingest_ledger,
     "upsert_ignore": upsert_ignore,
@@ -264,6 +305,7 @@ QUERIES = {
     "price_drift": price_drift,
     "finance_reconcile": finance_reconcile,
     "variance_class": variance_class,
+    "variance_money": variance_money,
     "missing_store_days": missing_store_days,
 }
 

@@ -23,6 +23,8 @@ MASTER_START = "1990-01-01"
 OUTAGE_STORE, OUTAGE_FIRST, OUTAGE_LAST = "S13", "1995-02-11", "1995-05-20"
 SCOPE_MONTH, SCOPE_AMOUNT = "1994-11", 73918.40
 ROUNDED_MONTH = "1997-09"
+# A month of the outage, rounded as well where causes are told apart in money.
+ROUNDED_OUTAGE_MONTH = "1995-03"
 # First and last day of each price interval, and its price and list price in per cent of the base price.
 PRICE_INTERVALS = (
     (MASTER_START, "1996-12-31", 100, 112),
@@ -225,14 +227,14 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def finance(full_fact: DataFrame) -> DataFrame:
-    """Signed-off months: complete revenue, one month with a sale made outside the tills, one rounded."""
+def finance(full_fact: DataFrame, rounded=(ROUNDED_MONTH,)) -> DataFrame:
+    """Signed-off months: complete revenue, one month with a sale made outside the tills, ``rounded`` ones."""
     from mercatura.operators.marts import bill_rounded_revenue
 
     months = bill_rounded_revenue(full_fact)
     signed = (
         F.when(F.col("month") == SCOPE_MONTH, F.col("line_revenue") + F.lit(SCOPE_AMOUNT))
-        .when(F.col("month") == ROUNDED_MONTH, F.col("bill_rounded_revenue"))
+        .when(F.col("month").isin(*rounded), F.col("bill_rounded_revenue"))
         .otherwise(F.col("line_revenue"))
     )
     return months.select(

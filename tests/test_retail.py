@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercatura.functions.money import line_amount
-from mercatura.operators import asof, dedup, dims, marts, reconcile
+from mercatura.operators import asof, dedup, digests, dims, marts, reconcile
 from mercatura.schemas import CATEGORY, PRODUCT, STAGED_LINE
 from mercatura.sources import exports, files, ledger, sinks, standins
 
@@ -60,6 +60,34 @@ def test_checksum_ignores_order_and_partitions_but_not_content(staged, rows):
     assert len({x[1] for x in (one[0], changed[0], repeated[0])}) == 3
 
 
+def test_digest_tree_locates_changed_lines(staged, rows):
+    may = dt.date(2024, 5, 1)
+    lines = [line(f"B{k}", store=f"S0{k % 3}", day=(DAY, may)[k % 2]) for k in range(24)]
+    later = [*lines[1:], line("B0", price=11.0, store="S00"), line("B99", store="S07"), lines[5]]
+    sides = [dedup.with_month(staged(*x)) for x in (lines, [l for l in later if l[0] != "B3"])]
+    before, after = (digests.tree(digests.leaves(side)) for side in sides)
+    assert rows(before.groupBy("level").agg(F.sum("row_count"), F.sum("n_children"))) == [
+        ("month", 24, 0), ("root", 24, 3), ("store", 24, 6)
+    ]
+    partitions = digests.differing(before, after)
+    assert rows(partitions) == [
+        ("S00", "2024-03", 4, 4), ("S00", "2024-05", 4, 3), ("S02", "2024-05", 4, 5), ("S07", "2024-03", 0, 1)
+    ]
+    changed = digests.changed_lines(*sides, partitions)
+    assert rows(changed, "bill_no", "surplus") == [("B0", -1), ("B0", 1), ("B3", -1), ("B5", 1), ("B99", 1)]
+
+
+def test_digest_trees_of_equal_and_empty_tables(staged, rows):
+    lines = [line(f"B{k}", k, price=k / 7, store=f"S0{k % 3}") for k in range(20)]
+    one, other, none = (
+        digests.tree(digests.leaves(dedup.with_month(x)))
+        for x in (staged(*lines), staged(*reversed(lines)).repartition(5), staged(line()).limit(0))
+    )
+    assert rows(one) == rows(other) and rows(digests.differing(one, other)) == []
+    assert rows(none, "level", "n_children", "row_count") == [("root", 0, 0)]
+    assert rows(digests.differing(none, one), "rows_before", "rows_after") == [(0, 6), (0, 7), (0, 7)]
+
+
 def test_line_amount_is_rounded_half_up(spark, rows):
     data = spark.createDataFrame([(0.5, 0.01), (-0.5, 0.01), (1.005, 1.0), (3.0, 19.99)], "q double, p double")
     got = [float(r[0]) for r in data.select(line_amount(F.col("q"), F.col("p"))).collect()]
@@ -198,6 +226,42 @@ def test_reconciliation_classifies_injected_anomalies(spark, staged, products, r
     assert rows(full.filter("month = '2024-05'"), "status") == [("MISSING_IN_PIPELINE",)]
 
 
+def test_variance_in_money_by_cause(spark, staged, products, rows):
+    start = dt.date(2024, 1, 1)
+    dim = products(product(1, "P1", dt.date(2000, 1, 1), END))
+    # ten for a weekday and 20.40 for a Sunday, in two stores
+    price = lambda day: 20.4 if day.weekday() == 6 else 10.0
+    everything = staged(
+        *(line(f"{s}-{k}", price=price(start + dt.timedelta(k)), store=s, day=start + dt.timedelta(k))
+          for s in ("S01", "S02") for k in range(121))
+    )
+    first, last = dt.date(2024, 2, 3), dt.date(2024, 2, 12)
+    feed = everything.filter(~((F.col("store_id") == "S02") & F.col("business_date").between(first, last)))
+    full, feed_fact = (marts.sales_fact(x, dim) for x in (everything, feed))
+    signed = marts.bill_rounded_revenue(full).select(
+        "month",
+        F.when(F.col("month") == "2024-02", F.col("bill_rounded_revenue"))
+        .when(F.col("month") == "2024-03", F.col("line_revenue") + 75.25)
+        .otherwise(F.col("line_revenue"))
+        .alias("revenue_inr"),
+    ).unionByName(spark.createDataFrame([("2023-12", 40.0)], "month string, revenue_inr double"))
+    missing = reconcile.missing_days(feed)
+    parts = reconcile.variance_parts(
+        reconcile.reconcile(reconcile.monthly_revenue(feed_fact), signed, "full"),
+        marts.bill_rounded_revenue(feed_fact),
+        missing,
+        reconcile.weekday_profile(feed, feed_fact, missing),
+    )
+    # ten days lost, two of them Sundays; in the feed 4 + 2 Sundays of February, each 0.40 above the rounded bill
+    assert rows(parts) == [
+        ("2023-12", "MISSING_IN_PIPELINE", 0, -40.0, 0.0, 0.0, -40.0),
+        ("2024-01", "MATCH", 0, 0.0, 0.0, 0.0, 0.0),
+        ("2024-02", "VARIANCE", 10, -117.6, -120.8, 2.4, 0.8),
+        ("2024-03", "VARIANCE", 0, -75.25, 0.0, 0.0, -75.25),
+        ("2024-04", "MATCH", 0, 0.0, 0.0, 0.0, 0.0),
+    ]
+
+
 def test_missing_days_over_the_whole_span_and_lost_runs(staged, rows):
     start = dt.date(2024, 1, 1)
     daily = lambda store, skipped, n=200: [
