@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mercatura.functions import text as tx
-from mercatura.operators import evaluate, lsh, nights, resolve as rs, shingles as sh
-from mercatura.session import share, stage, stage_once
+from mercatura.operators import evaluate, lsh, nights, register, resolve as rs, shingles as sh
+from mercatura.session import new_table_path, share, stage, stage_once
 from mercatura.sources import standins
 
 WIDEST = lsh.Layout(bands=64, rows=4)
@@ -386,6 +387,23 @@ def alias_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rs.resolve_chains(log)
 
 
+def cluster_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three stored tables after three runs: exact copies of the notices without a review, the full run, and
+    exact copies of all, which takes the full run's clusters apart again."""
+    texts = cleaned(spark, sf_dir)
+    reviewed = standins.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("notice_id")).distinct()
+    unreviewed = texts.join(reviewed, "notice_id", "left_anti")
+    root = new_table_path(spark, "register")
+    for night, run in enumerate((rs.copy_clusters(unreviewed), members(spark, sf_dir), rs.copy_clusters(texts)), 1):
+        register.record_run(run, f"night {night}", root)
+    tables = (register.OPPORTUNITIES, register.MEMBERS, register.ALIASES)
+    shown = [
+        register.read(spark, root, columns).toDF("id", "target", "since").withColumn("entry", F.lit(columns[0]))
+        for columns in tables
+    ]
+    return reduce(DataFrame.unionByName, shown)
+
+
 def score_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.separation(
         scored_labels(spark, sf_dir),
@@ -455,6 +473,7 @@ QUERIES = {
     "alias_update": alias_update,
     "alias_resolve": alias_resolve,
     "alias_chain": alias_chain,
+    "cluster_register": cluster_register,
     "cluster_quality": cluster_quality,
     "label_base_rate": label_base_rate,
     "source_volume": source_volume,

@@ -241,6 +241,16 @@ PARTS = {
         SELECT c.opportunity_id AS old_opportunity_id, min(m.opportunity_id) AS active_opportunity_id
         FROM copy_members c JOIN members m USING (notice_id)
         GROUP BY c.opportunity_id HAVING c.opportunity_id <> min(m.opportunity_id)""",
+    "first_run": """
+        SELECT notice_id, 'OPP_' || CASE WHEN doc IS NULL THEN notice_id
+                                         ELSE min(notice_id) OVER (PARTITION BY clean) END AS opportunity_id
+        FROM cleaned LEFT JOIN docs USING (clean) WHERE notice_id NOT IN (SELECT doc_id FROM labels)""",
+    "run_owners": """
+        SELECT notice_id, f.opportunity_id AS o1, m.opportunity_id AS o2, c.opportunity_id AS o3
+        FROM copy_members c JOIN members m USING (notice_id) LEFT JOIN first_run f USING (notice_id)""",
+    "first_merges": """
+        SELECT o1 AS old_id, min(o2) AS new_id FROM run_owners
+        WHERE o1 IS NOT NULL AND o1 NOT IN (SELECT o2 FROM run_owners) GROUP BY o1""",
 }
 
 
@@ -394,6 +404,19 @@ SELECTS = {
     "alias_chain": """
         SELECT old_id AS old_opportunity_id, arg_max(new_id, n) AS active_opportunity_id, max(n)::BIGINT AS n_steps
         FROM walk GROUP BY old_id""",
+    "cluster_register": """
+        SELECT 'opportunity_id' AS entry, id, substr(id, 5) AS target, 'night ' || min(n) AS since
+        FROM (SELECT o1 AS id, 1 AS n FROM run_owners UNION ALL SELECT o2, 2 FROM run_owners
+              UNION ALL SELECT o3, 3 FROM run_owners)
+        WHERE id IS NOT NULL GROUP BY id
+        UNION ALL
+        SELECT 'notice_id', notice_id::VARCHAR, o3,
+               CASE WHEN o2 <> o3 THEN 'night 3' WHEN o1 = o2 THEN 'night 1' ELSE 'night 2' END
+        FROM run_owners
+        UNION ALL
+        SELECT 'old_opportunity_id', old_id, CASE WHEN back THEN old_id ELSE new_id END,
+               CASE WHEN back THEN 'night 3' ELSE 'night 2' END
+        FROM (SELECT *, old_id IN (SELECT o3 FROM run_owners) AS back FROM first_merges)""",
     "alias_resolve": """
         SELECT notice_id, opportunity_id AS filed_under,
                coalesce(active_opportunity_id, opportunity_id) AS opportunity_id

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mercatura.functions import text as tx
 from mercatura.functions.minhash import PRIME, coefficients
-from mercatura.operators import evaluate, lsh, nights, resolve as rs, shingles as sh
+from mercatura.operators import evaluate, lsh, nights, register, resolve as rs, shingles as sh
 
 
 def one(spark, expression, **values):
@@ -389,6 +389,39 @@ def test_stored_tables_over_three_nights(spark, rows):
     assert rows(dated) == [("OPP_b", "OPP_a", "d3")]
 
 
+def test_register_over_five_nights(spark, rows, tmp_path):
+    """A merge, a missing night, a split and a merge again; a quiet night writes nothing."""
+    schema = "notice_id string, canonical_notice_id string, opportunity_id string"
+    night = lambda *owners: spark.createDataFrame([(n, o, f"OPP_{o}") for n, o in owners], schema)
+    runs = [
+        night(("a", "a"), ("b", "b"), ("c", "c"), ("e", "e")),
+        night(("a", "a"), ("b", "b"), ("c", "b")),
+        night(("a", "a"), ("b", "a"), ("c", "a"), ("e", "e")),
+        night(("a", "a"), ("b", "a"), ("c", "c"), ("e", "e")),
+        night(("a", "a"), ("b", "a"), ("c", "a"), ("e", "e")),
+    ]
+    aliases = []
+    for k, run in enumerate(runs, 1):
+        register.record_run(run, f"d{k}", str(tmp_path), 4)
+        aliases.append(rows(register.read(spark, str(tmp_path), register.ALIASES)))
+    assert aliases == [
+        [],
+        [("OPP_c", "OPP_b", "d2")],
+        [("OPP_b", "OPP_a", "d3"), ("OPP_c", "OPP_a", "d2")],
+        [("OPP_b", "OPP_a", "d3"), ("OPP_c", "OPP_c", "d4")],
+        [("OPP_b", "OPP_a", "d3"), ("OPP_c", "OPP_a", "d5")],
+    ]
+    assert rows(register.read(spark, str(tmp_path), register.OPPORTUNITIES)) == [
+        ("OPP_a", "a", "d1"), ("OPP_b", "b", "d1"), ("OPP_c", "c", "d1"), ("OPP_e", "e", "d1")
+    ]
+    assert rows(register.read(spark, str(tmp_path), register.MEMBERS)) == [
+        ("a", "OPP_a", "d1"), ("b", "OPP_a", "d3"), ("c", "OPP_a", "d5"), ("e", "OPP_e", "d1")
+    ]
+    assert register.record_run(runs[-1], "d6", str(tmp_path), 4) == {
+        "old_opportunity_id": [], "opportunity_id": [], "notice_id": []
+    }
+
+
 def test_chains_over_many_nights(spark, rows):
     schema = "night int, old_opportunity_id string, active_opportunity_id string"
     steps = [(k, f"n{k}", f"n{k - 1}") for k in range(1, 12)]

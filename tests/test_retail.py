@@ -395,6 +395,28 @@ def test_upserts(spark, rows):
     assert rows(last, "k", "v") == [(1, "old"), (2, "newer"), (3, "newest")]
 
 
+def test_stored_upserts_write_touched_folders_only(spark, rows, tmp_path):
+    root, schema = str(tmp_path / "table"), "k int, v string, t int"
+    state = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "table").glob("key_part=*/*.parquet")}
+    table = lambda: rows(sinks.read_keyed(spark, root, base.schema), "k", "v")
+    base = spark.createDataFrame([(k, "old", 0) for k in range(60)], schema)
+    assert sinks.upsert_into(base, root, ["k"], ["t"], "first", 8) == list(range(8))
+    before = state()
+    batch = spark.createDataFrame([(7, "new", 1), (7, "newest", 2), (100, "b", 2), (100, "a", 1)], schema)
+    written = sinks.upsert_into(batch, root, ["k"], ["t"], "first", 8)
+    assert len(written) == 1 and dict(table())[100] == "a" and dict(table())[7] == "old"
+    after = state()
+    kept = {f for f in before if f"key_part={written[0]}/" not in f}
+    assert len(kept) >= 7 and all(after[f] == before[f] for f in kept) and not set(before) - kept & set(after) - kept
+    assert sinks.upsert_into(batch, root, ["k"], ["t"], "first", 8) == [] and state() == after
+    assert len(sinks.upsert_into(batch, root, ["k"], ["t"], "last", 8)) in (1, 2)
+    assert dict(table()) == {**{k: "old" for k in range(60)}, 7: "newest", 100: "b"} and len(table()) == 61
+    assert sinks.upsert_into(batch, root, ["k"], ["t"], "last", 8) == []
+    assert sinks.upsert_into(batch.limit(0), root, ["k"], ["t"], "last", 8) == [] and len(table()) == 61
+    with pytest.raises(ValueError):
+        sinks.upsert_into(batch, root, ["k"], ["t"], "any")
+
+
 def test_small_readers(spark, tmp_path, rows):
     (tmp_path / "finance.csv").write_text("month,revenue_inr\n2024-01,5250.75\n")
     (tmp_path / "pairs.csv").write_text("notice_id_a,notice_id_b,label\nN1,N2,same\n")
