@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mercatura.operators.dims import valid_on
+from mercatura.session import stage
 
 
 def join_version(
@@ -30,6 +31,53 @@ def join_version(
     return f.join(v, match, how).drop(f"version_{code}")
 
 
+# Facts of a code beyond this number are spread over several groups.
+GROUP_ROWS = 1_000_000
+
+
+def last_version(
+    facts: DataFrame,
+    versions: DataFrame,
+    code: str,
+    day: str,
+    start: str = "valid_from",
+    end: str = "valid_to",
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """``join_version`` without an interval in a join: each fact takes the last version to start before it.
+
+    For versions too large to broadcast. Facts and versions of a code lie in one sorted group, where a running last
+    value carries the version; it counts where it has not ended. Versions of a code must not overlap (see
+    ``dims.overlapping_versions``); where they do, the one that starts last is taken, and of equal starts the one that
+    sorts last. A fact without code or day gets no version. A code with more than ``group_rows`` facts is spread over
+    groups by a hash of its rows, and each group has all versions of the code, so no group grows with the facts; the
+    number of groups comes from a count of all facts by code.
+    """
+    counts = facts.groupBy(code).agg(F.count("*").alias("n")).filter(F.col("n") > group_rows)
+    hot = stage(counts.select(code, F.ceil(F.col("n") / group_rows).cast("int").alias("n_groups")), "hot_codes")
+    n_groups = F.coalesce("n_groups", F.lit(1))
+    group = F.pmod(F.xxhash64(*(F.col(f"fact.{c}") for c in facts.columns)), n_groups).cast("int")
+    given = [c for c in versions.columns if c != code]
+
+    def spread(rows: DataFrame) -> DataFrame:
+        return rows.withColumnRenamed(code, "code").join(hot.withColumnRenamed(code, "code"), "code", "left")
+
+    fact_rows = spread(facts.select(F.col(code), F.struct(*facts.columns).alias("fact"))).select(
+        "code", group.alias("group"), F.col(f"fact.{day}").alias("at"), F.lit(True).alias("is_fact"), "fact"
+    )
+    version_rows = spread(versions.select(F.col(code), F.struct(*given).alias("version"))).filter("code IS NOT NULL").select(
+        "code", F.explode(F.sequence(F.lit(0), n_groups - 1)).alias("group"), F.col(f"version.{start}").alias("at"),
+        F.lit(False).alias("is_fact"), "version",
+    )
+    both = fact_rows.unionByName(version_rows, allowMissingColumns=True)
+    so_far = Window.partitionBy("code", "group").orderBy(F.col("at").asc_nulls_first(), "is_fact", "version")
+    carried = both.withColumn(
+        "carried", F.last("version", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    ).filter("is_fact")
+    valid = F.when(valid_on(F.col("at"), F.col(f"carried.{start}"), F.col(f"carried.{end}")), F.col("carried"))
+    return carried.withColumn("valid", valid).select("fact.*", *(F.col(f"valid.{c}").alias(c) for c in given))
+
+
 def prices_as_of(
     products: DataFrame,
     categories: DataFrame,

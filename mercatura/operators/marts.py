@@ -10,11 +10,14 @@ from mercatura.operators.asof import join_version
 UNKNOWN_PRODUCT = 0
 
 
-def sales_fact(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue lines with the product key valid on the day; unmatched codes go to the default member."""
+def sales_fact(lines: DataFrame, products: DataFrame, lookup=join_version) -> DataFrame:
+    """Revenue lines with the product key valid on the day; unmatched codes go to the default member.
+
+    ``lookup`` is ``asof.join_version``, or ``asof.last_version`` for a product table too large to broadcast.
+    """
     versions = products.select("product_code", "product_sk", "valid_from", "valid_to")
     sold = lines.filter(is_revenue(F.col("line_type")))
-    return join_version(sold, versions, "product_code", "business_date").select(
+    return lookup(sold, versions, "product_code", "business_date").select(
         "bill_no",
         "line_no",
         "store_id",

@@ -113,6 +113,31 @@ def test_point_in_time_join_includes_both_ends_and_keeps_unmatched(staged, produ
     assert rows(fact, "bill_no", "product_sk") == [("A", 1), ("B", 1), ("C", 2), ("D", 0), ("E", 0)]
 
 
+def test_last_version_equals_the_join_and_spreads_a_hot_code(staged, products, rows):
+    split = dt.date(2024, 6, 1)
+    dim = products(
+        product(1, "P1", dt.date(2024, 1, 1), split - dt.timedelta(1)),
+        product(2, "P1", split + dt.timedelta(9), END),
+        product(3, "P2", dt.date(2024, 3, 1), END),
+        product(4, "P3", dt.date(2024, 3, 1), dt.date(2024, 3, 1)),
+    )
+    days = [dt.date(2023, 12, 30) + dt.timedelta(k) for k in range(200)]
+    lines = staged(
+        *(line(f"{code}-{k}", code=code, day=day) for code in ("P1", "P2", "P3", "P9") for k, day in enumerate(days)),
+        line("none", code=None), line("never", day=None), line("P1-3", day=days[3]), line("P1-3", day=days[3]),
+    )
+    versions = dim.select("product_code", "product_sk", "valid_from", "valid_to")
+    for rows_a_group in (1_000_000, 30):
+        found = asof.last_version(lines, versions, "product_code", "business_date", group_rows=rows_a_group)
+        joined = asof.join_version(lines, versions, "product_code", "business_date")
+        assert found.columns == joined.columns and rows(found) == rows(joined)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert not any("Join" in step and "valid_from" in step for step in plan.splitlines())
+    assert rows(asof.last_version(lines.limit(0), versions, "product_code", "business_date")) == []
+    none = asof.last_version(lines, versions.limit(0), "product_code", "business_date")
+    assert none.count() == lines.count() and none.filter("product_sk IS NOT NULL").isEmpty()
+
+
 def test_overlapping_versions_fan_out_and_are_reported(staged, products, rows):
     dim = products(
         product(1, "P1", dt.date(2024, 1, 1), END), product(2, "P1", dt.date(2024, 2, 1), END)
