@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mercatura.functions.text import set_jaccard, word_bigrams
+from mercatura.functions.sets import pair_jaccard
 from mercatura.operators import lsh
 from mercatura.operators.joins import join_by_key
 from mercatura.operators.shingles import (
@@ -35,7 +35,7 @@ def attach_text(
 def score_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """Exact Jaccard of ``doc_a, doc_b`` on unpruned word bigrams."""
     texts = documents.select("doc", "clean")
-    score = set_jaccard(word_bigrams(F.col("text_a")), word_bigrams(F.col("text_b")))
+    score = pair_jaccard(F.col("text_a"), F.col("text_b"))
     return attach_text(pairs, texts, "doc_a", "doc_b").select(
         "doc_a", "doc_b", score.alias("jaccard")
     )

@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 import os
@@ -7,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from mercatura.functions import text as tx
+from mercatura.functions import minhash, sets, text as tx
 from mercatura.functions.minhash import PRIME, coefficients
 from mercatura.operators import evaluate, lsh, nights, register, resolve as rs, shingles as sh
 
@@ -528,3 +529,36 @@ def test_index_gives_the_rows_of_the_lookup_and_reads_few_files(spark, rows, mon
     for part in ("keys", "prefixes", "crowds"):
         for crowd in (2, 64):
             spark.sql(f"DROP TABLE index_{crowd}_{part}")
+
+
+def test_batch_scores_agree_with_column_expressions(spark):
+    """Scores of whole batches equal those of the column expressions, also on odd texts."""
+    texts = [None, "", "a", "a b", "a b a b", "one two  three", "x_y z w", "aaaa", "abcde", "abcdef", "Ωμέγα \U0001f600ab",
+             "\U0001f600" * 7, "a\nb c d", "the same words the same words again"]
+    data = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    scored = tx.set_jaccard(tx.word_bigrams(F.col("a")), tx.word_bigrams(F.col("b")))
+    columns = [(sets.pair_jaccard(F.col("a"), F.col("b")), scored)]
+    for k, keep in ((5, True), (3, False)):
+        both = [tx.char_kgrams(F.col(c), k, keep) for c in "ab"]
+        columns.append((sets.kgram_jaccard(F.col("a"), F.col("b"), k, keep), tx.set_jaccard(*both)))
+    for new, old in columns:
+        pairs = data.select("a", "b", new.alias("new"), old.alias("old")).collect()
+        assert all(r.new == r.old for r in pairs), [r for r in pairs if r.new != r.old][:3]
+
+
+def test_minima_combine_over_batches(spark):
+    """Minima of rows in any order equal a plain computation; no row is multiplied by the parts in the JVM."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        table = [(d, f"s{(d or 9) * k % 23}") for k in range(40) for d in (1, 2, None)] + [(3, None)]
+        found = lsh.signature_parts(spark.createDataFrame(table, "doc long, shingle string"), lsh.OLDER)
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+        got = {(r.doc, r.part): list(r)[2:] for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs = minhash.coefficients(lsh.OLDER.parts * lsh.OLDER.width)
+    assert len(got) == 4 * lsh.OLDER.parts
+    for (doc, part), values in got.items():
+        hashes = [int(hashlib.md5(s.encode()).hexdigest()[:8], 16) for d, s in table if d == doc and s]
+        mine = pairs[part * lsh.OLDER.width : (part + 1) * lsh.OLDER.width]
+        assert values == [min(((h * a + b) % minhash.PRIME for h in hashes), default=None) for a, b in mine]
