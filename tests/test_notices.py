@@ -184,6 +184,50 @@ def may_reach(scene, threshold=0.55):
     }
 
 
+def test_crowds_give_the_same_candidates_whole_divided_or_sliced(scene, rows, monkeypatch):
+    for crowd, spread in ((2, 3), (10_000, 2)):
+        monkeypatch.setattr(lsh, "CROWD", crowd)
+        monkeypatch.setattr(lsh, "SPREAD", spread)
+        found = rows(lsh.candidate_pairs(scene["bands"], scene["documents"], scene["frequency"]))
+        assert len(found) == len(set(found)) and set(found) == may_reach(scene)
+
+
+def test_crowd_of_near_copies_meets_once_and_one_of_others_is_divided(spark):
+    n = lsh.CROWD + 6
+    crowd = spark.createDataFrame(
+        [(d, band, "x", n) for band in (0, 1) for d in range(n)], "doc long, band_id int, bucket_hash string, n long"
+    )
+    # alone: no two share a rare shingle; copies: all share their forty rarest
+    alone = spark.createDataFrame([(d, 50, [d]) for d in range(n)], "doc long, n_shingles int, prefix array<long>")
+    copies = spark.createDataFrame(
+        [(d, 50, list(range(1, 41))) for d in range(n)], "doc long, n_shingles int, prefix array<long>"
+    )
+    assert lsh.divided_crowds(crowd, alone).count() == 2
+    divided = lsh.divided_crowds(crowd, copies)
+    assert divided.count() == 0
+    assert lsh.meeting_rows(crowd, divided, copies).count() == 2 * n
+
+
+def test_pair_scores_read_a_text_once_for_its_tile_and_keep_every_text_of_an_id(spark, rows, monkeypatch):
+    texts = [(d, f"tender for road works lot {d % 7} in district {d % 3}") for d in range(12)] + [(3, "tender for road"), (5, "x")]
+    documents = spark.createDataFrame(texts, "doc long, clean string")
+    pairs = spark.createDataFrame(
+        [(a, b) for a in range(12) for b in range(a + 1, 14)] + [(None, 3)], "doc_a long, doc_b long"
+    )
+    score = sets.pair_jaccard(F.col("text_a"), F.col("text_b")).alias("jaccard")
+    by_pair = rs.attach_text(pairs, documents, "doc_a", "doc_b").select("doc_a", "doc_b", score)
+    for tile in (2, 256):
+        monkeypatch.setattr(rs, "TILE", tile)
+        assert rows(rs.score_pairs(pairs, documents)) == rows(by_pair)
+
+    made = spark.createDataFrame(
+        [(1, d, f"road works {d}", None, None) for d in range(20)] + [(1, None, None, 0, d) for d in range(20)],
+        "key long, doc long, text string, doc_a long, doc_b long",
+    ).coalesce(1)
+    schema = pairs.schema.add("jaccard", "double")
+    assert sets.keyed_jaccard(made, schema).count() == 20
+
+
 def test_candidates_share_a_bucket_and_may_reach_the_threshold(scene, rows):
     found = lsh.candidate_pairs(scene["bands"], scene["documents"], scene["frequency"])
     candidates = set(rows(found))
