@@ -95,11 +95,8 @@ def keyed_jaccard(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.mapInArrow(scores, schema)
 
 
-def kgram_jaccard(a: Column, b: Column, k: int, keep_short: bool) -> Column:
-    """Jaccard of the runs of ``k`` characters of two texts, as ``text.char_kgrams`` has them.
-
-    A run is one whole number where its characters have few enough bits, which keeps the comparison exact.
-    """
+def _kgram_scores(k: int, keep_short: bool):
+    """A function from two lists of texts to the scores of ``kgram_jaccard``."""
     bits = 63 // k
 
     def grams(text: str, narrow: bool) -> np.ndarray | frozenset:
@@ -115,10 +112,10 @@ def kgram_jaccard(a: Column, b: Column, k: int, keep_short: bool) -> Column:
         key.sort()
         return key[np.flatnonzero(np.append(True, key[1:] != key[:-1]))]
 
-    def score(left: pa.Array, right: pa.Array) -> pa.Array:
+    def score(left: list, right: list) -> list:
         known: dict[tuple, np.ndarray | frozenset] = {}
         scores = []
-        for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
+        for x, y in zip(left, right, strict=True):
             if x is None or y is None:
                 known_text = x if y is None else y
                 scores.append(None if known_text is None or len(grams(known_text, False)) else 0.0)
@@ -139,10 +136,49 @@ def kgram_jaccard(a: Column, b: Column, k: int, keep_short: bool) -> Column:
                 shared = int(np.count_nonzero(both[1:] == both[:-1]))
             total = len(first) + len(second) - shared
             scores.append(shared / total if len(first) and len(second) else 0.0)
-        return pa.array(scores, pa.float64())
+        return scores
+
+    return score
+
+
+def kgram_jaccard(a: Column, b: Column, k: int, keep_short: bool) -> Column:
+    """Jaccard of the runs of ``k`` characters of two texts, as ``text.char_kgrams`` has them.
+
+    A run is one whole number where its characters have few enough bits, which keeps the comparison exact.
+    """
+    of_lists = _kgram_scores(k, keep_short)
+
+    def score(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array(of_lists(left.to_pylist(), right.to_pylist()), pa.float64())
 
     return _udf(score, "double", a, b)
 
 
+def keyed_kgram_jaccard(rows: DataFrame, schema: T.StructType, k: int, keep_short: bool) -> DataFrame:
+    """Scores of ``kgram_jaccard`` for rows as ``keyed_jaccard`` has them."""
+    of_lists = _kgram_scores(k, keep_short)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+        for batch in batches:
+            docs, texts = ([], []), ([], [])
+            columns = (batch[name].to_pylist() for name in ("key", "doc", "text", "doc_a", "doc_b"))
+            for at, doc, text, a, b in zip(*columns, strict=True):
+                if at != key:
+                    key, held = at, {}
+                if doc is not None:
+                    held.setdefault(doc, []).append(text)
+                    continue
+                for first in held.get(a, ()):
+                    for second in held.get(b, ()):
+                        for column, value in zip((*docs, *texts), (a, b, first, second), strict=True):
+                            column.append(value)
+            if docs[0]:
+                arrays = [pa.array(values, batch[name].type) for values, name in zip(docs, ("doc_a", "doc_b"))]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(of_lists(*texts), pa.float64())], schema.names)
+
+    return rows.mapInArrow(scores, schema)
+
+
 def _udf(function, kind: str, *columns: Column) -> Column:
     return F.arrow_udf(function, kind)(*columns)

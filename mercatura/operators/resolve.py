@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from mercatura.functions import sets
 from mercatura.operators import lsh
@@ -36,8 +38,12 @@ def attach_text(
 TILE = 256
 
 
-def score_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
-    """Exact Jaccard of ``doc_a, doc_b`` on unpruned word bigrams.
+def score_pairs(
+    pairs: DataFrame,
+    documents: DataFrame,
+    score: Callable[[DataFrame, T.StructType], DataFrame] = sets.keyed_jaccard,
+) -> DataFrame:
+    """Exact Jaccard of ``doc_a, doc_b``, on unpruned word bigrams unless another ``score`` is given.
 
     Texts travel by tile of pairs, not by pair: documents are kept beside those they share their smallest partner
     with, cut by ``TILE``, and the texts of two cuts meet once for all pairs between them.
@@ -58,7 +64,7 @@ def score_pairs(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     texts = needed.join(documents.select("doc", F.col("clean").alias("text")), "doc")
     rows = texts.select("key", "doc", "text").unionByName(keyed, allowMissingColumns=True)
     in_a_row = rows.repartition("key").sortWithinPartitions("key", F.col("doc").isNull())
-    return sets.keyed_jaccard(in_a_row, pairs.schema.add("jaccard", "double"))
+    return score(in_a_row, pairs.schema.add("jaccard", "double"))
 
 
 def verify(

@@ -606,3 +606,33 @@ def test_minima_combine_over_batches(spark):
         hashes = [int(hashlib.md5(s.encode()).hexdigest()[:8], 16) for d, s in table if d == doc and s]
         mine = pairs[part * lsh.OLDER.width : (part + 1) * lsh.OLDER.width]
         assert values == [min(((h * a + b) % minhash.PRIME for h in hashes), default=None) for a, b in mine]
+
+
+def test_texts_are_spread_before_they_are_cut_up(spark):
+    docs = spark.createDataFrame([("a", 1, "x y z"), ("b", 1, "y z")], "doc string, n_copies bigint, clean string")
+    made = sh.shingle_rows(docs.coalesce(1))
+    assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert made.count() == 3
+
+
+def test_stop_list_is_broadcast_whatever_the_threshold(spark, rows):
+    docs = spark.createDataFrame([("a", 1, "x y z"), ("b", 1, "y z")], "doc string, n_copies bigint, clean string")
+    stop = spark.createDataFrame([("y z", 2)], "shingle string, df bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = sh.prune(sh.shingle_rows(docs), stop)
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert rows(kept, "doc", "shingle") == [("a", "x y")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_keyed_character_runs_equal_those_by_pair(spark, rows):
+    texts = {"a": "abcdefgh", "b": "abcdefxy", "c": "", "d": "abc", "e": "ab€cdefgh", "f": "ab€cdefg"}
+    documents = spark.createDataFrame([*texts.items(), ("b", "abcdefgh")], "doc string, clean string")
+    pairs = spark.createDataFrame([(x, y) for x in texts for y in texts if x < y], "doc_a string, doc_b string")
+    keyed = rs.score_pairs(pairs, documents, lambda made, schema: sets.keyed_kgram_jaccard(made, schema, 3, True))
+    score = sets.kgram_jaccard(F.col("text_a"), F.col("text_b"), 3, keep_short=True)
+    by_pair = rs.attach_text(pairs, documents, "doc_a", "doc_b").select("doc_a", "doc_b", score)
+    assert rows(keyed) == rows(by_pair)
