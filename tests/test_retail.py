@@ -506,3 +506,16 @@ def test_shared_tables_follow_their_source(spark, tmp_path):
     assert first is stage_once(spark, folder, "ids", read)
     spark.range(5, 50).write.parquet(f"{folder}/b.parquet")
     assert stage_once(spark, folder, "ids", read).count() == 50
+
+
+def test_lines_are_deduplicated_where_their_bill_is(spark):
+    from mercatura.sources import standins
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = dedup.keep_latest(standins.raw_lines(spark, "/root/testdata/sf0.001"))
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan[: plan.index("Generate")]
