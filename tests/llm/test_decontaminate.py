@@ -74,3 +74,13 @@ def test_empty_and_long(spark):
     assert (got.n_words, got.n_hit, got.items) == (200_003, 3, ["1"])
     none = decontaminate.hits(docs, bench.limit(0), 3).first()
     assert (none.n_words, none.n_hit, none["items"]) == (200_003, 0, [])
+
+
+def test_texts_are_cut_once_and_only_ascii_capitals_are_folded(spark, rows):
+    texts = [(1, "-A Kİb; Z"), (2, "B..c"), (3, ""), (4, " "), (5, None), (6, "ÄB x")]
+    made = decontaminate.placed_terms(spark.createDataFrame(texts, "doc int, text string"), ["doc"], "text")
+    assert rows(made) == [
+        (1, 0, "a"), (1, 1, "Kİb"), (1, 2, "z"), (2, 0, "b"), (2, 1, "c"), (6, 0, "Äb"), (6, 1, "x"),
+    ]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
