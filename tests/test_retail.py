@@ -509,8 +509,6 @@ def test_shared_tables_follow_their_source(spark, tmp_path):
 
 
 def test_lines_are_deduplicated_where_their_bill_is(spark):
-    from mercatura.sources import standins
-
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -519,3 +517,13 @@ def test_lines_are_deduplicated_where_their_bill_is(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Exchange" not in plan[: plan.index("Generate")]
+
+
+def test_texts_of_exports_are_not_shuffled_and_names_given_are_kept(spark, staged, rows):
+    lines = staged(line("A", 1), line("A", 1, ts="1998-10-09"), line("B", 2))
+    made = standins.export_files(lines)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Exchange")
+    assert rows(standins.export_files(standins.export_lines(lines)), "export") == rows(made, "export")
+    named = lines.withColumn("export", F.lit("one"))
+    assert rows(standins.export_files(named), "export") == [("one",)]
