@@ -527,3 +527,19 @@ def test_texts_of_exports_are_not_shuffled_and_names_given_are_kept(spark, stage
     assert rows(standins.export_files(standins.export_lines(lines)), "export") == rows(made, "export")
     named = lines.withColumn("export", F.lit("one"))
     assert rows(standins.export_files(named), "export") == [("one",)]
+
+
+def test_names_of_exports_need_no_further_shuffle(spark, staged, rows):
+    sent = [line("A", 1), line("A", 1, ts="11:00"), line("A", 1), line("B", 2), line(None, 3), line("C", None)]
+    named = standins.export_lines(staged(*sent).repartition(3, "bill_no"))
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(named, "bill_no", "raw_ts", "export") == [
+        ("A", "10:00", "SALES_S01_20240305"), ("A", "10:00", "SALES_S01_20240305"),
+        ("A", "11:00", "SALES_S01_20240305__R1"), ("B", "10:00", "SALES_S01_20240305"),
+    ]
+
+
+def test_headers_of_exports_are_not_shuffled(staged):
+    plan = standins.export_files(staged(line("A", 1), line("B", 2, store="S07")))._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[export" in plan and "header" not in plan
