@@ -71,12 +71,14 @@ def changed_lines(before: DataFrame, after: DataFrame, partitions: DataFrame) ->
     """Lines of ``partitions`` that one load has more often than the other, with what ``after`` has of them more
     (``surplus``, below zero where it has less). Other partitions are left out before anything is compared."""
     keys = ["store_id", "year_month"]
-    columns = [*keys, "bill_no", "line_no", "product_code", "qty", "unit_price", "line_type"]
+    columns = [*keys, "bill_no", "line_no", dedup.rest_of_line().alias("rest")]
     signed = [
         side.join(partitions.select(*keys), keys, "left_semi").select(*columns, F.lit(sign).alias("sign"))
         for side, sign in ((before, -1), (after, 1))
     ]
-    rows = signed[0].unionByName(signed[1]).withColumn("text", dedup.line_text())
-    # one line of a key and text stands for its copies; their prices may differ below what the text shows
-    of_line = rows.groupBy(*keys, "bill_no", "line_no", "text").agg(F.sum("sign").alias("surplus"))
-    return of_line.filter("surplus <> 0")
+    # one line of a key and text stands for its copies; their prices may differ below what the text shows. The key is
+    # shuffled once, beside the text and not in it too
+    rows = signed[0].unionByName(signed[1])
+    of_line = rows.groupBy(*keys, "bill_no", "line_no", "rest").agg(F.sum("sign").alias("surplus"))
+    text = dedup.line_text("rest").alias("text")
+    return of_line.filter("surplus <> 0").select(*keys, "bill_no", "line_no", text, "surplus")

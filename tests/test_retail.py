@@ -540,6 +540,21 @@ def test_names_of_exports_need_no_further_shuffle(spark, staged, rows):
     ]
 
 
+def test_compared_lines_travel_without_their_key_in_the_text(staged, rows):
+    before = [line("A", 1), line("A", 2, price=None), line(None, 3), line("C", 4, None, None, None, None), line("D", 5)]
+    after = [line("A", 1, price=11.0), line("D", 5), line("D", 5), line(None, None, None, None, None, None)]
+    sides = [dedup.with_month(staged(*x)) for x in (before, after)]
+    changed = digests.changed_lines(*sides, sides[0].select("store_id", "year_month").distinct())
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert "concat_ws(:, bill_no" not in plan[plan.rindex("Exchange") :]
+    assert rows(changed, "text", "surplus") == [
+        ("", 1), ("3:P1:1.00:10.00:SALE", -1), ("A:1:P1:1.00:10.00:SALE", -1), ("A:1:P1:1.00:11.00:SALE", 1),
+        ("A:2:P1:1.00:SALE", -1), ("C:4", -1), ("D:5:P1:1.00:10.00:SALE", 1),
+    ]
+    texts = sides[0].select(dedup.line_text().alias("text"))
+    assert rows(texts)[1:3] == [("A:1:P1:1.00:10.00:SALE",), ("A:2:P1:1.00:SALE",)]
+
+
 def test_headers_of_exports_are_not_shuffled(staged):
     plan = standins.export_files(staged(line("A", 1), line("B", 2, store="S07")))._jdf.queryExecution().executedPlan().toString()
     assert "keys=[export" in plan and "header" not in plan
