@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from mercatura.functions.money import line_amount
 from mercatura.operators import asof, dedup, digests, dims, marts, reconcile
 from mercatura.schemas import CATEGORY, PRODUCT, STAGED_LINE
+from mercatura.session import stage
 from mercatura.sources import exports, files, ledger, sinks, standins
 
 DAY = dt.date(2024, 3, 5)
@@ -558,3 +559,11 @@ def test_compared_lines_travel_without_their_key_in_the_text(staged, rows):
 def test_headers_of_exports_are_not_shuffled(staged):
     plan = standins.export_files(staged(line("A", 1), line("B", 2, store="S07")))._jdf.queryExecution().executedPlan().toString()
     assert "keys=[export" in plan and "header" not in plan
+
+
+def test_staged_tables_and_partitions_are_written_with_zstd(spark, staged, tmp_path):
+    table = stage(staged(line()), "small")
+    assert all(".zstd." in path for path in table.inputFiles())
+    sinks.write_lake(dedup.with_month(table), str(tmp_path / "lake"))
+    assert [p.name for p in (tmp_path / "lake").glob("*/*/*.zstd.parquet")]
+    assert all(".snappy." in path for path in stage(staged(line()), "small", compression="snappy").inputFiles())
