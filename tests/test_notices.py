@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mercatura.functions import minhash, sets, text as tx
 from mercatura.functions.minhash import PRIME, coefficients
 from mercatura.operators import evaluate, lsh, nights, register, resolve as rs, shingles as sh
+from mercatura.plans import notices as queries
 
 
 def one(spark, expression, **values):
@@ -236,6 +237,30 @@ def test_candidates_share_a_bucket_and_may_reach_the_threshold(scene, rows):
     assert {(r.doc_a, r.doc_b): r.jaccard for r in verified} == pytest.approx(scene["verified"])
 
 
+def test_all_pairs_of_a_bucket_are_listed_whatever_their_similarity(scene, rows, monkeypatch):
+    for spread in (3, 1024):
+        monkeypatch.setattr(lsh, "SPREAD", spread)
+        found = rows(lsh.bucket_pairs(scene["bands"]))
+        assert len(found) == len(set(found)) and set(found) == scene["pairs"] > may_reach(scene)
+
+
+def test_candidate_query_leaves_out_no_pair_of_a_bucket(spark, rows, tmp_path):
+    texts = [(doc, text, "en", "src9", len(text)) for doc, text in corpus()]
+    table = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    buckets = {}
+    for r in queries.bands(spark, str(tmp_path)).collect():
+        buckets.setdefault((r.band_id, r.bucket_hash), set()).add(r.doc)
+    shared = {p for members in buckets.values() for p in itertools.combinations(sorted(members), 2)}
+    found = rows(queries.lsh_candidates(spark, str(tmp_path)))
+    assert found == sorted(shared, key=repr)
+    filtered = lsh.candidate_pairs(*(part(spark, str(tmp_path)) for part in (queries.bands, queries.documents, queries.frequency)))
+    assert set(rows(filtered)) < shared
+    verified = rows(queries.verified_pairs(spark, str(tmp_path)), "doc_a", "doc_b")
+    reached = rs.verify(spark.createDataFrame(sorted(shared), "doc_a long, doc_b long"), queries.documents(spark, str(tmp_path)))
+    assert verified == rows(reached, "doc_a", "doc_b")
+
+
 def test_components_equal_those_of_all_verified_pairs(scene):
     got = rs.match_components(scene["bands"], scene["documents"], scene["frequency"]).collect()
     expected = components(scene["texts"], scene["verified"])
