@@ -661,3 +661,21 @@ def test_keyed_character_runs_equal_those_by_pair(spark, rows):
     score = sets.kgram_jaccard(F.col("text_a"), F.col("text_b"), 3, keep_short=True)
     by_pair = rs.attach_text(pairs, documents, "doc_a", "doc_b").select("doc_a", "doc_b", score)
     assert rows(keyed) == rows(by_pair)
+
+
+def test_unpruned_buckets_sign_stop_shingles_only_once_more(spark, rows, tmp_path, monkeypatch):
+    texts = [(doc, text, "en", "src9", len(text)) for doc, text in corpus(families=6)]
+    table = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    signed, parts = [], lsh.signature_parts
+
+    def counted(shingles, layout=lsh.DEFAULT):
+        signed.append(shingles.count())
+        return parts(shingles, layout)
+
+    monkeypatch.setattr(lsh, "signature_parts", counted)
+    found = {pruned: rows(queries.notice_bands(spark, str(tmp_path), pruned)) for pruned in (False, True)}
+    shingles = sh.shingle_rows(sh.every_notice(queries.cleaned(spark, str(tmp_path))))
+    assert sum(signed) == shingles.count() and len(signed) == 2 and min(signed) > 0
+    assert found[False] == rows(lsh.band_rows(parts(shingles)))
+    assert found[True] == rows(lsh.band_rows(parts(sh.prune(shingles, queries.stop(spark, str(tmp_path))))))
