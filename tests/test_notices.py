@@ -679,3 +679,19 @@ def test_unpruned_buckets_sign_stop_shingles_only_once_more(spark, rows, tmp_pat
     assert sum(signed) == shingles.count() and len(signed) == 2 and min(signed) > 0
     assert found[False] == rows(lsh.band_rows(parts(shingles)))
     assert found[True] == rows(lsh.band_rows(parts(sh.prune(shingles, queries.stop(spark, str(tmp_path))))))
+
+
+def test_noise_patterns_look_ahead_and_match_as_without(spark):
+    draw = random.Random(4)
+    tokens = ["Ref", "ref-12/a", "12-3-2024", "1.2.99", "7 Mar 2024", "12 dec 24", "Rs. 4,500.00", "inr 5 lakh", "tnx", "é12-1-24",
+              "mc", "PWD9", "x", " ", "-", ".", "€", "３-4-5", "rupees", "99", "_"]
+    texts = ["".join(draw.choice(tokens) + draw.choice(["", " ", "  "]) for _ in range(14)) for _ in range(300)]
+    data = spark.createDataFrame([(t,) for t in [*texts, "", None]], "t string")
+    for pattern in tx.NOISE_PATTERNS:
+        plain = re.sub(r"\(\?=[^)]*\)", "", pattern)
+        assert plain != pattern
+        both = data.select(F.regexp_replace("t", pattern, "#").alias("a"), F.regexp_replace("t", plain, "#").alias("b"))
+        assert both.filter("NOT a <=> b").isEmpty() and not both.filter("a LIKE '%#%'").isEmpty()
+    blanked = F.regexp_replace("t", r"[^\x00-\x7F\p{L}\p{N}]", " ")
+    folded = data.select(tx.fold_ascii(F.col("t")).alias("a"), F.regexp_replace(blanked, r"[^\x00-\x7F]", "_").alias("b"))
+    assert folded.filter("NOT a <=> b").isEmpty()
